@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, TaxonomyConfig
 from ..functions.params import adaptive_kset_col, clamp_kset_col
+from ..session import cut_lineage
 from .knn import knn
 
 G0 = "_g0"  # constant group key when the caller has no group columns
@@ -130,21 +131,67 @@ def group_params(vectors: DataFrame, group_cols, base_k, id_col: str = "id") ->
              .withColumn("kmax", F.array_max("kset")))
 
 
+def node_table(nbr: DataFrame, kset: DataFrame, group_cols, sigma_k: int = 7) -> DataFrame:
+    """Per (group, view, k, vertex): its k nearest neighbours ``nb`` (ordered), their ids ``ids`` and
+    the local scale ``sig`` (W2). One aggregation; each list is bounded by k."""
+    g = list(group_cols)
+    ks = kset.select(*g, F.explode(F.array_distinct("kset")).alias("k"))
+    e = nbr.join(ks, g).where(F.col("rank") <= F.col("k"))
+    node = (e.groupBy(*g, "view", "k", "src")
+             .agg(F.sort_array(F.collect_list(F.struct("rank", "dst", "dist"))).alias("nb"),
+                  F.max(F.when(F.col("rank") == F.least(F.lit(sigma_k), F.col("k")), F.col("dist"))).alias("sig")))
+    return node.select(*g, "view", "k", "src", "nb", F.transform("nb", lambda x: x["dst"]).alias("ids"),
+                       (F.col("sig") + F.lit(1e-12)).alias("sig"))
+
+
+def blended_edges(node: DataFrame, keys, wm: float = 0.65, ws: float = 0.35) -> DataFrame:
+    """G1-G4 in one join: each kNN edge i -> j meets j's row, which gives sigma_j, N_j and (if i is
+    in N_j) the reverse distance. ``W = wm * min(w_ij, w_ji) + ws * |N_i & N_j| / k``.
+    Each unordered pair is emitted once per orientation: by its lower-id end when mutual,
+    else by its only directed edge."""
+    ed = (node.select(*keys, "src", F.col("sig").alias("si"), F.col("ids").alias("ni"), F.explode("nb").alias("x"))
+              .select(*keys, "src", F.col("x.dst").alias("dst"), F.col("x.dist").alias("dij"), "si", "ni"))
+    nj = node.select(*keys, F.col("src").alias("dst"), F.col("sig").alias("sj"), F.col("ids").alias("nj"),
+                     F.col("nb").alias("nbj"))
+    j = ed.join(nj, keys + ["dst"])
+    back = F.filter("nbj", lambda x: x["dst"] == F.col("src"))
+    dji = F.when(F.size(back) > 0, back[0]["dist"])
+    wij = F.exp(-(F.col("dij") * F.col("dij")) / (F.col("si") * F.col("sj")))
+    wji = F.exp(-(dji * dji) / (F.col("sj") * F.col("si")))
+    snn = F.size(F.array_intersect("ni", "nj")).cast("double") / F.col("k")
+    mutual = F.when(dji.isNotNull(), F.least(wij, wji)).otherwise(F.lit(0.0))  # least() skips NULLs
+    w = mutual * F.lit(wm) + snn * F.lit(ws)
+    j = j.select(*keys, "src", "dst", dji.isNull().alias("_one"), w.alias("w"))
+    j = j.where((F.col("_one") | (F.col("src") < F.col("dst"))) & (F.col("w") > 0))
+    both = F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")),
+                             F.struct(F.col("dst").alias("a"), F.col("src").alias("b"))))
+    return (j.select(*keys, "w", both.alias("p"))
+             .select(*keys, F.col("p.a").alias("src"), F.col("p.b").alias("dst"), "w"))
+
+
 def fused_affinity(views: DataFrame, group_cols=(), base_k=(6, 8, 10), params: DataFrame | None = None,
                    cfg: TaxonomyConfig = DEFAULT_CONFIG, id_col: str = "id") -> DataFrame:
     """E2 graph stage for all groups at once: views ``(*group, id, view, vec)`` ->
-    ``(*group, src, dst, w)`` holding the off-diagonal of ``I - L``."""
+    ``(*group, src, dst, w)`` holding the off-diagonal of ``I - L``.
+
+    kNN once per (group, view) at the group's largest k, checkpointed (it feeds two
+    branches); per k the node table and one self-join give the blended graph; degrees and
+    the symmetric normalisation are one aggregate and two joins; the k-mean (G6) and the
+    view weighting (G7) are linear, so they fold into one final aggregate."""
     g = list(group_cols)
     if not g:
         views, g = views.withColumn(G0, F.lit(0)), [G0]
         if params is not None:
             params = params.withColumn(G0, F.lit(0))
     p = params if params is not None else group_params(views, g, base_k, id_col)
-    p = p.where(F.col("n") > 2)
+    p = p.where(F.col("n") > 2).select(*g, "kset", "kmax")
     vk = views.join(p.select(*g, "kmax"), g)
     nbr = knn(vk, id_col=id_col, vec_col="vec", group_cols=g + ["view"], k_col="kmax",
               block_rows=cfg.knn_block_rows)
-    e = explode_kset(nbr, p.select(*g, "kset"), g)
-    a = scale_graphs(e, g + ["view", "k"], cfg)
-    out = fuse_views(multi_scale(a, p.select(*g, "kset"), g), g, cfg.view_weights)
+    node = cut_lineage(node_table(nbr, p, g, cfg.sigma_k))
+    keys = g + ["view", "k"]
+    a = normalize_sym(blended_edges(node, keys, cfg.mutual_weight, cfg.snn_weight), keys)
+    nk = p.select(*g, F.size(F.array_distinct("kset")).alias("_nk"))
+    out = (a.join(nk, g).withColumn("_wv", view_weight_col(cfg.view_weights))
+            .groupBy(*g, "src", "dst").agg(F.sum(F.col("_wv") * F.col("w") / F.col("_nk")).alias("w")))
     return out.drop(G0) if G0 in g else out

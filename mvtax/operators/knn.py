@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vector import dot, l2_normalize
+from ..session import ship_package, spread
 
 _G0 = "_g0"
 
@@ -46,6 +47,7 @@ def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec
     ordered by ``(dist, dst)``. ``k`` may come per row from ``k_col`` (constant in a group); it is
     clamped to ``n_g - 1`` by construction.
     """
+    ship_package(vectors.sparkSession)
     g, v = _prep(vectors, id_col, vec_col, group_cols, k, k_col, normalize)
     counts = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     v = (v.join(counts, g)
@@ -60,7 +62,7 @@ def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec
     q = packed.select(*g, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)).alias("_rb"),
                       F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), "_k")
     r = packed.select(*g, F.col("_blk").alias("_rb"), F.col("ids").alias("r_ids"), F.col("mat").alias("r_mat"))
-    pairs = q.join(r, g + ["_rb"]).drop("_rb")
+    pairs = spread(q.join(r, g + ["_rb"]), *g, "_rb").drop("_rb")
 
     gfields = [f for f in pairs.schema.fields if f.name in g]
     out_schema = T.StructType(gfields + [

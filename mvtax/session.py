@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +53,57 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_TRACE = os.environ.get("MVTAX_TRACE") == "1"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    Cuts lineage (survives executor loss, like ``checkpoint()``), and unlike a checkpointed RDD
+    the re-read table carries real file-size statistics - so later size checks (broadcast
+    thresholds, AQE) see the true size instead of an ever-growing estimate."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/mvtax-{uuid.uuid4().hex}"
+    t = time.time()
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    if _TRACE:
+        import inspect
+        fr = inspect.stack()[1]
+        print(f"[trace] {os.path.basename(fr.filename)}:{fr.lineno} {fr.function} {time.time() - t:.2f}s", flush=True)
+    return out
+
+
+_SHIPPED: set = set()
+_ZIP: list = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``mvtax`` importable in Python workers (``addPyFile`` of a zip of the package),
+    once per SparkContext. Operators that run pandas functions call this first."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        fd, path = tempfile.mkstemp(prefix="mvtax-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+            for d, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+        _ZIP.append(path)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(key)
+
+
+def spread(df: DataFrame, *cols) -> DataFrame:
+    """Hash-partition by ``cols`` into a fixed count (>= the cluster's parallelism) before
+    CPU-heavy pandas stages, so adaptive coalescing of small inputs cannot serialise them."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *cols)

@@ -1,0 +1,3 @@
+"""Streaming: the engine's source workload is a batch job with no event time, watermark,
+window or state, so there is no streaming operator to provide. The batch plans run
+unchanged inside ``foreachBatch`` if a caller wants to re-label micro-batches."""
