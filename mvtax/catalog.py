@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .config import BASE_K_BROAD, DEFAULT_CONFIG
 from .functions import params as P
+from .functions import text as T
 from .functions.vector import l2_normalize
 from .operators import graph as G
 from .operators.knn import knn
@@ -124,6 +125,438 @@ def q_adaptive_kset(spark, sf):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+# ---------------------------------------------------------------- end to end
+
+def taxonomy_inputs(spark, sf):
+    """Records (documents + customer + nation + part + pages) and their embedding views."""
+    from .sources.tables import records
+    rec = records(spark, sf)
+    views = embedding_views(spark, sf).join(rec.select("id"), "id", "left_semi")
+    return rec, views
+
+
+def q_taxonomy(spark, sf):
+    from .plans.taxonomy import build_taxonomy
+    rec, views = taxonomy_inputs(spark, sf)
+    out, _ = build_taxonomy(rec, views)
+    return out
+
+
+def flagship(spark, sf):
+    """Full taxonomy of the records: cluster ids, three names, level dims, location dims."""
+    return q_taxonomy(spark, sf)
+
+
+# ---------------------------------------------------------------- text layer (records fixture)
+
+def _records(spark, sf):
+    from .sources.tables import records
+    return records(spark, sf)
+
+
+def q_select_known_columns(spark, sf):
+    from .sources.io import known_columns
+    return known_columns(_records(spark, sf))
+
+
+def view_texts(rec):
+    """P1-P6 over known columns (absent -> blank)."""
+    def c(name):
+        return F.col(name)
+    url = T.strip_scheme(c("website_url"))
+    return rec.select(
+        "id",
+        F.concat(c("ai_summary"), F.lit(" || Services: "), c("services")).alias("v1"),
+        F.concat(F.lit("Roles: "), c("roles"), F.lit(" || Business Model: "), c("business_model"),
+                 F.lit(" || Product Categories: "), c("product_categories"), F.lit(" || Keywords: "),
+                 c("keywords")).alias("v2"),
+        F.concat(F.lit("Market Focus: "), c("market_focus"), F.lit(" || Customer Segments: "),
+                 c("customers_segments"), F.lit(" || Certifications: "), c("certifications")).alias("v3"),
+        F.concat(F.lit("Company: "), c("company_name"), F.lit(" || Industry: "), c("industry"),
+                 F.lit(" || Domain: "), url).alias("v4"),
+        F.concat(F.lit("Company: "), c("company_name"), F.lit(" | Industry: "), c("industry"),
+                 F.lit(" | Roles: "), c("roles"), F.lit(" | Services: "), c("services"),
+                 F.lit(" | Market Focus: "), c("market_focus"), F.lit(" | Customer Segments: "),
+                 c("customers_segments"), F.lit(" | Business Model: "), c("business_model"),
+                 F.lit(" | Keywords: "), c("keywords"), F.lit(" | Summary: "), c("ai_summary")).alias("v5"),
+        c("location").alias("vloc"))
+
+
+def q_view_text(spark, sf):
+    from .sources.io import known_columns
+    return view_texts(known_columns(_records(spark, sf)))
+
+
+def q_strip_scheme(spark, sf):
+    from .sources.tables import table
+    pg = table(spark, sf, "pages")
+    return pg.select("page_id", "url", T.strip_scheme("url").alias("domain"))
+
+
+def _kc(spark, sf):
+    from .sources.io import known_columns
+    return known_columns(_records(spark, sf))
+
+
+def q_to_list(spark, sf):
+    r = _kc(spark, sf)
+    out = [F.col("id")]
+    for c in ("keywords", "services", "roles", "business_model"):
+        lst = T.to_list(c)
+        out += [F.array_join(lst, "|").alias(f"{c}_items"), F.size(lst).cast("long").alias(f"{c}_n")]
+    return r.select(*out)
+
+
+def q_uniq_list(spark, sf):
+    r = _kc(spark, sf)
+    u = T.uniq(F.concat(T.to_list("services"), T.to_list("keywords"), T.to_list("roles"),
+                        F.split("product_categories", " ")))
+    return r.select("id", F.array_join(u, "|").alias("items"), F.size(u).cast("long").alias("n"))
+
+
+def q_tokens(spark, sf):
+    r = _kc(spark, sf)
+    t = T.tokens("ai_summary")
+    return r.select("id", F.size(t).cast("long").alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+def q_ngrams(spark, sf):
+    """M5-M7 + W9 on every whole summary: gram counts and the most common gram."""
+    from .operators.rules import gram_heads
+    r = _kc(spark, sf).select("id", "ai_summary")
+    t = r.select("id", T.tokens("ai_summary").alias("t"))
+    cnt = t.select("id", F.size(T.ngrams("t", 2)).cast("long").alias("n2"),
+                   F.size(T.ngrams("t", 3)).cast("long").alias("n3"),
+                   F.size(T.drop_banned_grams(F.concat(T.ngrams("t", 2), T.ngrams("t", 3)))).cast("long")
+                   .alias("n_kept"))
+    heads = gram_heads(r, ["id"], F.lower(F.col("ai_summary")))
+    return cnt.join(heads, "id", "left").select("id", "n2", "n3", "n_kept",
+                                                F.coalesce("gram_head", F.lit("")).alias("top_gram"))
+
+
+def q_title_case(spark, sf):
+    from .sources.tables import table
+    p = table(spark, sf, "part")
+    s = F.concat(F.lit(" "), F.col("p_name"), F.lit("/"), F.lower("p_type"), F.lit(" hvac-plc & "), F.col("p_brand"),
+                 F.lit("\tscada "))
+    return p.select("p_partkey", T.title_case_keep_acronyms(s).alias("title"))
+
+
+def q_sanitize_label(spark, sf):
+    from .sources.tables import table
+    p = table(spark, sf, "part")
+    s = F.concat(F.lit("- "), F.col("p_name"), F.lit(" "), F.upper("p_name"), F.lit(" Systems!! "), F.col("p_brand"),
+                 F.lit(" (group) "), F.lower("p_type"), F.lit(" "), F.lower("p_type"), F.lit(" -"))
+    return p.select("p_partkey", T.sanitize_label(s).alias("label"))
+
+
+# ---------------------------------------------------------------- profiles (clusters = nations / regions)
+
+def cluster_assign(spark, sf, level: str = "sub"):
+    """Records grouped by their customer's nation (sub) or region (broad); -1 when unmatched."""
+    from .sources.tables import table
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey")
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    j = d.join(c, "id", "left").join(n, "c_nationkey", "left")
+    key = "c_nationkey" if level == "sub" else "n_regionkey"
+    return j.select("id", F.coalesce(F.col(key), F.lit(-1)).cast("int").alias("cluster"))
+
+
+def q_first_n(spark, sf):
+    from .config import PROFILE_CAPS
+    from .operators.profile import CAPPED_FIELDS, first_n
+    r, a = _kc(spark, sf), cluster_assign(spark, sf)
+    out = a.select("cluster").distinct()
+    for name, col, keep in CAPPED_FIELDS:
+        f = first_n(r, a, col, PROFILE_CAPS[name], keep, "cluster", name)
+        out = out.join(f.select("cluster", F.array_join(name, "|").alias(name)), "cluster", "left")
+    return out.select(F.col("cluster").cast("long").alias("cluster"),
+                      *[F.coalesce(F.col(n), F.lit("")).alias(n) for n, _, _ in CAPPED_FIELDS])
+
+
+def q_top_keywords(spark, sf):
+    from .operators.profile import top_keywords
+    t = top_keywords(_kc(spark, sf), cluster_assign(spark, sf), with_counts=True)
+    return t.select(F.col("cluster").cast("long").alias("cluster"), F.col("_r").cast("long").alias("rank"),
+                    "kw", F.col("cnt").cast("long").alias("cnt"))
+
+
+def q_role_ratios(spark, sf):
+    from .operators.profile import role_counts
+    from .operators.rules import role_ratio_strings
+    rc = role_counts(_kc(spark, sf), cluster_assign(spark, sf))
+    return rc.select(F.col("cluster").cast("long").alias("cluster"),
+                     F.array_join(F.transform("role_counts", lambda x: x.cast("string")), ",").alias("counts"),
+                     F.col("role_total").cast("long").alias("total"),
+                     F.array_join(role_ratio_strings("role_counts", "role_total"), ",").alias("ratios"))
+
+
+def _profiles(spark, sf, level="Sub"):
+    from .plans.labeling import labelled_profiles
+    r = _kc(spark, sf)
+    if level == "Broad":
+        return labelled_profiles(r, cluster_assign(spark, sf, "broad").withColumnRenamed("cluster", "cid"),
+                                 "Broad", None)
+    subs = cluster_assign(spark, sf, "sub")
+    bro = cluster_assign(spark, sf, "broad")
+    par = (subs.join(bro.withColumnRenamed("cluster", "parent_id"), "id")
+               .select(F.col("cluster").alias("cid"), "parent_id").distinct()
+               .withColumn("parent_label", F.concat(F.lit("Region "), F.col("parent_id").cast("string"))))
+    return labelled_profiles(r, subs.withColumnRenamed("cluster", "cid"), "Sub", par)
+
+
+def q_cluster_profile(spark, sf):
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"), F.col("size").cast("long").alias("size"),
+                    F.array_join("top_keywords", "|").alias("top_keywords"),
+                    F.array_join("services", "|").alias("services"),
+                    F.array_join("company_names", "|").alias("company_names"),
+                    F.array_join("industries", "|").alias("industries"))
+
+
+def q_census(spark, sf):
+    from .operators.profile import census
+    from .sources.tables import table
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey")
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    lab = _kc(spark, sf).select("id").join(c, "id").join(n, "c_nationkey")
+    return census(lab, "c_nationkey", "n_name").select(F.col("c_nationkey").cast("long").alias("cluster"),
+                                                       F.col("n_name").alias("name"),
+                                                       F.col("count").cast("long").alias("count"))
+
+
+# fitted sector rules for the synthetic vocabulary (the industrial defaults never match it)
+FITTED_SECTORS = (
+    (r"\b(ring|bolt|gear)\b", "Fasteners & Gears"),
+    (r"\b(widget|gizmo)\b", "Widgets & Gadgets"),
+    (r"\b(machinery|building)\b", "Machinery & Building"),
+)
+FITTED_UMBRELLAS = ("Fasteners & Gears", "Widgets & Gadgets", "Machinery & Building", "Household Goods")
+
+
+def q_umbrella(spark, sf):
+    from .operators.rules import umbrella_from_texts
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"),
+                    umbrella_from_texts("texts").alias("default_rules"),
+                    umbrella_from_texts("texts", FITTED_SECTORS).alias("fitted_rules"))
+
+
+def q_enforce_umbrella(spark, sf):
+    from .operators.rules import enforce_umbrella
+    p = _profiles(spark, sf)
+    lab = F.element_at(F.col("industries"), 1)
+    return p.select(F.col("cid").cast("long").alias("cluster"),
+                    enforce_umbrella(F.coalesce(lab, F.lit("")), "texts").alias("default_sector"),
+                    enforce_umbrella(F.coalesce(lab, F.lit("")), "texts", FITTED_SECTORS, FITTED_UMBRELLAS)
+                    .alias("fitted_sector"),
+                    enforce_umbrella(F.col("head"), "texts").alias("head_sector"))
+
+
+def q_canonical_head(spark, sf):
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"), F.col("gram_head"), F.col("head"))
+
+
+def q_role_suffix(spark, sf):
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"), "suffix")
+
+
+def q_head_suffix(spark, sf):
+    from .operators.rules import force_head_suffix
+    p = _profiles(spark, sf)
+    raw = F.concat(F.element_at("services", 1), F.lit(" Integrators and suppliers & distributors"))
+    return p.select(F.col("cid").cast("long").alias("cluster"),
+                    force_head_suffix(F.coalesce(raw, F.lit("")), "Sub", "head", "suffix", "texts").alias("sub_label"),
+                    force_head_suffix(F.col("head"), "Broad", "head", "suffix", "texts").alias("broad_label"))
+
+
+def q_fallback_label(spark, sf):
+    pb = _profiles(spark, sf, "Broad").select(F.col("cid").cast("long").alias("cluster"), F.lit("Broad").alias("level"),
+                                              F.col("fallback").alias("label"))
+    ps = _profiles(spark, sf).select(F.col("cid").cast("long").alias("cluster"), F.lit("Sub").alias("level"),
+                                     F.col("fallback").alias("label"))
+    return pb.unionByName(ps)
+
+
+def q_cache_key(spark, sf):
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"), "cache_key")
+
+
+def q_context_text(spark, sf):
+    from .operators.rules import context_text
+    p = _profiles(spark, sf)
+    return p.select(F.col("cid").cast("long").alias("cluster"), context_text("Sub", "parent_label").alias("context"))
+
+
+def q_sibling_dedupe(spark, sf):
+    from .operators.rules import sibling_dedupe
+    p = _profiles(spark, sf)
+    lab = p.select("cid", "parent_id", F.col("fallback").alias("label"))
+    d = sibling_dedupe(lab, p, "parent_id", "cid")
+    return d.select(F.col("cid").cast("long").alias("cluster"), F.col("parent_id").cast("long").alias("parent"),
+                    "label")
+
+
+def q_label_attach(spark, sf):
+    """J1 + J2: every record gets its nation's rule label and its region's rule label."""
+    ps = _profiles(spark, sf).select(F.col("cid").alias("cluster"), F.col("fallback").alias("sub_label"),
+                                     "parent_id")
+    pb = _profiles(spark, sf, "Broad").select(F.col("cid").alias("parent_id"), F.col("fallback").alias("broad_label"))
+    a = cluster_assign(spark, sf)
+    out = a.join(ps, "cluster", "left").join(pb, "parent_id", "left")
+    return out.select("id", "sub_label", "broad_label")
+
+
+def q_cache_probe(spark, sf):
+    """A cache written from the Broad labels; probing Broad keys hits, Sub keys miss."""
+    pb = _profiles(spark, sf, "Broad")
+    cache = pb.select("cache_key", F.concat(F.lit("cached "), F.col("fallback")).alias("label"))
+    out = []
+    for lvl, p in (("Broad", pb), ("Sub", _profiles(spark, sf))):
+        j = p.select("cid", "cache_key", "fallback").join(cache, "cache_key", "left")
+        out.append(j.select(F.col("cid").cast("long").alias("cluster"), F.lit(lvl).alias("level"),
+                            F.col("label").isNotNull().alias("hit"),
+                            F.coalesce("label", "fallback").alias("label")))
+    return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------- clustering operators on embeddings
+
+def _x_labels(spark, sf):
+    m = embedding_matrix(spark, sf)
+    x = m.select(F.lit(0).alias("g"), "id", l2_normalize("vec").alias("vec"))
+    lab = m.select(F.lit(0).alias("g"), "id", F.col("label").cast("int").alias("label"))
+    return x, lab
+
+
+def q_centroids(spark, sf):
+    from .operators.cluster import centroids
+    x, lab = _x_labels(spark, sf)
+    c = centroids(x, lab, ["g"])
+    return c.select(F.col("label").cast("long").alias("label"), F.col("size").cast("long").alias("size"),
+                    F.posexplode("c").alias("pos", "x")).select("label", "size", F.col("pos").cast("long"),
+                                                                r4("x").alias("x"))
+
+
+def q_refine_centroid(spark, sf):
+    from .operators.cluster import refine_by_centroid
+    x, lab = _x_labels(spark, sf)
+    return refine_by_centroid(x, lab, ["g"], 0.025).select("id", F.col("label").cast("long").alias("label"))
+
+
+def q_merge_small(spark, sf):
+    from .operators.cluster import merge_small
+    x, lab = _x_labels(spark, sf)
+    return merge_small(x, lab, ["g"], 50).select("id", F.col("label").cast("long").alias("label"))
+
+
+def q_merge_duplicates(spark, sf):
+    from .operators.cluster import merge_duplicates
+    x, lab = _x_labels(spark, sf)
+    return merge_duplicates(x, lab, ["g"], 0.3).select("id", F.col("label").cast("long").alias("label"))
+
+
+def q_relabel(spark, sf):
+    from .operators.cluster import dense_relabel
+    m = embedding_matrix(spark, sf)
+    lab = m.select(F.col("label").alias("g"), "id",
+                   F.when(F.col("vec")[0] > 0, 7).otherwise(3).cast("int").alias("label"))
+    return dense_relabel(lab, ["g"]).select("id", F.col("label").cast("long").alias("label"))
+
+
+def q_child_numbering(spark, sf):
+    from .plans.hierarchy import child_numbering
+    m = embedding_matrix(spark, sf)
+    local = m.select("id", F.col("label").alias("parent"),
+                     F.when(F.col("vec")[0] > 0, 1).otherwise(0).alias("label"))
+    return child_numbering(local, "parent", "child").select("id", F.col("child").cast("long").alias("child"))
+
+
+def q_pad_dims(spark, sf):
+    from .plans.hierarchy import pad_dims
+    m = embedding_matrix(spark, sf)
+    z = m.where(F.col("label") > 0).select("id", F.slice("vec", 1, F.col("label")).alias("z"))
+    out = pad_dims(z, m.select("id"), "dims")
+    return out.select("id", F.posexplode("dims").alias("pos", "x")).select(
+        "id", F.col("pos").cast("long"), r4("x").alias("x"))
+
+
+def q_dims_to_columns(spark, sf):
+    from .plans.hierarchy import dims_to_columns
+    m = embedding_matrix(spark, sf).select("id", F.slice("vec", 1, 4).alias("d"))
+    out = dims_to_columns(m, "d", "broad_dim")
+    return out.select("id", *[r4(f"broad_dim{i}").alias(f"broad_dim{i}") for i in range(1, 5)],
+                      r4(F.aggregate(F.array(*[F.col(f"broad_dim{i}") for i in range(1, 5)]), F.lit(0.0),
+                                     lambda a, v: a + v)).alias("dims_sum"))
+
+
+def q_mean_pool(spark, sf):
+    """A3: masked mean of the vectors of each label (mask = first coordinate > 0), then V1."""
+    m = embedding_matrix(spark, sf).withColumn("mask", F.when(F.col("vec")[0] > 0, 1.0).otherwise(0.0))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    s = (m.groupBy("label")
+          .agg(Summarizer.sum(array_to_vector(F.transform("vec", lambda v: v * F.col("mask")))).alias("s"),
+               F.sum("mask").alias("msum"))
+          .select("label", F.transform(vector_to_array("s"), lambda v: v / F.greatest("msum", F.lit(1e-9)))
+                  .alias("p")))
+    return s.select(F.col("label").cast("long").alias("label"), F.posexplode(l2_normalize("p")).alias("pos", "x")) \
+            .select("label", F.col("pos").cast("long"), r4("x").alias("x"))
+
+
+def q_concat_views(spark, sf):
+    from .config import CONCAT_ORDER
+    from .plans.level import concat_views
+    v = embedding_views(spark, sf).withColumn("g", F.lit(0))
+    c = concat_views(v, ["g"], CONCAT_ORDER)
+    return c.select("id", F.posexplode("vec").alias("pos", "x")).select("id", F.col("pos").cast("long"),
+                                                                        r4("x").alias("x"))
+
+
+def q_balance_stats(spark, sf):
+    m = embedding_matrix(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("c"))
+    return m.agg((F.max("c") / F.sum("c")).alias("big_frac"),
+                 (F.stddev_pop("c") / (F.avg("c") + 1e-9)).alias("imb")).select(r4("big_frac").alias("big_frac"),
+                                                                                r4("imb").alias("imb"))
+
+
+def silhouette_df(x, lab, group_cols):
+    """Exact cosine silhouette, linear in n: with unit rows, the mean distance to a
+    cluster is ``1 - x . mean(cluster)``; the own cluster excludes the row itself."""
+    from .operators.cluster import centroids
+    g = list(group_cols)
+    c = centroids(x, lab, g, normalize=False).select(*g, "label", "sum", "size")
+    cs = c.groupBy(*g).agg(F.collect_list(F.struct("label", "sum", "size")).alias("cs"))
+    j = x.join(lab, g + ["id"]).join(cs, g)
+    from .functions.vector import dot
+    own = F.filter("cs", lambda s: s["label"] == F.col("label"))[0]
+    selfdot = dot("vec", "vec")
+    a = (own["size"] - 1 - (dot("vec", own["sum"]) - selfdot)) / F.greatest(own["size"] - 1, F.lit(1))
+    others = F.filter("cs", lambda s: s["label"] != F.col("label"))
+    b = F.array_min(F.transform(others, lambda s: F.lit(1.0) - dot("vec", s["sum"]) / s["size"]))
+    sil = F.when(own["size"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return j.select(*g, "id", sil.alias("s"))
+
+
+def q_silhouette(spark, sf):
+    x, lab = _x_labels(spark, sf)
+    return silhouette_df(x, lab, ["g"]).agg(r4(F.avg("s")).alias("silhouette"))
+
+
+def q_k_score(spark, sf):
+    x, lab = _x_labels(spark, sf)
+    sil = silhouette_df(x, lab, ["g"]).agg(F.avg("s").alias("sil"))
+    m = lab.groupBy("label").agg(F.count(F.lit(1)).alias("c")).agg(
+        (F.max("c") / F.sum("c")).alias("big"), (F.stddev_pop("c") / (F.avg("c") + 1e-9)).alias("imb"),
+        F.count(F.lit(1)).alias("k"))
+    j = sil.withColumn("_one", F.lit(1)).join(m.withColumn("_one", F.lit(1)), "_one")
+    return j.select(r4(P.k_score_col("sil", "k", "imb", "big", 0.35)).alias("score"))
+
+
 QUERIES = {
     "l2_normalize": q_l2_normalize,
     "knn": q_knn,
@@ -137,4 +570,42 @@ QUERIES = {
     "multi_scale": q_multi_scale,
     "view_fusion": q_view_fusion,
     "adaptive_kset": q_adaptive_kset,
+    "select_known_columns": q_select_known_columns,
+    "view_text": q_view_text,
+    "strip_scheme": q_strip_scheme,
+    "to_list": q_to_list,
+    "uniq_list": q_uniq_list,
+    "tokens": q_tokens,
+    "ngrams": q_ngrams,
+    "title_case": q_title_case,
+    "sanitize_label": q_sanitize_label,
+    "first_n": q_first_n,
+    "top_keywords": q_top_keywords,
+    "role_ratios": q_role_ratios,
+    "cluster_profile": q_cluster_profile,
+    "census": q_census,
+    "umbrella": q_umbrella,
+    "enforce_umbrella": q_enforce_umbrella,
+    "canonical_head": q_canonical_head,
+    "role_suffix": q_role_suffix,
+    "head_suffix": q_head_suffix,
+    "fallback_label": q_fallback_label,
+    "cache_key": q_cache_key,
+    "context_text": q_context_text,
+    "sibling_dedupe": q_sibling_dedupe,
+    "label_attach": q_label_attach,
+    "cache_probe": q_cache_probe,
+    "centroids": q_centroids,
+    "refine_centroid": q_refine_centroid,
+    "merge_small": q_merge_small,
+    "merge_duplicates": q_merge_duplicates,
+    "relabel": q_relabel,
+    "child_numbering": q_child_numbering,
+    "pad_dims": q_pad_dims,
+    "dims_to_columns": q_dims_to_columns,
+    "mean_pool": q_mean_pool,
+    "concat_views": q_concat_views,
+    "balance_stats": q_balance_stats,
+    "silhouette": q_silhouette,
+    "k_score": q_k_score,
 }

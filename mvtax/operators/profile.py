@@ -70,7 +70,10 @@ def role_counts(records: DataFrame, assign: DataFrame, cluster_col: str = "clust
                           F.concat(F.lit(" "), F.lower(_col_or_blank(records, "services")), F.lit(" ")).alias("sv"),
                           F.concat(F.lit(" "), F.lower(_col_or_blank(records, "ai_summary")), F.lit(" ")).alias("sm"))
     base = base.join(assign, "id")
-    aggs = [F.sum(F.size(F.filter("rt", lambda t, k=k: t == k))).alias(f"_t{i}") for i, k in enumerate(ROLE_KEYS)]
+    def is_role(k):
+        return lambda t: t == F.lit(k)
+
+    aggs = [F.sum(F.size(F.filter("rt", is_role(k)))).alias(f"_t{i}") for i, k in enumerate(ROLE_KEYS)]
     aggs += [F.bool_or(F.col("sv").contains(stem) | F.col("sm").contains(stem)).alias(f"_s{j}")
              for j, (stem, _) in enumerate(ROLE_STEMS)]
     a = base.groupBy(cluster_col).agg(*aggs)

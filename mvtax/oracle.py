@@ -125,3 +125,167 @@ SELECT src, dst, {r4('sum(wv * w)')} AS w FROM ms JOIN wts USING (view) GROUP BY
                           _ks_adaptive((6, 8, 10)), "(SELECT max(k) FROM ks)", _slices_view()),
     "adaptive_kset": _adaptive_kset_sql(),
 }
+
+
+# ---------------------------------------------------------------- text layer
+
+WSC = r"[\t\n\x0B\f\r ]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{WSC}+|{WSC}+$', '', 'g')"
+
+
+def _case(col: str, mapping: dict) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+RECORDS = f"""records AS (
+  SELECT d.doc_id AS id,
+         coalesce(c.c_name, '') AS company_name,
+         coalesce(g.url, '') AS website_url,
+         coalesce(d.text, '') AS ai_summary,
+         coalesce(c.c_mktsegment, '') AS industry,
+         concat_ws('; ', p.p_name, p.p_brand) AS services,
+         coalesce(d.lang, '') AS market_focus,
+         coalesce({_case('c.c_mktsegment', SEGMENT_ROLES)}, '') AS roles,
+         '' AS customer_types,
+         coalesce(p.p_type, '') AS product_categories,
+         coalesce(c.c_mktsegment, '') AS customers_segments,
+         coalesce({_case('p.p_type', TYPE_MODELS)}, '') AS business_model,
+         coalesce(d.source, '') AS certifications,
+         coalesce(CASE WHEN p.p_name IS NOT NULL THEN '[''' || p.p_name || ''', ''' || lower(p.p_type) || ''']' END, '')
+           AS keywords,
+         coalesce(n.n_name, '') AS location
+  FROM documents d
+  LEFT JOIN customer c ON c.c_custkey = d.doc_id
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN part p ON p.p_partkey = d.doc_id
+  LEFT JOIN pages g ON g.page_id = d.doc_id)"""
+
+
+def _to_list(x: str) -> str:
+    """List literal of quoted strings, else split on ``; , | tab``; items trimmed, blanks dropped."""
+    s = _strip(x)
+    quoted = f"regexp_extract_all({s}, '''([^'']*)''', 1)"
+    split = f"string_split_regex({s}, '[;,|]|\\t')"
+    return (f"(CASE WHEN {s} = '' THEN []::VARCHAR[] "
+            f"WHEN {s} LIKE '[%]' THEN list_filter(list_transform({quoted}, lambda t: {_strip('t')}), lambda t: t <> '') "
+            f"ELSE list_filter(list_transform({split}, lambda t: {_strip('t')}), lambda t: t <> '') END)")
+
+
+STOP_SQL = "[" + ", ".join(f"'{w}'" for w in __import__('mvtax.config', fromlist=['x']).STOPWORDS) + "]"
+BAN_SQL = "[" + ", ".join(f"'{w}'" for w in __import__('mvtax.config', fromlist=['x']).GENERIC_BAN) + "]"
+ACR_SQL = "[" + ", ".join(f"'{w}'" for w in __import__('mvtax.config', fromlist=['x']).ACRONYMS) + "]"
+
+
+def _tokens(x: str) -> str:
+    s = f"regexp_replace(lower({x}), '[^a-z0-9 \\-/&]', ' ', 'g')"
+    return f"list_filter(string_split_regex({s}, ' +'), lambda t: t <> '' AND NOT list_contains({STOP_SQL}, t))"
+
+
+def _ngrams(t: str, n: int) -> str:
+    return (f"(CASE WHEN len({t}) >= {n} THEN list_transform(range(1, len({t}) - {n} + 2), "
+            f"lambda i: array_to_string({t}[i:i + {n - 1}], ' ')) ELSE []::VARCHAR[] END)")
+
+
+def _no_ban(grams: str) -> str:
+    return f"list_filter({grams}, lambda g: NOT list_has_any(string_split(g, ' '), {BAN_SQL}))"
+
+
+def _title(x: str) -> str:
+    """M3 title case keeping acronyms."""
+    s = _strip(x)
+    pieces = f"regexp_extract_all({s}, '({WSC}+|&|/|-|[^\\t\\n\\x0B\\f\\r &/-]+)', 1)"
+    t = (f"list_transform({pieces}, lambda w: CASE WHEN regexp_full_match(w, '{WSC}+|&|/|-') THEN w "
+         f"WHEN list_contains({ACR_SQL}, upper(w)) THEN upper(w) "
+         f"ELSE upper(substr(w, 1, 1)) || lower(substr(w, 2)) END)")
+    return _strip(f"array_to_string({t}, '')")
+
+
+def _pytitle(x: str) -> str:
+    chars = f"string_split({x}, '')"
+    return (f"array_to_string(list_transform({chars}, lambda ch, i: CASE WHEN i = 1 OR NOT regexp_full_match("
+            f"{chars}[i - 1], '[A-Za-z]') THEN upper(ch) ELSE lower(ch) END), '')")
+
+
+def _collapse_dups(x: str) -> str:
+    """Drop a word run equal (case-insensitively) to the run two pieces back when only spaces
+    separate them - the repeated-word rule without back-references."""
+    pieces = f"regexp_extract_all({x}, '(\\w+|\\W+)', 1)"
+    keep = (f"list_filter({pieces}, lambda p, i: NOT ("
+            f"(regexp_full_match(p, '\\w+') AND i >= 3 AND regexp_full_match({pieces}[i - 1], '\\s+') "
+            f"AND lower({pieces}[i - 2]) = lower(p)) OR "
+            f"(regexp_full_match(p, '\\s+') AND i >= 2 AND i < len({pieces}) "
+            f"AND regexp_full_match({pieces}[i + 1], '\\w+') AND lower({pieces}[i - 1]) = lower({pieces}[i + 1]))))")
+    return f"array_to_string({keep}, '')"
+
+
+def _sanitize(x: str) -> str:
+    s = f"regexp_replace({_strip(x)}, '[^A-Za-z0-9\\-&() /]+', '', 'g')"
+    s = f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
+    s = _collapse_dups(s)
+    ban = "|".join(__import__('mvtax.config', fromlist=['x']).GENERIC_BAN)
+    s = f"trim(regexp_replace({s}, '(?i)\\b({ban})\\b', '', 'g'))"
+    s = f"regexp_replace({s}, ' {{2,}}', ' ', 'g')"
+    return f"regexp_replace({s}, '^-+ *| *-+$', '', 'g')"
+
+
+def _view_text_sql() -> str:
+    url = "regexp_replace(website_url, 'https?://', '', 'g')"
+    return f"""WITH {RECORDS}
+SELECT id,
+  ai_summary || ' || Services: ' || services AS v1,
+  'Roles: ' || roles || ' || Business Model: ' || business_model || ' || Product Categories: ' || product_categories
+    || ' || Keywords: ' || keywords AS v2,
+  'Market Focus: ' || market_focus || ' || Customer Segments: ' || customers_segments || ' || Certifications: '
+    || certifications AS v3,
+  'Company: ' || company_name || ' || Industry: ' || industry || ' || Domain: ' || {url} AS v4,
+  'Company: ' || company_name || ' | Industry: ' || industry || ' | Roles: ' || roles || ' | Services: ' || services
+    || ' | Market Focus: ' || market_focus || ' | Customer Segments: ' || customers_segments || ' | Business Model: '
+    || business_model || ' | Keywords: ' || keywords || ' | Summary: ' || ai_summary AS v5,
+  location AS vloc
+FROM records"""
+
+
+def _gram_head_sql(src: str, key: str, blob: str) -> str:
+    """W9 per key over tokens(blob): count desc, 3-grams first, first position; title of words."""
+    return f"""tk AS (SELECT {key} AS k, {_tokens(blob)} AS t FROM {src}),
+gr AS (SELECT k, g.gram, 3 AS n, g.pos FROM tk, unnest(list_transform({_ngrams('t', 3)}, lambda x, i: {{'gram': x, 'pos': i}})) AS u(g)
+       UNION ALL
+       SELECT k, g.gram, 2 AS n, g.pos FROM tk, unnest(list_transform({_ngrams('t', 2)}, lambda x, i: {{'gram': x, 'pos': i}})) AS u(g)),
+grc AS (SELECT k, gram, n, count(*) AS cnt, min(pos) AS first FROM gr
+        WHERE NOT list_has_any(string_split(gram, ' '), {BAN_SQL}) GROUP BY k, gram, n),
+gbest AS (SELECT k, array_to_string(list_transform(string_split(gram, ' ')[1:3], lambda w: {_pytitle('w')}), ' ')
+                 AS gram_head
+          FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY cnt DESC, n DESC, first) AS r FROM grc) WHERE r = 1)"""
+
+
+TEXT_ORACLE = {
+    "select_known_columns": f"WITH {RECORDS} SELECT * FROM records",
+    "view_text": _view_text_sql(),
+    "strip_scheme": "SELECT page_id, url, regexp_replace(url, 'https?://', '', 'g') AS domain FROM pages",
+    "to_list": f"""WITH {RECORDS}
+SELECT id, {', '.join(f"array_to_string({_to_list(c)}, '|') AS {c}_items, CAST(len({_to_list(c)}) AS BIGINT) AS {c}_n"
+                      for c in ('keywords', 'services', 'roles', 'business_model'))}
+FROM records""",
+    "uniq_list": f"""WITH {RECORDS},
+u AS (SELECT id, list_concat({_to_list('services')}, {_to_list('keywords')}, {_to_list('roles')},
+                             string_split(product_categories, ' ')) AS l FROM records),
+x AS (SELECT id, list_filter(list_transform(l, lambda t: {_strip('t')}), lambda t: t <> '') AS l FROM u),
+d AS (SELECT id, list_filter(l, lambda t, i: list_position(l, t) = i) AS l FROM x)
+SELECT id, array_to_string(l, '|') AS items, CAST(len(l) AS BIGINT) AS n FROM d""",
+    "tokens": f"""WITH {RECORDS}
+SELECT id, CAST(len({_tokens('ai_summary')}) AS BIGINT) AS n_tokens, array_to_string({_tokens('ai_summary')}, ' ') AS tokens
+FROM records""",
+    "ngrams": f"""WITH {RECORDS},
+{_gram_head_sql('records', 'id', 'lower(ai_summary)')},
+c AS (SELECT k, CAST(len({_ngrams('t', 2)}) AS BIGINT) AS n2, CAST(len({_ngrams('t', 3)}) AS BIGINT) AS n3,
+             CAST(len({_no_ban(f"list_concat({_ngrams('t', 2)}, {_ngrams('t', 3)})")}) AS BIGINT) AS n_kept FROM tk)
+SELECT c.k AS id, n2, n3, n_kept, coalesce(gram_head, '') AS top_gram FROM c LEFT JOIN gbest USING (k)""",
+    "title_case": f"""SELECT p_partkey, {_title("' ' || p_name || '/' || lower(p_type) || ' hvac-plc & ' || p_brand || chr(9) || 'scada '")} AS title
+FROM part""",
+    "sanitize_label": f"""SELECT p_partkey, {_sanitize("'- ' || p_name || ' ' || upper(p_name) || ' Systems!! ' || p_brand || ' (group) ' || lower(p_type) || ' ' || lower(p_type) || ' -'")} AS label
+FROM part""",
+}
+ORACLE.update(TEXT_ORACLE)
