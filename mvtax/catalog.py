@@ -125,6 +125,99 @@ def q_adaptive_kset(spark, sf):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+# ---------------------------------------------------------------- spectral, k choice, levels (rows + properties)
+
+def _broad_inputs(spark, sf):
+    from .config import BROAD
+    from .functions.params import eig_width_col
+    from .session import cut_lineage
+    v = embedding_views(spark, sf).withColumn("_root", F.lit(0))
+    p = G.group_params(v, ["_root"], BROAD.base_k).withColumn("width", eig_width_col(14, "n", 48))
+    return v, cut_lineage(p)
+
+
+def _broad_embedding(spark, sf, tier=None):
+    from .operators.spectral import spectral_embed
+    from .session import cut_lineage
+    v, p = _broad_inputs(spark, sf)
+    aff = cut_lineage(G.fused_affinity(v, ["_root"], params=p))
+    verts = v.where(F.col("view") == "v1").select("_root", "id").join(p.select("_root", "width"), "_root")
+    return spectral_embed(aff, verts, ["_root"], force_tier=tier)
+
+
+def q_spectral_embed(spark, sf):
+    z = _broad_embedding(spark, sf)
+    return z.select("id", F.size("z").cast("long").alias("width"),
+                    r4(F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"),
+                    r4(F.element_at("eigval", 1)).alias("lambda_min"))
+
+
+def q_spectral_distributed(spark, sf):
+    """G8 distributed tier forced on the Broad group (the dense tier is the reference)."""
+    z = _broad_embedding(spark, sf, tier="distributed")
+    return z.select("id", F.size("z").cast("long").alias("width"),
+                    r4(F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+
+
+def q_choose_k(spark, sf):
+    from .config import BROAD
+    from .operators.cluster import choose_k
+    from .session import cut_lineage
+    z = cut_lineage(_broad_embedding(spark, sf).select("_root", "id", "z"))
+    sc = choose_k(z, ["_root"], BROAD, return_scores=True)
+    return sc.select(F.col("k").cast("long"), r4("score").alias("score"), r4("sil").alias("sil"),
+                     r4("big_frac").alias("big_frac"), r4("imb").alias("imb"))
+
+
+def q_kmeans_level(spark, sf):
+    from .operators.cluster import kmeans_groups
+    from .session import cut_lineage
+    z = cut_lineage(_broad_embedding(spark, sf).select("_root", "id", "z"))
+    ks = z.select("_root").distinct().withColumn("k", F.lit(10))
+    return kmeans_groups(z, ks, ["_root"]).select("id", F.col("label").cast("long"))
+
+
+def q_sample_cap(spark, sf):
+    """Per label group, a uniform sample of min(n, 20) rows (a sampling operator: the cap is the feature)."""
+    from .operators.cluster import sample_cap
+    m = embedding_matrix(spark, sf).select(F.col("label").alias("g"), "id", "vec")
+    return sample_cap(m, ["g"], cap=20).select(F.col("g").cast("long").alias("label"), "id")
+
+
+def q_run_level(spark, sf):
+    from .config import BROAD
+    from .plans.level import run_level
+    v = embedding_views(spark, sf).withColumn("_root", F.lit(0))
+    lab, _ = run_level(v, ["_root"], BROAD)
+    return lab.select("id", F.col("label").cast("long"))
+
+
+def q_hierarchy(spark, sf):
+    from .plans.hierarchy import build_hierarchy
+    h = build_hierarchy(embedding_views(spark, sf))
+    return h.select("id", *[F.col(c).cast("long") for c in ("cluster_broad", "cluster_sub", "cluster_niche")],
+                    F.size("broad_dims").cast("long").alias("broad_width"),
+                    F.size("sub_dims").cast("long").alias("sub_width"),
+                    F.size("niche_dims").cast("long").alias("niche_width"))
+
+
+def q_text_embed(spark, sf):
+    """V2 default encoder on every whole document, then V3 to 64 dims."""
+    from .operators.views import pca_reduce, tfidf_vectors
+    from .sources.tables import table
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    z = pca_reduce(tfidf_vectors(d, "text"), 64)
+    return z.select("id", F.size("vec").cast("long").alias("width"),
+                    r4(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+
+
+def q_pca_views(spark, sf):
+    """V4: the six record views encoded and reduced to their configured widths."""
+    from .operators.views import build_views
+    v = build_views(_kc(spark, sf))
+    return v.select("id", "view", F.size("vec").cast("long").alias("width"))
+
+
 # ---------------------------------------------------------------- end to end
 
 def taxonomy_inputs(spark, sf):
@@ -147,6 +240,7 @@ def flagship(spark, sf):
     return q_taxonomy(spark, sf)
 
 
+
 # ---------------------------------------------------------------- text layer (records fixture)
 
 def _records(spark, sf):
@@ -344,14 +438,12 @@ def q_umbrella(spark, sf):
 
 
 def q_enforce_umbrella(spark, sf):
-    from .operators.rules import enforce_umbrella
-    p = _profiles(spark, sf)
-    lab = F.element_at(F.col("industries"), 1)
-    return p.select(F.col("cid").cast("long").alias("cluster"),
-                    enforce_umbrella(F.coalesce(lab, F.lit("")), "texts").alias("default_sector"),
-                    enforce_umbrella(F.coalesce(lab, F.lit("")), "texts", FITTED_SECTORS, FITTED_UMBRELLAS)
-                    .alias("fitted_sector"),
-                    enforce_umbrella(F.col("head"), "texts").alias("head_sector"))
+    from .operators.rules import with_enforce_umbrella
+    p = _profiles(spark, sf).withColumn("_l", F.coalesce(F.element_at(F.col("industries"), 1), F.lit("")))
+    p = with_enforce_umbrella(p, "_l", "texts", "default_sector")
+    p = with_enforce_umbrella(p, "_l", "texts", "fitted_sector", FITTED_SECTORS, FITTED_UMBRELLAS)
+    p = with_enforce_umbrella(p, "head", "texts", "head_sector")
+    return p.select(F.col("cid").cast("long").alias("cluster"), "default_sector", "fitted_sector", "head_sector")
 
 
 def q_canonical_head(spark, sf):
@@ -365,12 +457,13 @@ def q_role_suffix(spark, sf):
 
 
 def q_head_suffix(spark, sf):
-    from .operators.rules import force_head_suffix
+    from .operators.rules import with_force_head_suffix
     p = _profiles(spark, sf)
-    raw = F.concat(F.element_at("services", 1), F.lit(" Integrators and suppliers & distributors"))
-    return p.select(F.col("cid").cast("long").alias("cluster"),
-                    force_head_suffix(F.coalesce(raw, F.lit("")), "Sub", "head", "suffix", "texts").alias("sub_label"),
-                    force_head_suffix(F.col("head"), "Broad", "head", "suffix", "texts").alias("broad_label"))
+    p = p.withColumn("_raw", F.coalesce(F.concat(F.element_at("services", 1),
+                                                 F.lit(" Integrators and suppliers & distributors")), F.lit("")))
+    p = with_force_head_suffix(p, "_raw", "Sub", "head", "suffix", "texts", "sub_label")
+    p = with_force_head_suffix(p, "head", "Broad", "head", "suffix", "texts", "broad_label")
+    return p.select(F.col("cid").cast("long").alias("cluster"), "sub_label", "broad_label")
 
 
 def q_fallback_label(spark, sf):
@@ -608,4 +701,14 @@ QUERIES = {
     "balance_stats": q_balance_stats,
     "silhouette": q_silhouette,
     "k_score": q_k_score,
+    "spectral_embed": q_spectral_embed,
+    "spectral_distributed": q_spectral_distributed,
+    "choose_k": q_choose_k,
+    "kmeans_level": q_kmeans_level,
+    "sample_cap": q_sample_cap,
+    "run_level": q_run_level,
+    "hierarchy": q_hierarchy,
+    "text_embed": q_text_embed,
+    "pca_views": q_pca_views,
 }
+QUERIES["taxonomy"] = q_taxonomy

@@ -56,19 +56,24 @@ def umbrella_from_texts(blob, rules=BROAD_RULES, default=BROAD_DEFAULT) -> Colum
     return first_match(F.lower(_c(blob)), rules, default)
 
 
-def enforce_umbrella(label, texts, rules=BROAD_RULES, umbrellas=BROAD_UMBRELLAS) -> Column:
+def with_enforce_umbrella(df: DataFrame, label, texts, out: str, rules=BROAD_RULES,
+                          umbrellas=BROAD_UMBRELLAS) -> DataFrame:
     """R2: empty / generic labels fall back to R1; then the first listed sector contained in the
-    label, or containing it (after folding to ``a-z0-9`` words), else the title-cased label."""
-    lab = _c(label)
+    label, or containing it (after folding to ``a-z0-9`` words), else the title-cased label.
+    Staged: the label and its folded form are columns, so the 2 x 12 containment tests
+    reference them instead of copying the expression."""
+    lab, base = f"_{out}_lab", f"_{out}_base"
     ban = _ban_array()
-    lab = F.when((lab == "") | F.array_contains(ban, F.lower(lab)), umbrella_from_texts(texts, rules)).otherwise(lab)
-    base = normalize_alnum(lab)
-    out = None
+    lc = _c(label)
+    df = df.withColumn(lab, F.when((lc == "") | F.array_contains(ban, F.lower(lc)),
+                                   umbrella_from_texts(texts, rules)).otherwise(lc))
+    df = df.withColumn(base, normalize_alnum(lab))
+    res = None
     for umb in umbrellas:
         cand = re.sub(r"[^a-z0-9]+", " ", umb.lower()).strip()
-        cond = (F.instr(base, cand) > 0) | (F.instr(F.lit(cand), base) > 0)
-        out = F.when(cond, F.lit(umb)) if out is None else out.when(cond, F.lit(umb))
-    return out.otherwise(title_case_keep_acronyms(lab))
+        cond = (F.instr(F.col(base), cand) > 0) | (F.instr(F.lit(cand), F.col(base)) > 0)
+        res = F.when(cond, F.lit(umb)) if res is None else res.when(cond, F.lit(umb))
+    return df.withColumn(out, res.otherwise(title_case_keep_acronyms(lab))).drop(lab, base)
 
 
 # ---------------------------------------------------------------- R3, W9
@@ -120,53 +125,64 @@ def _suffix_rx(s: str) -> str:
     return r"(?i)\b" + s + r"\b"
 
 
-def force_head_suffix(label, level: str, head, suffix, texts, compat: bool = True,
-                      rules=BROAD_RULES) -> Column:
-    """R6. ``head``: the rule/n-gram head of the cluster; ``suffix``: its role suffix; ``texts``:
-    the texts blob for sector rules. Broad -> a sector without role words, at most 4 words.
-    Sub / Niche -> "Head Suffix": a suffix named in the label wins and the words before it
-    are the head; at most ``MAX_LABEL_WORDS`` words (``compat`` keeps the original cut that
-    keeps only the last word or two of the suffix)."""
-    lab = sanitize_label(label)
+def with_force_head_suffix(df: DataFrame, label, level: str, head, suffix, texts, out: str,
+                           compat: bool = True, rules=BROAD_RULES) -> DataFrame:
+    """R6, staged into columns. ``head``: the rule/n-gram head of the cluster; ``suffix``: its
+    role suffix; ``texts``: the texts blob for sector rules. Broad -> a sector without role
+    words, at most 4 words. Sub / Niche -> "Head Suffix": a suffix named in the label wins and
+    the words before it are the head; at most ``MAX_LABEL_WORDS`` words (``compat`` keeps the
+    original cut that keeps only the last word or two of the suffix)."""
+    t = f"_{out}_"
+    df = df.withColumn(t + "lab", sanitize_label(label))
+    lab = F.col(t + "lab")
     if level == "Broad":
-        h = title_case_keep_acronyms(enforce_umbrella(lab, texts, rules))
+        df = with_enforce_umbrella(df, lab, texts, t + "umb", rules)
+        h = title_case_keep_acronyms(t + "umb")
         h = py_strip(F.regexp_replace(h, r"(?i)\b(" + "|".join(BROAD_STRIP_SUFFIXES) + r")\b", ""))
-        h = sanitize_label(h)
-        return F.array_join(F.slice(_words(h), 1, 4), " ")
+        df = df.withColumn(t + "h", sanitize_label(h))
+        return (df.withColumn(out, F.array_join(F.slice(_words(t + "h"), 1, 4), " "))
+                  .drop(t + "lab", t + "umb", t + "h"))
     found = None
     for suf in VALID_SUFFIXES:
         cond = lab.rlike(_suffix_rx(suf))
         found = F.when(cond, F.lit(suf)) if found is None else found.when(cond, F.lit(suf))
+    df = df.withColumn(t + "found", found)
+    fd = F.col(t + "found")
     before = None
     for suf in VALID_SUFFIXES:
         part = F.regexp_extract(lab, r"(?i)^(.*?)\b" + re.escape(suf) + r"\b", 1)
-        before = (F.when(found == suf, part) if before is None else before.when(found == suf, part))
-    head_part = py_strip(before)
-    named = F.when(found.isNotNull() & (head_part != "") & ~F.array_contains(_ban_array(), F.lower(head_part)),
-                   head_part)
-    h = F.coalesce(named, _c(head))
-    hw = _words(h)
+        before = F.when(fd == suf, part) if before is None else before.when(fd == suf, part)
+    df = df.withColumn(t + "hp", py_strip(before))
+    hp = F.col(t + "hp")
+    named = F.when(fd.isNotNull() & (hp != "") & ~F.array_contains(_ban_array(), F.lower(hp)), hp)
+    df = df.withColumn(t + "h0", _words(F.coalesce(named, _c(head))))
+    hw = F.col(t + "h0")
     h = F.when(F.size(hw) > 0, F.array_join(F.slice(hw, 1, 3), " ")).otherwise(F.lit("Specialist"))
-    out = sanitize_label(title_case_keep_acronyms(F.concat(h, F.lit(" "), F.coalesce(found, _c(suffix)))))
-    words = F.split(out, " ")
+    df = df.withColumn(t + "suf", F.coalesce(fd, _c(suffix)))
+    df = df.withColumn(t + "out", sanitize_label(title_case_keep_acronyms(F.concat(h, F.lit(" "), F.col(t + "suf")))))
+    o = F.col(t + "out")
+    df = df.withColumn(t + "w", F.split(o, " "))
+    words = F.col(t + "w")
     cap = MAX_LABEL_WORDS
     if compat:
-        tail = F.when(out.contains("Suppliers") & out.contains("Distributors"), F.lit(2)).otherwise(F.lit(1))
-        cut = F.array_join(F.concat(F.slice(words, 1, F.greatest(F.lit(1), F.lit(cap) - tail)),
-                                    F.slice(words, -tail, tail)), " ")
+        tail = F.when(o.contains("Suppliers") & o.contains("Distributors"), F.lit(2)).otherwise(F.lit(1))
     else:  # trim the head, keep the whole suffix
-        sw = F.size(F.split(F.coalesce(found, _c(suffix)), " "))
-        cut = F.array_join(F.concat(F.slice(words, 1, F.greatest(F.lit(1), F.lit(cap) - sw)),
-                                    F.slice(words, -sw, sw)), " ")
-    out = F.when(F.size(words) > cap, cut).otherwise(out)
-    return F.regexp_replace(out, r"(?i)\b(Specialist|Specialists)\b\s+\b(Specialist|Specialists)\b", "Specialists")
+        tail = F.size(F.split(F.col(t + "suf"), " "))
+    cut = F.array_join(F.concat(F.slice(words, 1, F.greatest(F.lit(1), F.lit(cap) - tail)),
+                                F.slice(words, -tail, tail)), " ")
+    res = F.when(F.size(words) > cap, cut).otherwise(o)
+    res = F.regexp_replace(res, r"(?i)\b(Specialist|Specialists)\b\s+\b(Specialist|Specialists)\b", "Specialists")
+    return df.withColumn(out, res).drop(*[t + x for x in ("lab", "found", "hp", "h0", "suf", "out", "w")])
 
 
-def fallback_label(level: str, head, suffix, texts, compat: bool = True, rules=BROAD_RULES) -> Column:
+def with_fallback_label(df: DataFrame, level: str, head, suffix, texts, out: str, compat: bool = True,
+                        rules=BROAD_RULES) -> DataFrame:
     """Rule-only label (no proposer): Broad -> sector of the head; else head + suffix, normalised."""
     if level == "Broad":
-        return title_case_keep_acronyms(enforce_umbrella(_c(head), texts, rules))
-    return force_head_suffix(F.concat(_c(head), F.lit(" "), _c(suffix)), level, head, suffix, texts, compat, rules)
+        df = with_enforce_umbrella(df, head, texts, f"_{out}_u", rules)
+        return df.withColumn(out, title_case_keep_acronyms(f"_{out}_u")).drop(f"_{out}_u")
+    return with_force_head_suffix(df, F.concat(_c(head), F.lit(" "), _c(suffix)), level, head, suffix, texts,
+                                  out, compat, rules)
 
 
 # ---------------------------------------------------------------- M11, M12

@@ -10,14 +10,26 @@ from .sources.tables import SEGMENT_ROLES, TYPE_MODELS, VIEW_SLICES
 from .config import VIEW_WEIGHTS
 
 
+_NV = [0]
+
+
+def _let(expr: str, body) -> str:
+    """Bind ``expr`` once: ``body(name)`` may use ``name`` many times (keeps the SQL linear)."""
+    _NV[0] += 1
+    v = f"v{_NV[0]}"
+    return f"list_transform([{expr}], lambda {v}: {body(v)})[1]"
+
+
 def r4(x: str) -> str:
     return f"(round(CAST({x} AS DOUBLE), 4) + 0.0)"
 
 
 def _norm(x: str) -> str:
-    nrm = f"sqrt(list_sum(list_transform({x}, lambda t: t * t)))"
-    return (f"CASE WHEN {nrm} > 0 THEN list_transform({x}, lambda t: t / {nrm}) "
-            f"ELSE list_transform({x}, lambda t: t * 0.0) END")
+    def body(v):
+        nrm = f"sqrt(list_sum(list_transform({v}, lambda t: t * t)))"
+        return (f"CASE WHEN {nrm} > 0 THEN list_transform({v}, lambda t: t / {nrm}) "
+                f"ELSE list_transform({v}, lambda t: t * 0.0) END")
+    return _let(x, body)
 
 
 FULL_VIEW = f"""vecs AS (SELECT vec_id AS id, 'all' AS view, {_norm('CAST(embedding AS DOUBLE[])')} AS x
@@ -166,12 +178,13 @@ RECORDS = f"""records AS (
 
 def _to_list(x: str) -> str:
     """List literal of quoted strings, else split on ``; , | tab``; items trimmed, blanks dropped."""
-    s = _strip(x)
-    quoted = f"regexp_extract_all({s}, '''([^'']*)''', 1)"
-    split = f"string_split_regex({s}, '[;,|]|\\t')"
-    return (f"(CASE WHEN {s} = '' THEN []::VARCHAR[] "
-            f"WHEN {s} LIKE '[%]' THEN list_filter(list_transform({quoted}, lambda t: {_strip('t')}), lambda t: t <> '') "
-            f"ELSE list_filter(list_transform({split}, lambda t: {_strip('t')}), lambda t: t <> '') END)")
+    def body(s):
+        quoted = f"regexp_extract_all({s}, '''([^'']*)''', 1)"
+        split = f"string_split_regex({s}, '[;,|]|\\t')"
+        return (f"(CASE WHEN {s} = '' THEN []::VARCHAR[] "
+                f"WHEN {s} LIKE '[%]' THEN list_filter(list_transform({quoted}, lambda t: {_strip('t')}), lambda t: t <> '') "
+                f"ELSE list_filter(list_transform({split}, lambda t: {_strip('t')}), lambda t: t <> '') END)")
+    return _let(_strip(x), body)
 
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in __import__('mvtax.config', fromlist=['x']).STOPWORDS) + "]"
@@ -204,21 +217,23 @@ def _title(x: str) -> str:
 
 
 def _pytitle(x: str) -> str:
-    chars = f"string_split({x}, '')"
-    return (f"array_to_string(list_transform({chars}, lambda ch, i: CASE WHEN i = 1 OR NOT regexp_full_match("
-            f"{chars}[i - 1], '[A-Za-z]') THEN upper(ch) ELSE lower(ch) END), '')")
+    def body(chars):
+        return (f"array_to_string(list_transform({chars}, lambda ch, i: CASE WHEN i = 1 OR NOT regexp_full_match("
+                f"{chars}[i - 1], '[A-Za-z]') THEN upper(ch) ELSE lower(ch) END), '')")
+    return _let(f"string_split({x}, '')", body)
 
 
 def _collapse_dups(x: str) -> str:
     """Drop a word run equal (case-insensitively) to the run two pieces back when only spaces
     separate them - the repeated-word rule without back-references."""
-    pieces = f"regexp_extract_all({x}, '(\\w+|\\W+)', 1)"
-    keep = (f"list_filter({pieces}, lambda p, i: NOT ("
-            f"(regexp_full_match(p, '\\w+') AND i >= 3 AND regexp_full_match({pieces}[i - 1], '\\s+') "
-            f"AND lower({pieces}[i - 2]) = lower(p)) OR "
-            f"(regexp_full_match(p, '\\s+') AND i >= 2 AND i < len({pieces}) "
-            f"AND regexp_full_match({pieces}[i + 1], '\\w+') AND lower({pieces}[i - 1]) = lower({pieces}[i + 1]))))")
-    return f"array_to_string({keep}, '')"
+    def body(pc):
+        keep = (f"list_filter({pc}, lambda p, i: NOT ("
+                f"(regexp_full_match(p, '\\w+') AND i >= 3 AND regexp_full_match({pc}[i - 1], '\\s+') "
+                f"AND lower({pc}[i - 2]) = lower(p)) OR "
+                f"(regexp_full_match(p, '\\s+') AND i >= 2 AND i < len({pc}) "
+                f"AND regexp_full_match({pc}[i + 1], '\\w+') AND lower({pc}[i - 1]) = lower({pc}[i + 1]))))")
+        return f"array_to_string({keep}, '')"
+    return _let(f"regexp_extract_all({x}, '(\\w+|\\W+)', 1)", body)
 
 
 def _sanitize(x: str) -> str:
@@ -289,3 +304,333 @@ FROM part""",
 FROM part""",
 }
 ORACLE.update(TEXT_ORACLE)
+
+
+# ---------------------------------------------------------------- profiles, rules, labels
+
+from .config import (BROAD_RULES as _BR, BROAD_STRIP_SUFFIXES as _BSS, BROAD_UMBRELLAS as _BU,  # noqa: E402
+                     CACHE_VERSION as _CV, HEAD_RULES as _HR, LAB_SUFFIX_RULES as _LR, PROFILE_CAPS as _CAPS,
+                     ROLE_HINTS as _RH, ROLE_STEMS as _RS, VALID_SUFFIXES as _VS)
+
+_ROLE_KEYS = [k for k, _ in _RH]
+_ROLE_SUF = [v for _, v in _RH]
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _first_match(blob: str, rules, default: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({blob}, {_q(p)}) THEN {_q(v)}" for p, v in rules) + \
+        f" ELSE {default} END"
+
+
+def _fmt2(c: str, t: str) -> str:
+    q = f"(100 * ({c}) // ({t}))"
+    r2 = f"((100 * ({c}) - {q} * ({t})) * 2)"
+    h = f"(CASE WHEN {r2} > ({t}) THEN {q} + 1 WHEN {r2} < ({t}) THEN {q} ELSE CASE WHEN {q} % 2 = 0 THEN {q} ELSE {q} + 1 END END)"
+    return h
+
+
+def _ratio2(c: str, t: str) -> str:
+    h = _fmt2(c, t)
+    return f"(CAST({h} // 100 AS VARCHAR) || '.' || lpad(CAST({h} % 100 AS VARCHAR), 2, '0'))"
+
+
+def _norm_alnum(x: str) -> str:
+    return _strip(f"regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')")
+
+
+def _enforce(label: str, texts: str, rules=_BR, umbrellas=_BU) -> str:
+    import re as _re
+
+    def body(lab):
+        def inner(base):
+            whens = " ".join(
+                f"WHEN contains({base}, {_q(_re.sub(r'[^a-z0-9]+', ' ', u.lower()).strip())}) OR "
+                f"contains({_q(_re.sub(r'[^a-z0-9]+', ' ', u.lower()).strip())}, {base}) THEN {_q(u)}"
+                for u in umbrellas)
+            return f"(CASE {whens} ELSE {_title(lab)} END)"
+        return _let(_norm_alnum(lab), inner)
+    lab0 = (f"(CASE WHEN {label} = '' OR list_contains({BAN_SQL}, lower({label})) THEN "
+            f"{_first_match(f'lower({texts})', rules, _q('Specialist Sector'))} ELSE {label} END)")
+    return _let(lab0, body)
+
+
+def _words(x: str) -> str:
+    return f"list_filter(string_split_regex({x}, '{WSC}+'), lambda w: w <> '')"
+
+
+def _force(label: str, level: str, head: str, suffix: str, texts: str) -> str:
+    import re as _re
+    if level == "Broad":
+        def broad(lab):
+            h = _title(_enforce(lab, texts))
+            h = _strip(f"regexp_replace({h}, '(?i)\\b({'|'.join(_BSS)})\\b', '', 'g')")
+            return _let(_sanitize(h), lambda hh: f"array_to_string({_words(hh)}[1:4], ' ')")
+        return _let(_sanitize(label), broad)
+
+    def with_lab(lab):
+        found = "(CASE " + " ".join(
+            f"WHEN regexp_matches({lab}, {_q('(?i)' + chr(92) + 'b' + x + chr(92) + 'b')}) THEN {_q(x)}"
+            for x in _VS) + " END)"
+
+        def with_found(fd):
+            before = "(CASE " + " ".join(
+                f"WHEN {fd} = {_q(x)} THEN regexp_extract({lab}, "
+                f"{_q('(?i)^(.*?)' + chr(92) + 'b' + _re.escape(x) + chr(92) + 'b')}, 1)" for x in _VS) + " END)"
+
+            def with_hp(hp):
+                named = (f"(CASE WHEN {fd} IS NOT NULL AND {hp} <> '' AND NOT list_contains({BAN_SQL}, lower({hp})) "
+                         f"THEN {hp} END)")
+
+                def with_h0(h0):
+                    h = (f"(CASE WHEN len({_words(h0)}) > 0 THEN array_to_string({_words(h0)}[1:3], ' ') "
+                         f"ELSE 'Specialist' END)")
+
+                    def with_out(out):
+                        def with_words(words):
+                            tail = (f"(CASE WHEN contains({out}, 'Suppliers') AND contains({out}, 'Distributors') "
+                                    f"THEN 2 ELSE 1 END)")
+                            cut = (f"array_to_string(list_concat({words}[1:greatest(1, 5 - {tail})], "
+                                   f"{words}[len({words}) - {tail} + 1:len({words})]), ' ')")
+                            out2 = f"(CASE WHEN len({words}) > 5 THEN {cut} ELSE {out} END)"
+                            return (f"regexp_replace({out2}, '(?i)\\b(Specialist|Specialists)\\b\\s+"
+                                    f"\\b(Specialist|Specialists)\\b', 'Specialists', 'g')")
+                        return _let(f"string_split({out}, ' ')", with_words)
+                    return _let(_sanitize(_title(f"({h} || ' ' || coalesce({fd}, {suffix}))")), with_out)
+                return _let(f"coalesce({named}, {head})", with_h0)
+            return _let(_strip(before), with_hp)
+        return _let(found, with_found)
+    return _let(_sanitize(label), with_lab)
+
+
+def _profile_ctes(p: str, level: str) -> str:
+    """CTEs ``{p}prof`` etc.: one row per cluster (nation for Sub, region for Broad)."""
+    key = "c.c_nationkey" if level == "Sub" else "n.n_regionkey"
+    caps = {"industries": ("industry", False), "services": ("services", False), "summaries": ("ai_summary", False),
+            "company_names": ("company_name", True), "business_models": ("business_model", False)}
+    parts = [f"""{p}asg AS (SELECT d.doc_id AS id, CAST(coalesce({key}, -1) AS INTEGER) AS cid
+  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""]
+    for name, (col, keep) in caps.items():
+        cond = "" if keep else f"WHERE {_strip('r.' + col)} <> ''"
+        parts.append(f"""{p}f_{name} AS (SELECT cid, list(v ORDER BY id) AS {name} FROM (
+  SELECT a.cid, r.id, r.{col} AS v, row_number() OVER (PARTITION BY a.cid ORDER BY r.id) AS rn
+  FROM records r JOIN {p}asg a USING (id) {cond}) WHERE rn <= {_CAPS[name]} GROUP BY cid)""")
+    parts.append(f"""{p}kw AS (SELECT a.cid, r.id, s.kw, s.pos FROM records r JOIN {p}asg a USING (id),
+  unnest(list_transform({_to_list('r.keywords')}, lambda x, i: {{'kw': x, 'pos': i}})) AS u(s))""")
+    parts.append(f"""{p}kwc AS (SELECT cid, kw, count(*) AS cnt, min(id * 1000000 + pos) AS first FROM {p}kw GROUP BY cid, kw)""")
+    parts.append(f"""{p}kwt AS (SELECT cid, kw, cnt, row_number() OVER (PARTITION BY cid ORDER BY cnt DESC, first) AS rk FROM {p}kwc)""")
+    parts.append(f"""{p}f_kw AS (SELECT cid, list(kw ORDER BY rk) AS top_keywords FROM {p}kwt WHERE rk <= 40 GROUP BY cid)""")
+    keys = "[" + ", ".join(_q(k) for k in _ROLE_KEYS) + "]"
+    toks = (f"list_concat({_tokens(f'array_to_string({_to_list(chr(114) + chr(46) + chr(114) + chr(111) + chr(108) + chr(101) + chr(115))}, chr(32))')}, "
+            f"{_tokens(f'array_to_string({_to_list(chr(114) + chr(46) + chr(98) + chr(117) + chr(115) + chr(105) + chr(110) + chr(101) + chr(115) + chr(115) + chr(95) + chr(109) + chr(111) + chr(100) + chr(101) + chr(108))}, chr(32))')})")
+    parts.append(f"""{p}rt AS (SELECT a.cid, list_filter({toks}, lambda t: list_contains({keys}, t)) AS rt,
+  ' ' || lower(r.services) || ' ' AS sv, ' ' || lower(r.ai_summary) || ' ' AS sm FROM records r JOIN {p}asg a USING (id))""")
+    aggs = [f"sum(len(list_filter(rt, lambda t: t = {_q(k)}))) AS t{i}" for i, k in enumerate(_ROLE_KEYS)]
+    aggs += [f"bool_or(contains(sv, {_q(s)}) OR contains(sm, {_q(s)})) AS s{j}" for j, (s, _) in enumerate(_RS)]
+    parts.append(f"""{p}rca AS (SELECT cid, {', '.join(aggs)} FROM {p}rt GROUP BY cid)""")
+    cnts = []
+    for i, k in enumerate(_ROLE_KEYS):
+        e = f"CAST(coalesce(t{i}, 0) AS BIGINT)"
+        for j, (_, role) in enumerate(_RS):
+            if role == k:
+                e += f" + CASE WHEN s{j} THEN 1 ELSE 0 END"
+        cnts.append(e)
+    parts.append(f"""{p}rc AS (SELECT cid, [{', '.join(cnts)}] AS role_counts FROM {p}rca)""")
+    parts.append(f"""{p}base AS (SELECT s.cid, s.size, coalesce(k.top_keywords, []::VARCHAR[]) AS top_keywords,
+  {', '.join(f'coalesce({p}f_{n}.{n}, []::VARCHAR[]) AS {n}' for n in caps)},
+  rc.role_counts, greatest(1, list_sum(rc.role_counts)) AS role_total
+  FROM (SELECT cid, count(*) AS size FROM {p}asg GROUP BY cid) s
+  LEFT JOIN {p}f_kw k USING (cid) {' '.join(f'LEFT JOIN {p}f_{n} USING (cid)' for n in caps)}
+  LEFT JOIN {p}rc rc USING (cid))""")
+    if level == "Sub":
+        par = f"""{p}par AS (SELECT DISTINCT CAST(c.c_nationkey AS INTEGER) AS cid, CAST(n.n_regionkey AS INTEGER) AS parent_id,
+  'Region ' || CAST(n.n_regionkey AS VARCHAR) AS parent_label
+  FROM documents d JOIN customer c ON c.c_custkey = d.doc_id JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
+    else:
+        par = f"""{p}par AS (SELECT DISTINCT cid, CAST(NULL AS INTEGER) AS parent_id, CAST(NULL AS VARCHAR) AS parent_label FROM {p}asg)"""
+    parts.append(par)
+    texts = "array_to_string(list_concat(services, summaries, industries), ' ')"
+    hblob = f"lower({texts} || ' ' || array_to_string(top_keywords, ' '))"
+    parts.append(f"""{p}b2 AS (SELECT b.*, pr.parent_id, pr.parent_label, {texts} AS texts, {hblob} AS hblob,
+  lower(array_to_string(list_concat(services, summaries, industries, top_keywords), ' ')) AS sblob
+  FROM {p}base b LEFT JOIN {p}par pr USING (cid))""")
+    gh = _gram_head_sql(f"{p}b2", "cid", "hblob").replace("tk AS", f"{p}tk AS").replace("FROM tk", f"FROM {p}tk") \
+        .replace("gr AS", f"{p}gr AS").replace("FROM gr", f"FROM {p}gr").replace("grc AS", f"{p}grc AS") \
+        .replace("FROM grc", f"FROM {p}grc").replace("gbest AS", f"{p}gbest AS")
+    parts.append(gh)
+    sufs = "[" + ", ".join(_q(s) for s in _ROLE_SUF) + "]"
+    head = _first_match("hblob", _HR, "CASE WHEN coalesce(gram_head, '') <> '' THEN gram_head ELSE 'Specialist' END")
+    suffix = _first_match("sblob", _LR, f"{sufs}[list_position(role_counts, list_max(role_counts))]")
+    parts.append(f"""{p}b3 AS (SELECT b.*, g.gram_head, {head} AS head, {suffix} AS suffix
+  FROM {p}b2 b LEFT JOIN {p}gbest g ON g.k = b.cid)""")
+    order = sorted(range(len(_ROLE_KEYS)), key=lambda i: f"{_ROLE_KEYS[i]}:")
+    ratios = " || ',' || ".join(f"{_q(_ROLE_KEYS[i] + ':')} || {_ratio2(f'role_counts[{i + 1}]', 'role_total')}"
+                                for i in order)
+    ck = (f"concat_ws('|', {_q(_CV)}, '{level}', CAST(cid AS VARCHAR), coalesce(parent_label, ''), CAST(size AS VARCHAR), "
+          f"array_to_string(top_keywords[1:12], ','), array_to_string(company_names[1:6], ','), "
+          f"array_to_string(industries[1:6], ','), array_to_string(services[1:6], ','), {ratios})")
+    if level == "Broad":
+        fb = _title(_enforce("head", "texts"))
+    else:
+        fb = _force("(head || ' ' || suffix)", "Sub", "head", "suffix", "texts")
+    parts.append(f"""{p}prof AS (SELECT *, {ck} AS cache_key, {fb} AS fallback FROM {p}b3)""")
+    return ",\n".join(parts)
+
+
+def _with_prof(final: str, levels=("Sub",)) -> str:
+    ctes = [RECORDS] + [_profile_ctes("s_" if lv == "Sub" else "b_", lv) for lv in levels]
+    return "WITH " + ",\n".join(ctes) + "\n" + final
+
+
+def _context() -> str:
+    pct = lambda i: _fmt2(f"role_counts[{i + 1}]", "role_total")
+    items = ", ".join(f"{{'nc': -role_counts[{i + 1}], 'i': {i}, 's': {_q(k + ':')} || CAST({pct(i)} AS VARCHAR) || '%'}}"
+                      for i, k in enumerate(_ROLE_KEYS))
+    mix = f"'Role mix: ' || array_to_string(list_transform(list_sort([{items}])[1:6], lambda x: x.s), ', ')"
+    return ("concat_ws(chr(10), 'Level: Sub' || CASE WHEN coalesce(parent_label, '') <> '' THEN ' (child of ''' || parent_label || ''')' ELSE '' END, "
+            "'Size: ' || CAST(size AS VARCHAR), "
+            "CASE WHEN len(company_names) > 0 THEN 'Examples: ' || array_to_string(company_names, ', ') END, "
+            "CASE WHEN len(services) > 0 THEN 'Services: ' || array_to_string(services, '; ') END, "
+            "CASE WHEN len(top_keywords) > 0 THEN 'Key terms: ' || array_to_string(top_keywords[1:16], ', ') END, "
+            f"{mix})")
+
+
+_FITTED = ((r"\b(ring|bolt|gear)\b", "Fasteners & Gears"), (r"\b(widget|gizmo)\b", "Widgets & Gadgets"),
+           (r"\b(machinery|building)\b", "Machinery & Building"))
+_FITTED_U = ("Fasteners & Gears", "Widgets & Gadgets", "Machinery & Building", "Household Goods")
+
+
+def _dedupe_sql() -> str:
+    blob = "array_to_string(list_concat(services, summaries, top_keywords), ' ')"
+    return _with_prof(f""",
+lab AS (SELECT cid, parent_id, fallback AS label, count(*) OVER (PARTITION BY parent_id, fallback) > 1 AS dup FROM s_prof),
+tk2 AS (SELECT l.cid, l.parent_id, l.label, {_tokens(blob)} AS t FROM lab l JOIN s_prof p USING (cid) WHERE l.dup),
+g2 AS (SELECT DISTINCT cid, parent_id, label, gram FROM tk2, unnest(list_concat({_ngrams('t', 2)}, {_ngrams('t', 3)})) AS u(gram)
+       WHERE NOT list_has_any(string_split(gram, ' '), {BAN_SQL})),
+own AS (SELECT parent_id, label, gram, count(DISTINCT cid) AS nc, min(cid) AS cid FROM g2 GROUP BY parent_id, label, gram),
+best AS (SELECT cid, gram FROM (SELECT cid, gram, row_number() OVER (PARTITION BY cid ORDER BY len(string_split(gram, ' ')) DESC, gram) AS r
+         FROM own WHERE nc = 1) WHERE r = 1),
+spec AS (SELECT cid, array_to_string(list_transform(string_split(gram, ' '), lambda w: {_pytitle('w')}), ' ') AS spec FROM best)
+SELECT CAST(l.cid AS BIGINT) AS cluster, CAST(l.parent_id AS BIGINT) AS parent,
+       CASE WHEN l.dup AND s.spec IS NOT NULL AND s.spec <> '' THEN {_sanitize("l.label || ' (' || s.spec || ')'")} ELSE l.label END AS label
+FROM lab l LEFT JOIN spec s USING (cid)""".lstrip().replace(",\nlab AS", "lab AS", 0)).replace("\n,\nlab AS", ",\nlab AS")
+
+
+RULE_ORACLE = {
+    "first_n": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, " + ", ".join(
+        f"array_to_string({n}, '|') AS {n}" for n in ("industries", "services", "summaries", "company_names",
+                                                       "business_models")) + " FROM s_base"),
+    "top_keywords": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, CAST(rk AS BIGINT) AS rank, kw, CAST(cnt AS BIGINT) AS cnt "
+                               "FROM s_kwt WHERE rk <= 40"),
+    "role_ratios": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, array_to_string(role_counts, ',') AS counts, "
+                              "CAST(role_total AS BIGINT) AS total, " + " || ',' || ".join(
+                                  f"{_q(_ROLE_KEYS[i] + ':')} || {_ratio2(f'role_counts[{i + 1}]', 'role_total')}"
+                                  for i in sorted(range(10), key=lambda i: _ROLE_KEYS[i] + ':')) + " AS ratios FROM s_base"),
+    "cluster_profile": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, CAST(size AS BIGINT) AS size, "
+                                  "array_to_string(top_keywords, '|') AS top_keywords, array_to_string(services, '|') AS services, "
+                                  "array_to_string(company_names, '|') AS company_names, array_to_string(industries, '|') AS industries FROM s_prof"),
+    "census": f"""WITH {RECORDS}
+SELECT CAST(c.c_nationkey AS BIGINT) AS cluster, n.n_name AS name, CAST(count(*) AS BIGINT) AS count
+FROM records r JOIN customer c ON c.c_custkey = r.id JOIN nation n ON n.n_nationkey = c.c_nationkey
+GROUP BY c.c_nationkey, n.n_name ORDER BY count DESC, cluster LIMIT 20""",
+    "umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_first_match('lower(texts)', _BR, _q('Specialist Sector'))} AS default_rules, "
+                           f"{_first_match('lower(texts)', _FITTED, _q('Specialist Sector'))} AS fitted_rules FROM s_prof"),
+    "enforce_umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_enforce(chr(99) + 'oalesce(industries[1], ' + chr(39) + chr(39) + ')', 'texts')} AS default_sector, "
+                                   f"{_enforce('coalesce(industries[1], ' + chr(39) + chr(39) + ')', 'texts', _FITTED, _FITTED_U)} AS fitted_sector, "
+                                   f"{_enforce('head', 'texts')} AS head_sector FROM s_prof"),
+    "canonical_head": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, gram_head, head FROM s_prof"),
+    "role_suffix": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, suffix FROM s_prof"),
+    "head_suffix": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, "
+                              f"{_force(chr(99) + 'oalesce(services[1] || ' + _q(' Integrators and suppliers & distributors') + ', ' + chr(39) + chr(39) + ')', 'Sub', 'head', 'suffix', 'texts')} AS sub_label, "
+                              f"{_force('head', 'Broad', 'head', 'suffix', 'texts')} AS broad_label FROM s_prof"),
+    "fallback_label": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, 'Broad' AS level, fallback AS label FROM b_prof "
+                                 "UNION ALL SELECT CAST(cid AS BIGINT) AS cluster, 'Sub' AS level, fallback AS label FROM s_prof",
+                                 ("Sub", "Broad")),
+    "cache_key": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, cache_key FROM s_prof"),
+    "context_text": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_context()} AS context FROM s_prof"),
+    "sibling_dedupe": _dedupe_sql(),
+    "label_attach": _with_prof("""SELECT a.id, s.fallback AS sub_label, b.fallback AS broad_label
+FROM s_asg a LEFT JOIN s_prof s ON s.cid = a.cid LEFT JOIN b_prof b ON b.cid = s.parent_id""", ("Sub", "Broad")),
+    "cache_probe": _with_prof("""SELECT CAST(b.cid AS BIGINT) AS cluster, 'Broad' AS level, c.label IS NOT NULL AS hit, coalesce(c.label, b.fallback) AS label
+FROM b_prof b LEFT JOIN (SELECT cache_key, 'cached ' || fallback AS label FROM b_prof) c USING (cache_key)
+UNION ALL
+SELECT CAST(s.cid AS BIGINT), 'Sub', c.label IS NOT NULL, coalesce(c.label, s.fallback)
+FROM s_prof s LEFT JOIN (SELECT cache_key, 'cached ' || fallback AS label FROM b_prof) c USING (cache_key)""", ("Sub", "Broad")),
+}
+ORACLE.update(RULE_ORACLE)
+
+
+# ---------------------------------------------------------------- clustering operators
+
+_XL = f"""x AS (SELECT vec_id AS id, CAST(label AS INTEGER) AS label, {_norm('CAST(embedding AS DOUBLE[])')} AS v
+       FROM embeddings),
+xe AS (SELECT id, label, p, v[p] AS e FROM x, range(1, 65) t(p)),
+cm AS (SELECT label, p, avg(e) AS m, count(*) AS size FROM xe GROUP BY label, p),
+cn AS (SELECT label, size, list(m ORDER BY p) AS mv FROM cm GROUP BY label, size),
+cent AS (SELECT label, size, {_norm('mv')} AS c FROM cn)"""
+
+
+def _dense_rank_sql(src: str, part: str) -> str:
+    return f"SELECT *, dense_rank() OVER (PARTITION BY {part} ORDER BY label) - 1 AS nl FROM {src}"
+
+
+CLUSTER_ORACLE = {
+    "centroids": f"""WITH {_XL}
+SELECT CAST(label AS BIGINT) AS label, CAST(size AS BIGINT) AS size, CAST(p - 1 AS BIGINT) AS pos, {r4('c[p]')} AS x
+FROM cent, range(1, 65) t(p)""",
+    "refine_centroid": f"""WITH {_XL},
+sims AS (SELECT x.id, x.label AS cur, cent.label AS cl, list_inner_product(x.v, cent.c) AS sim FROM x JOIN cent ON TRUE),
+best AS (SELECT id, cur, arg_max(cl, sim * 1e6 - cl * 1e-9) AS bl, max(sim) AS bs,
+                max(CASE WHEN cl = cur THEN sim END) AS cs FROM sims GROUP BY id, cur),
+b2 AS (SELECT s.id, s.cur, min(s.cl) AS bl, b.bs, b.cs FROM sims s JOIN best b USING (id) WHERE s.sim = b.bs GROUP BY s.id, s.cur, b.bs, b.cs)
+SELECT id, CAST(CASE WHEN bs - cs > 0.025 THEN bl ELSE cur END AS BIGINT) AS label FROM b2""",
+    "merge_small": f"""WITH {_XL},
+sm AS (SELECT label, c FROM cent WHERE size < 50),
+lg AS (SELECT label, c FROM cent WHERE size >= 50),
+pr AS (SELECT sm.label AS s, lg.label AS t, list_inner_product(sm.c, lg.c) AS sim FROM sm JOIN lg ON TRUE),
+pb AS (SELECT s, min(t) AS t FROM (SELECT *, max(sim) OVER (PARTITION BY s) AS mx FROM pr WHERE sim > -1.0) WHERE sim = mx GROUP BY s),
+mv AS (SELECT x.id, coalesce(pb.t, x.label) AS label FROM x LEFT JOIN pb ON pb.s = x.label),
+rl AS (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS nl FROM mv)
+SELECT id, CAST(CASE WHEN (SELECT count(*) FROM sm) > 0 THEN nl ELSE (SELECT label FROM x WHERE x.id = rl.id) END AS BIGINT) AS label FROM rl""",
+    "relabel": """WITH l AS (SELECT vec_id AS id, label AS g, CASE WHEN embedding[1] > 0 THEN 7 ELSE 3 END AS label FROM embeddings)
+SELECT id, CAST(dense_rank() OVER (PARTITION BY g ORDER BY label) - 1 AS BIGINT) AS label FROM l""",
+    "child_numbering": """WITH l AS (SELECT vec_id AS id, label AS parent, CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END AS label FROM embeddings),
+pairs AS (SELECT DISTINCT parent, label FROM l),
+num AS (SELECT parent, label, dense_rank() OVER (ORDER BY parent, label) - 1 AS child FROM pairs)
+SELECT l.id, CAST(num.child AS BIGINT) AS child FROM l JOIN num USING (parent, label)""",
+    "pad_dims": f"""WITH z AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[])[1:label] AS z FROM embeddings WHERE label > 0),
+w AS (SELECT max(len(z)) AS w FROM z),
+a AS (SELECT e.vec_id AS id, z.z FROM embeddings e LEFT JOIN z ON z.id = e.vec_id)
+SELECT id, CAST(p - 1 AS BIGINT) AS pos, {r4('coalesce(z[p], 0.0)')} AS x FROM a, w, range(1, w.w + 1) t(p)""",
+    "dims_to_columns": f"""SELECT vec_id AS id, {', '.join(f"{r4(f'embedding[{i}]')} AS broad_dim{i}" for i in range(1, 5))},
+  {r4(' + '.join(f'CAST(embedding[{i}] AS DOUBLE)' for i in range(1, 5)))} AS dims_sum FROM embeddings""",
+    "mean_pool": f"""WITH m AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v,
+                     CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END AS mask FROM embeddings),
+e AS (SELECT label, p, sum(v[p] * mask) AS s FROM m, range(1, 65) t(p) GROUP BY label, p),
+ms AS (SELECT label, sum(mask) AS msum FROM m GROUP BY label),
+pl AS (SELECT e.label, list(s / greatest(msum, 1e-9) ORDER BY p) AS pv FROM e JOIN ms USING (label) GROUP BY e.label),
+n AS (SELECT label, {_norm('pv')} AS x FROM pl)
+SELECT CAST(label AS BIGINT) AS label, CAST(p - 1 AS BIGINT) AS pos, {r4('x[p]')} AS x FROM n, range(1, 65) t(p)""",
+    "concat_views": f"""WITH {_slices_view()},
+o AS (SELECT * FROM (VALUES ('v1', 0), ('v2', 1), ('v3', 2), ('v5', 3), ('v4', 4), ('vloc', 5)) t(view, o)),
+c AS (SELECT id, flatten(list(x ORDER BY o.o)) AS v FROM vecs JOIN o USING (view) GROUP BY id),
+n AS (SELECT id, {_norm('v')} AS v FROM c)
+SELECT id, CAST(p - 1 AS BIGINT) AS pos, {r4('v[p]')} AS x FROM n, range(1, len(v) + 1) t(p)""",
+    "balance_stats": f"""WITH c AS (SELECT label, count(*) AS c FROM embeddings GROUP BY label)
+SELECT {r4('max(c) / sum(c)')} AS big_frac, {r4('stddev_pop(c) / (avg(c) + 1e-9)')} AS imb FROM c""",
+    "silhouette": f"""WITH {_XL},
+d AS (SELECT a.id, a.label AS la, b.label AS lb, greatest(1.0 - list_inner_product(a.v, b.v), 0.0) AS dist
+      FROM x a JOIN x b ON a.id <> b.id),
+per AS (SELECT id, la, lb, avg(dist) AS md FROM d GROUP BY id, la, lb),
+ab AS (SELECT id, max(CASE WHEN la = lb THEN md END) AS a, min(CASE WHEN la <> lb THEN md END) AS b FROM per GROUP BY id)
+SELECT {r4('avg((b - a) / greatest(a, b))')} AS silhouette FROM ab""",
+}
+CLUSTER_ORACLE["k_score"] = CLUSTER_ORACLE["silhouette"].replace(
+    f"SELECT {r4('avg((b - a) / greatest(a, b))')} AS silhouette FROM ab",
+    f""", sil AS (SELECT avg((b - a) / greatest(a, b)) AS sil FROM ab),
+cc AS (SELECT label, count(*) AS c FROM embeddings GROUP BY label),
+st AS (SELECT max(c) / sum(c) AS big, stddev_pop(c) / (avg(c) + 1e-9) AS imb, count(*) AS k FROM cc)
+SELECT {r4('sil + 0.13 * ln(k) - 0.07 * imb - CASE WHEN big > 0.35 THEN 0.35 ELSE 0.0 END')} AS score FROM sil, st""")
+ORACLE.update(CLUSTER_ORACLE)

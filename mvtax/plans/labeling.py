@@ -35,14 +35,14 @@ def labelled_profiles(records: DataFrame, assign: DataFrame, level: str, parents
     else:
         prof = (prof.withColumn("parent_id", F.lit(None).cast("int"))
                     .withColumn("parent_label", F.lit(None).cast("string")))
-    heads = R.gram_heads(prof, ["cid"], R.head_blob())
+    prof = (prof.withColumn("texts", R.texts_blob()).withColumn("hblob", R.head_blob())
+                .withColumn("sblob", R.suffix_blob()))
+    heads = R.gram_heads(prof, ["cid"], F.col("hblob"))
     prof = prof.join(heads, "cid", "left")
-    texts = R.texts_blob()
-    prof = prof.select("*", R.canonical_head(R.head_blob(), "gram_head").alias("head"),
-                       R.role_suffix(R.suffix_blob(), "role_counts").alias("suffix"),
-                       texts.alias("texts"))
-    return prof.select("*", R.cache_key(level, "cid", "parent_label").alias("cache_key"),
-                       R.fallback_label(level, "head", "suffix", "texts", cfg.compat_word_cap).alias("fallback"))
+    prof = (prof.withColumn("head", R.canonical_head("hblob", "gram_head"))
+                .withColumn("suffix", R.role_suffix("sblob", "role_counts"))
+                .withColumn("cache_key", R.cache_key(level, "cid", "parent_label")))
+    return cut_lineage(R.with_fallback_label(prof, level, "head", "suffix", "texts", "fallback", cfg.compat_word_cap))
 
 
 def propose(misses: DataFrame, level: str, proposer: Proposer | None, budget: int) -> DataFrame:
@@ -74,9 +74,11 @@ def label_level(prof: DataFrame, level: str, cache: DataFrame, proposer: Propose
     props = propose(misses, level, proposer, budget)
     used = props.count() if proposer is not None and budget > 0 else 0
     m = misses.join(props, "cid", "left")
-    cand = F.when(F.coalesce(F.col("proposal"), F.lit("")) != "", F.col("proposal")).otherwise(F.col("fallback"))
-    forced = R.force_head_suffix(cand, level, "head", "suffix", "texts", cfg.compat_word_cap)
-    m = m.select("cid", "cache_key", F.when(forced != "", forced).otherwise(F.col("fallback")).alias("label"))
+    m = m.withColumn("_cand", F.when(F.coalesce(F.col("proposal"), F.lit("")) != "", F.col("proposal"))
+                     .otherwise(F.col("fallback")))
+    m = R.with_force_head_suffix(m, "_cand", level, "head", "suffix", "texts", "_forced", cfg.compat_word_cap)
+    m = m.select("cid", "cache_key", F.when(F.col("_forced") != "", F.col("_forced"))
+                 .otherwise(F.col("fallback")).alias("label"))
     hits = j.where(F.col("cached").isNotNull()).select("cid", F.col("cached").alias("label"))
     labels = hits.unionByName(m.select("cid", "label"))
     return labels, m.select("cache_key", "label"), used
