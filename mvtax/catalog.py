@@ -218,6 +218,38 @@ def q_pca_views(spark, sf):
     return v.select("id", "view", F.size("vec").cast("long").alias("width"))
 
 
+def records_hierarchy(spark, sf):
+    """A data-derived three-level assignment of the records: region -> nation -> (nation, segment),
+    numbered like the clustering hierarchy (W8)."""
+    from pyspark.sql import Window
+    from .sources.tables import table
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment")
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    j = d.join(c, "id", "left").join(n, "c_nationkey", "left").select(
+        "id", F.coalesce("n_regionkey", F.lit(-1)).alias("r"), F.coalesce("c_nationkey", F.lit(-1)).alias("nk"),
+        F.coalesce("c_mktsegment", F.lit("")).alias("seg"))
+    pairs = j.select("r", "nk", "seg").distinct()
+    pairs = (pairs.withColumn("cluster_broad", F.dense_rank().over(Window.orderBy("r")) - 1)
+                  .withColumn("cluster_sub", F.dense_rank().over(Window.orderBy("r", "nk")) - 1)
+                  .withColumn("cluster_niche", F.dense_rank().over(Window.orderBy("r", "nk", "seg")) - 1))
+    return j.join(pairs, ["r", "nk", "seg"]).select("id", "cluster_broad", "cluster_sub", "cluster_niche")
+
+
+def q_label_levels(spark, sf):
+    """R8, R9, R11 (+ R10 twice) on the records with a region / nation / segment hierarchy;
+    a deterministic proposer names every tenth cluster id."""
+    import pandas as pd
+    from .plans.labeling import label_levels
+
+    def proposer(contexts, levels, parents):
+        first = contexts.str.split("\n").str[1].str.replace("Size: ", "", regex=False)
+        return pd.Series([f"Size {s} Integrators" if int(s) % 10 == 0 else None for s in first])
+
+    lab, _ = label_levels(_kc(spark, sf), records_hierarchy(spark, sf), proposer=proposer)
+    return lab.select("id", "cluster_label_broad", "cluster_label_sub", "cluster_label_niche")
+
+
 # ---------------------------------------------------------------- end to end
 
 def taxonomy_inputs(spark, sf):
@@ -712,3 +744,4 @@ QUERIES = {
     "pca_views": q_pca_views,
 }
 QUERIES["taxonomy"] = q_taxonomy
+QUERIES["label_levels"] = q_label_levels

@@ -237,7 +237,8 @@ def sibling_dedupe(labels: DataFrame, prof: DataFrame, parent_col: str, cid_col:
     lab = labels.withColumn("_dup", F.count(F.lit(1)).over(w) > 1)
     dups = lab.where("_dup").select(parent_col, cid_col, label_col)
     blob = F.array_join(F.concat("services", "summaries", "top_keywords"), " ")
-    t = prof.join(dups, cid_col).select(parent_col, label_col, cid_col, tokens(blob).alias("_t"))
+    t = (prof.select(cid_col, "services", "summaries", "top_keywords").join(dups, cid_col)
+           .select(parent_col, label_col, cid_col, tokens(blob).alias("_t")))
     grams = (t.select(parent_col, label_col, cid_col,
                       F.explode(F.array_distinct(F.concat(ngrams("_t", 2), ngrams("_t", 3)))).alias("gram"))
               .where(F.size(drop_banned_grams(F.array("gram"))) > 0))

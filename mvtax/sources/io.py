@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,5 +63,5 @@ def write_outputs(result: DataFrame, cache: DataFrame, result_path: str, cache_p
     """The cluster table, and the label cache only when it is non-empty."""
     result.write.mode(mode).parquet(result_path)
     if cache_path and cache.limit(1).count() > 0:
-        seq = F.row_number().over(Window.orderBy("cache_key")) if "seq" not in cache.columns else F.col("seq")
+        seq = F.monotonically_increasing_id() if "seq" not in cache.columns else F.col("seq")
         cache.select("cache_key", "label", seq.alias("seq")).write.mode(mode).parquet(cache_path)
