@@ -238,25 +238,28 @@ def _lloyd(zk: DataFrame, g, cfg: TaxonomyConfig) -> DataFrame:
                             cfg.kmeans_tol)
         return pd.DataFrame([list(key) + [i, C[i]] for i in range(len(C))], columns=[f.name for f in csch.fields])
 
-    cents = smp.groupBy(*g).applyInPandas(seed_centers, csch)
+    cents = cut_lineage(smp.groupBy(*g).applyInPandas(seed_centers, csch))
     pts = cut_lineage(zk)
-    prev = None
+
+    def d2(x, c):
+        return F.aggregate(F.zip_with(x, c, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda a, v: a + v)
+
+    def table(c):  # the centroid table is bounded: large groups x k rows
+        return {(tuple(r[x] for x in g), r["label"]): np.asarray(r["c"]) for r in c.collect()}
+
+    prev = table(cents)
+    lab = None
     for _ in range(cfg.lloyd_max_iter):
-        cents = cut_lineage(cents)
         carr = cents.groupBy(*g).agg(F.collect_list(F.struct("label", "c")).alias("cs"))
-        d2 = lambda x, c: F.aggregate(F.zip_with(x, c, lambda p, q: (p - q) * (p - q)), F.lit(0.0),
-                                      lambda a, v: a + v)
-        lab = (pts.join(carr, g)
-               .select(*g, "id", "x", F.array_min(F.transform(
-                   "cs", lambda c: F.struct(d2(F.col("x"), c["c"]).alias("d"), c["label"].alias("l"))))["l"]
-                   .alias("label")))
-        lab = cut_lineage(lab)
-        new = (lab.groupBy(*g, "label").agg(Summarizer.mean(array_to_vector("x")).alias("m"))
-                  .select(*g, "label", vector_to_array("m").alias("c")))
-        sig = lab.select(F.sum(F.xxhash64(*g, "id", "label") % 1000003)).first()[0]
-        if prev is not None and sig == prev:
+        lab = cut_lineage(pts.join(carr, g).select(*g, "id", "x", F.array_min(F.transform(
+            "cs", lambda c: F.struct(d2(F.col("x"), c["c"]).alias("d"), c["label"].alias("l"))))["l"].alias("label")))
+        new = cut_lineage(lab.groupBy(*g, "label").agg(Summarizer.mean(array_to_vector("x")).alias("m"))
+                             .select(*g, "label", vector_to_array("m").alias("c")))
+        cur = table(new)
+        shift = max((float(((cur[k] - prev[k]) ** 2).sum()) if k in prev else np.inf) for k in cur)
+        cents, prev = new, cur
+        if shift <= cfg.kmeans_tol * 1e-2:
             break
-        prev, cents = sig, new
     return lab.select(*g, "id", F.col("label").cast("int"))
 
 

@@ -11,6 +11,7 @@ from .config import VIEW_WEIGHTS
 
 
 _NV = [0]
+_WB = r"\b"  # regex word boundary
 
 
 def _let(expr: str, body) -> str:
@@ -372,13 +373,13 @@ def _force(label: str, level: str, head: str, suffix: str, texts: str) -> str:
 
     def with_lab(lab):
         found = "(CASE " + " ".join(
-            f"WHEN regexp_matches({lab}, {_q('(?i)' + chr(92) + 'b' + x + chr(92) + 'b')}) THEN {_q(x)}"
+            f"WHEN regexp_matches({lab}, {_q('(?i)' + _WB + x + _WB)}) THEN {_q(x)}"
             for x in _VS) + " END)"
 
         def with_found(fd):
             before = "(CASE " + " ".join(
                 f"WHEN {fd} = {_q(x)} THEN regexp_extract({lab}, "
-                f"{_q('(?i)^(.*?)' + chr(92) + 'b' + _re.escape(x) + chr(92) + 'b')}, 1)" for x in _VS) + " END)"
+                f"{_q('(?i)^(.*?)' + _WB + _re.escape(x) + _WB)}, 1)" for x in _VS) + " END)"
 
             def with_hp(hp):
                 named = (f"(CASE WHEN {fd} IS NOT NULL AND {hp} <> '' AND NOT list_contains({BAN_SQL}, lower({hp})) "
@@ -423,8 +424,9 @@ def _profile_ctes(p: str, level: str) -> str:
     parts.append(f"""{p}kwt AS (SELECT cid, kw, cnt, row_number() OVER (PARTITION BY cid ORDER BY cnt DESC, first) AS rk FROM {p}kwc)""")
     parts.append(f"""{p}f_kw AS (SELECT cid, list(kw ORDER BY rk) AS top_keywords FROM {p}kwt WHERE rk <= 40 GROUP BY cid)""")
     keys = "[" + ", ".join(_q(k) for k in _ROLE_KEYS) + "]"
-    toks = (f"list_concat({_tokens(f'array_to_string({_to_list(chr(114) + chr(46) + chr(114) + chr(111) + chr(108) + chr(101) + chr(115))}, chr(32))')}, "
-            f"{_tokens(f'array_to_string({_to_list(chr(114) + chr(46) + chr(98) + chr(117) + chr(115) + chr(105) + chr(110) + chr(101) + chr(115) + chr(115) + chr(95) + chr(109) + chr(111) + chr(100) + chr(101) + chr(108))}, chr(32))')})")
+    roles_toks = _tokens(f"array_to_string({_to_list('r.roles')}, ' ')")
+    model_toks = _tokens(f"array_to_string({_to_list('r.business_model')}, ' ')")
+    toks = f"list_concat({roles_toks}, {model_toks})"
     parts.append(f"""{p}rt AS (SELECT a.cid, list_filter({toks}, lambda t: list_contains({keys}, t)) AS rt,
   ' ' || lower(r.services) || ' ' AS sv, ' ' || lower(r.ai_summary) || ' ' AS sm FROM records r JOIN {p}asg a USING (id))""")
     aggs = [f"sum(len(list_filter(rt, lambda t: t = {_q(k)}))) AS t{i}" for i, k in enumerate(_ROLE_KEYS)]
@@ -518,6 +520,9 @@ SELECT CAST(l.cid AS BIGINT) AS cluster, CAST(l.parent_id AS BIGINT) AS parent,
 FROM lab l LEFT JOIN spec s USING (cid)""".lstrip().replace(",\nlab AS", "lab AS", 0)).replace("\n,\nlab AS", ",\nlab AS")
 
 
+_IND1 = "coalesce(industries[1], '')"
+_RAW_LABEL = "coalesce(services[1] || ' Integrators and suppliers & distributors', '')"
+
 RULE_ORACLE = {
     "first_n": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, " + ", ".join(
         f"array_to_string({n}, '|') AS {n}" for n in ("industries", "services", "summaries", "company_names",
@@ -537,13 +542,13 @@ FROM records r JOIN customer c ON c.c_custkey = r.id JOIN nation n ON n.n_nation
 GROUP BY c.c_nationkey, n.n_name ORDER BY count DESC, cluster LIMIT 20""",
     "umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_first_match('lower(texts)', _BR, _q('Specialist Sector'))} AS default_rules, "
                            f"{_first_match('lower(texts)', _FITTED, _q('Specialist Sector'))} AS fitted_rules FROM s_prof"),
-    "enforce_umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_enforce(chr(99) + 'oalesce(industries[1], ' + chr(39) + chr(39) + ')', 'texts')} AS default_sector, "
-                                   f"{_enforce('coalesce(industries[1], ' + chr(39) + chr(39) + ')', 'texts', _FITTED, _FITTED_U)} AS fitted_sector, "
+    "enforce_umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_enforce(_IND1, 'texts')} AS default_sector, "
+                                   f"{_enforce(_IND1, 'texts', _FITTED, _FITTED_U)} AS fitted_sector, "
                                    f"{_enforce('head', 'texts')} AS head_sector FROM s_prof"),
     "canonical_head": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, gram_head, head FROM s_prof"),
     "role_suffix": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, suffix FROM s_prof"),
     "head_suffix": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, "
-                              f"{_force(chr(99) + 'oalesce(services[1] || ' + _q(' Integrators and suppliers & distributors') + ', ' + chr(39) + chr(39) + ')', 'Sub', 'head', 'suffix', 'texts')} AS sub_label, "
+                              f"{_force(_RAW_LABEL, 'Sub', 'head', 'suffix', 'texts')} AS sub_label, "
                               f"{_force('head', 'Broad', 'head', 'suffix', 'texts')} AS broad_label FROM s_prof"),
     "fallback_label": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, 'Broad' AS level, fallback AS label FROM b_prof "
                                  "UNION ALL SELECT CAST(cid AS BIGINT) AS cluster, 'Sub' AS level, fallback AS label FROM s_prof",
@@ -582,8 +587,7 @@ SELECT CAST(label AS BIGINT) AS label, CAST(size AS BIGINT) AS size, CAST(p - 1
 FROM cent, range(1, 65) t(p)""",
     "refine_centroid": f"""WITH {_XL},
 sims AS (SELECT x.id, x.label AS cur, cent.label AS cl, list_inner_product(x.v, cent.c) AS sim FROM x JOIN cent ON TRUE),
-best AS (SELECT id, cur, arg_max(cl, sim * 1e6 - cl * 1e-9) AS bl, max(sim) AS bs,
-                max(CASE WHEN cl = cur THEN sim END) AS cs FROM sims GROUP BY id, cur),
+best AS (SELECT id, max(sim) AS bs, max(CASE WHEN cl = cur THEN sim END) AS cs FROM sims GROUP BY id),
 b2 AS (SELECT s.id, s.cur, min(s.cl) AS bl, b.bs, b.cs FROM sims s JOIN best b USING (id) WHERE s.sim = b.bs GROUP BY s.id, s.cur, b.bs, b.cs)
 SELECT id, CAST(CASE WHEN bs - cs > 0.025 THEN bl ELSE cur END AS BIGINT) AS label FROM b2""",
     "merge_small": f"""WITH {_XL},
