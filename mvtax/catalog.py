@@ -47,7 +47,7 @@ def q_knn(spark, sf):
 
 
 def _single_scale(spark, sf, k=GRAPH_K):
-    v = _full_view(spark, sf).withColumn("_g0", F.lit(0))
+    v = _full_view(spark, sf).withColumn("_g0", P.single_group("id"))
     nbr = knn(v, k=k, group_cols=["_g0", "view"])
     return nbr.withColumn("k", F.lit(k)), ["_g0", "view", "k"]
 
@@ -102,7 +102,7 @@ def q_laplacian(spark, sf):
 
 
 def q_multi_scale(spark, sf):
-    v = _full_view(spark, sf).withColumn("_g0", F.lit(0))
+    v = _full_view(spark, sf).withColumn("_g0", P.single_group("id"))
     kset = v.select("_g0").distinct().withColumn("kset", F.array(*[F.lit(k) for k in MULTI_KSET]))
     nbr = knn(v, k=max(MULTI_KSET), group_cols=["_g0", "view"])
     e = G.explode_kset(nbr, kset, ["_g0"])
@@ -131,7 +131,7 @@ def _broad_inputs(spark, sf):
     from .config import BROAD
     from .functions.params import eig_width_col
     from .session import cut_lineage
-    v = embedding_views(spark, sf).withColumn("_root", F.lit(0))
+    v = embedding_views(spark, sf).withColumn("_root", P.single_group("id"))
     p = G.group_params(v, ["_root"], BROAD.base_k).withColumn("width", eig_width_col(14, "n", 48))
     return v, cut_lineage(p)
 
@@ -189,7 +189,7 @@ def q_sample_cap(spark, sf):
 def q_run_level(spark, sf):
     from .config import BROAD
     from .plans.level import run_level
-    v = embedding_views(spark, sf).withColumn("_root", F.lit(0))
+    v = embedding_views(spark, sf).withColumn("_root", P.single_group("id"))
     lab, _ = run_level(v, ["_root"], BROAD)
     return lab.select("id", F.col("label").cast("long"))
 
@@ -555,8 +555,8 @@ def q_cache_probe(spark, sf):
 
 def _x_labels(spark, sf):
     m = embedding_matrix(spark, sf)
-    x = m.select(F.lit(0).alias("g"), "id", l2_normalize("vec").alias("vec"))
-    lab = m.select(F.lit(0).alias("g"), "id", F.col("label").cast("int").alias("label"))
+    x = m.select(P.single_group("id").alias("g"), "id", l2_normalize("vec").alias("vec"))
+    lab = m.select(P.single_group("id").alias("g"), "id", F.col("label").cast("int").alias("label"))
     return x, lab
 
 
@@ -638,7 +638,7 @@ def q_mean_pool(spark, sf):
 def q_concat_views(spark, sf):
     from .config import CONCAT_ORDER
     from .plans.level import concat_views
-    v = embedding_views(spark, sf).withColumn("g", F.lit(0))
+    v = embedding_views(spark, sf).withColumn("g", P.single_group("id"))
     c = concat_views(v, ["g"], CONCAT_ORDER)
     return c.select("id", F.posexplode("vec").alias("pos", "x")).select("id", F.col("pos").cast("long"),
                                                                         r4("x").alias("x"))

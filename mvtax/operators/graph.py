@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, TaxonomyConfig
-from ..functions.params import adaptive_kset_col, clamp_kset_col
+from ..functions.params import adaptive_kset_col, clamp_kset_col, single_group
 from ..session import cut_lineage
 from .knn import knn
 
@@ -180,7 +180,7 @@ def fused_affinity(views: DataFrame, group_cols=(), base_k=(6, 8, 10), params: D
     view weighting (G7) are linear, so they fold into one final aggregate."""
     g = list(group_cols)
     if not g:
-        views, g = views.withColumn(G0, F.lit(0)), [G0]
+        views, g = views.withColumn(G0, single_group(id_col)), [G0]
         if params is not None:
             params = params.withColumn(G0, F.lit(0))
     p = params if params is not None else group_params(views, g, base_k, id_col)

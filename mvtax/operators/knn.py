@@ -24,15 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.params import single_group
 from ..functions.vector import dot, l2_normalize
-from ..session import ship_package, spread
+from ..session import cut_lineage, ship_package, spread
 
 _G0 = "_g0"
 
 
 def _prep(vectors: DataFrame, id_col: str, vec_col: str, group_cols, k, k_col, normalize: bool):
     g = list(group_cols) or [_G0]
-    cols = [F.col(c) for c in group_cols] or [F.lit(0).alias(_G0)]
+    cols = [F.col(c) for c in group_cols] or [single_group(id_col).alias(_G0)]
     vec = l2_normalize(vec_col) if normalize else F.col(vec_col)
     kk = F.col(k_col) if k_col else F.lit(int(k))
     return g, vectors.select(*cols, F.col(id_col).cast("long").alias("id"), vec.alias("vec"),
@@ -53,16 +54,18 @@ def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec
     v = (v.join(counts, g)
           .withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("long"))
           .withColumn("_blk", F.pmod(F.xxhash64("id"), F.col("_nb"))))
-    packed = (v.groupBy(*g, "_blk")
+    packed = cut_lineage(v.groupBy(*g, "_blk")
                 .agg(F.collect_list(F.struct("id", "vec")).alias("rows"), F.max("_k").alias("_k"),
                      F.first("_nb").alias("_nb"))
                 .select(*g, "_blk", "_k", "_nb",
                         F.transform("rows", lambda r: r["id"]).alias("ids"),
-                        F.flatten(F.transform("rows", lambda r: r["vec"])).alias("mat")))
+                        F.flatten(F.transform("rows", lambda r: r["vec"])).alias("mat")))  # read by both sides
     q = packed.select(*g, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)).alias("_rb"),
                       F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), "_k")
     r = packed.select(*g, F.col("_blk").alias("_rb"), F.col("ids").alias("r_ids"), F.col("mat").alias("r_mat"))
-    pairs = spread(q.join(r, g + ["_rb"]), *g, "_rb").drop("_rb")
+    # both sides hash-partitioned on the join key with a fixed count: the join adds no exchange,
+    # the (large) block pairs are never re-shuffled, and small inputs are not coalesced to one task
+    pairs = spread(q, *g, "_rb").join(spread(r, *g, "_rb"), g + ["_rb"]).drop("_rb")
 
     gfields = [f for f in pairs.schema.fields if f.name in g]
     out_schema = T.StructType(gfields + [
