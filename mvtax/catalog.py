@@ -676,12 +676,12 @@ def q_silhouette(spark, sf):
 
 def q_k_score(spark, sf):
     x, lab = _x_labels(spark, sf)
-    sil = silhouette_df(x, lab, ["g"]).agg(F.avg("s").alias("sil"))
-    m = lab.groupBy("label").agg(F.count(F.lit(1)).alias("c")).agg(
-        (F.max("c") / F.sum("c")).alias("big"), (F.stddev_pop("c") / (F.avg("c") + 1e-9)).alias("imb"),
-        F.count(F.lit(1)).alias("k"))
-    j = sil.withColumn("_one", F.lit(1)).join(m.withColumn("_one", F.lit(1)), "_one")
-    return j.select(r4(P.k_score_col("sil", "k", "imb", "big", 0.35)).alias("score"))
+    sil = silhouette_df(x, lab, ["g"]).groupBy("g").agg(F.avg("s").alias("sil"))
+    m = (lab.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("g").agg((F.max("c") / F.sum("c")).alias("big"),
+                              (F.stddev_pop("c") / (F.avg("c") + 1e-9)).alias("imb"),
+                              F.count(F.lit(1)).alias("k")))
+    return sil.join(m, "g").select(r4(P.k_score_col("sil", "k", "imb", "big", 0.35)).alias("score"))
 
 
 QUERIES = {

@@ -209,7 +209,7 @@ def kmeans_groups(z: DataFrame, ks: DataFrame, group_cols, cfg: TaxonomyConfig =
     gf = [z.schema[c] for c in g]
     sch = T.StructType(gf + [T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType())])
 
-    def per_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def per_group(key, pdf):
         pdf = pdf.sort_values("id")
         X = np.vstack(pdf["x"].to_numpy())
         lab, _, _ = kmeans_np(X, int(pdf["k"].iloc[0]), cfg.kmeans_restarts, cfg.seed, cfg.kmeans_max_iter,
@@ -337,7 +337,7 @@ def merge_duplicates(x: DataFrame, labels: DataFrame, group_cols, threshold) ->
     gf = [labels.schema[col] for col in g]
     sch = T.StructType(gf + [T.StructField("label", T.IntegerType()), T.StructField("_new", T.IntegerType())])
 
-    def per_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def per_group(key, pdf):
         pdf = pdf.sort_values("label")
         thr_v = float(pdf["_thr"].iloc[0])
         sums = {int(r.label): np.asarray(r.sum, dtype=np.float64) for r in pdf.itertuples()}
