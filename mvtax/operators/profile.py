@@ -89,14 +89,35 @@ def role_counts(records: DataFrame, assign: DataFrame, cluster_col: str = "clust
                                                                         lambda s, x: s + x)))
 
 
+def capped_lists(records: DataFrame, assign: DataFrame, cluster_col: str = "cluster") -> DataFrame:
+    """All five W3 lists in one pass: rows are exploded to ``(field, value)``, blanks dropped per
+    field, and a single ``row_number() over (cluster, field order by id)`` keeps the first
+    ``cap(field)`` - one shuffle instead of one per field. The literal bound (the largest cap)
+    lets Spark apply its window group-limit before the shuffle."""
+    items = F.array(*[F.struct(F.lit(name).alias("f"), _col_or_blank(records, col).alias("v"),
+                               F.lit(PROFILE_CAPS[name]).alias("cap"), F.lit(keep).alias("keep"))
+                      for name, col, keep in CAPPED_FIELDS])
+    long = (records.select("id", F.explode(items).alias("x")).join(assign, "id")
+                   .select(cluster_col, "id", "x.f", "x.v", "x.cap", "x.keep")
+                   .where(F.col("keep") | (py_strip("v") != "")))
+    w = Window.partitionBy(cluster_col, "f").orderBy("id")
+    top = (long.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max(PROFILE_CAPS.values()))
+               .where(F.col("_r") <= F.col("cap")))
+    agg = top.groupBy(cluster_col).agg(F.sort_array(F.collect_list(F.struct("f", "id", "v"))).alias("_s"))
+    return agg.select(cluster_col, *[F.transform(_field(name), lambda e: e["v"]).alias(name)
+                                     for name, _, _ in CAPPED_FIELDS])
+
+
+def _field(name: str):
+    return F.filter("_s", lambda e: e["f"] == F.lit(name))
+
+
 def cluster_profile(records: DataFrame, assign: DataFrame, cluster_col: str = "cluster") -> DataFrame:
     """One row per cluster: size, top keywords, capped lists, role counts and total."""
     assign = assign.select("id", cluster_col)
     prof = assign.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("size"))
     prof = prof.join(top_keywords(records, assign, cluster_col=cluster_col), cluster_col, "left")
-    for name, col, keep_blank in CAPPED_FIELDS:
-        prof = prof.join(first_n(records, assign, col, PROFILE_CAPS[name], keep_blank, cluster_col, name),
-                         cluster_col, "left")
+    prof = prof.join(capped_lists(records, assign, cluster_col), cluster_col, "left")
     prof = prof.join(role_counts(records, assign, cluster_col), cluster_col, "left")
     empty = F.array().cast("array<string>")
     fill = {c: F.coalesce(F.col(c), empty) for c in ["top_keywords"] + [n for n, _, _ in CAPPED_FIELDS]}
