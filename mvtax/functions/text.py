@@ -98,11 +98,22 @@ def tokens(c) -> Column:
 
 
 def ngrams(toks, n: int) -> Column:
-    """M6: word n-grams of a token array, in position order."""
+    """M6: word n-grams of a token array, in position order. 2- and 3-grams zip shifted copies
+    of the array (no per-gram slice allocation)."""
     t = _col(toks)
+    empty = F.array().cast("array<string>")
+    if n == 1:
+        return t
+    if n in (2, 3):
+        m = F.size(t) - (n - 1)
+        shifted = [F.slice(t, i + 1, F.greatest(m, F.lit(1))) for i in range(n)]
+        g = F.zip_with(shifted[0], shifted[1], lambda a, b: F.concat(a, F.lit(" "), b))
+        if n == 3:
+            g = F.zip_with(g, shifted[2], lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.when(F.size(t) >= n, g).otherwise(empty)
     return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
                                               lambda i: F.array_join(F.slice(t, i, n), " "))
-                  ).otherwise(F.array().cast("array<string>"))
+                  ).otherwise(empty)
 
 
 def drop_banned_grams(grams) -> Column:

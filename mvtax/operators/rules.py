@@ -82,7 +82,9 @@ def gram_heads(prof: DataFrame, key_cols, blob: Column) -> DataFrame:
     """W9 over M5-M7: the most common 3-/2-gram of ``tokens(blob)`` (banned words excluded);
     ties: count desc, 3-grams first, then first position. Returns ``(*keys, gram_head)``."""
     k = list(key_cols)
-    t = prof.select(*k, tokens(blob).alias("_t"))
+    # every gram of a key comes from that key's row: partition the rows by key once, so the gram
+    # count and the window below reuse it (texts are shuffled, not the far larger gram rows)
+    t = prof.select(*k, tokens(blob).alias("_t")).repartition(*k)
     g3 = t.select(*k, F.posexplode(ngrams("_t", 3)).alias("pos", "gram")).withColumn("n", F.lit(3))
     g2 = t.select(*k, F.posexplode(ngrams("_t", 2)).alias("pos", "gram")).withColumn("n", F.lit(2))
     grams = g3.unionByName(g2)
