@@ -46,6 +46,13 @@ def q_knn(spark, sf):
     return e.select("src", "dst", F.col("rank").cast("long").alias("rank"), r4("dist").alias("dist"))
 
 
+def q_knn_lsh(spark, sf):
+    """J4 approximate tier (opt-in): every row still gets exactly k neighbours, exact distances."""
+    from .operators.knn import knn_lsh
+    e = knn_lsh(embedding_matrix(spark, sf), k=KNN_K, tables=8, bits=2)
+    return e.select("src", "dst", F.col("rank").cast("long").alias("rank"), r4("dist").alias("dist"))
+
+
 def _single_scale(spark, sf, k=GRAPH_K):
     v = _full_view(spark, sf).withColumn("_g0", P.single_group("id"))
     nbr = knn(v, k=k, group_cols=["_g0", "view"])
@@ -747,3 +754,4 @@ QUERIES = {
 }
 QUERIES["taxonomy"] = q_taxonomy
 QUERIES["label_levels"] = q_label_levels
+QUERIES["knn_lsh"] = q_knn_lsh

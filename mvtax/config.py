@@ -233,6 +233,9 @@ class TaxonomyConfig:
     strict_umbrella: bool = False       # Broad labels always one of BROAD_UMBRELLAS
     # physical knobs (not semantics)
     knn_block_rows: int = 2048          # rows per kNN block
+    knn_method: str = "exact"           # "exact" (reference semantics) or "lsh" (opt-in, approximate)
+    lsh_tables: int = 8
+    lsh_bits: int = 8
     dense_eig_max: int = 3000           # groups up to this size use dense eigh in one task
     dense_kmeans_max: int = 50000       # groups up to this size run KMeans in one task
     eig_oversample: int = 12            # extra block columns in the distributed eigensolver

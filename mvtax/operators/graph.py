@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_CONFIG, TaxonomyConfig
 from ..functions.params import adaptive_kset_col, clamp_kset_col, single_group
 from ..session import cut_lineage
-from .knn import knn
+from .knn import knn, knn_lsh
 
 G0 = "_g0"  # constant group key when the caller has no group columns
 
@@ -186,8 +186,13 @@ def fused_affinity(views: DataFrame, group_cols=(), base_k=(6, 8, 10), params: D
     p = params if params is not None else group_params(views, g, base_k, id_col)
     p = p.where(F.col("n") > 2).select(*g, "kset", "kmax")
     vk = views.join(p.select(*g, "kmax"), g)
-    nbr = knn(vk, id_col=id_col, vec_col="vec", group_cols=g + ["view"], k_col="kmax",
-              block_rows=cfg.knn_block_rows)
+    if cfg.knn_method == "lsh":  # opt-in approximate tier; k = the largest k of any group
+        kmax = int(p.agg(F.max("kmax")).first()[0] or 1)
+        nbr = knn_lsh(vk, k=kmax, id_col=id_col, vec_col="vec", group_cols=g + ["view"],
+                      tables=cfg.lsh_tables, bits=cfg.lsh_bits, block_rows=cfg.knn_block_rows)
+    else:
+        nbr = knn(vk, id_col=id_col, vec_col="vec", group_cols=g + ["view"], k_col="kmax",
+                  block_rows=cfg.knn_block_rows)
     node = cut_lineage(node_table(nbr, p, g, cfg.sigma_k))
     keys = g + ["view", "k"]
     a = normalize_sym(blended_edges(node, keys, cfg.mutual_weight, cfg.snn_weight), keys)

@@ -31,17 +31,20 @@ from ..session import cut_lineage, ship_package, spread
 _G0 = "_g0"
 
 
-def _prep(vectors: DataFrame, id_col: str, vec_col: str, group_cols, k, k_col, normalize: bool):
+def _prep(vectors: DataFrame, id_col: str, vec_col: str, group_cols, k, k_col, normalize: bool,
+          query_col: str | None = None):
     g = list(group_cols) or [_G0]
     cols = [F.col(c) for c in group_cols] or [single_group(id_col).alias(_G0)]
     vec = l2_normalize(vec_col) if normalize else F.col(vec_col)
     kk = F.col(k_col) if k_col else F.lit(int(k))
+    qq = F.col(query_col).cast("boolean") if query_col else F.lit(True)
     return g, vectors.select(*cols, F.col(id_col).cast("long").alias("id"), vec.alias("vec"),
-                             kk.cast("int").alias("_k"))
+                             kk.cast("int").alias("_k"), qq.alias("_q"))
 
 
 def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec", group_cols=(),
-        k_col: str | None = None, block_rows: int = 2048, normalize: bool = True) -> DataFrame:
+        k_col: str | None = None, block_rows: int = 2048, normalize: bool = True,
+        query_col: str | None = None) -> DataFrame:
     """Top-k cosine neighbours of every row among the other rows of its group.
 
     Returns ``(*group_cols, src, dst, dist, rank)`` with ``dist = 1 - cos`` and ``rank`` 1..k
@@ -49,19 +52,22 @@ def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec
     clamped to ``n_g - 1`` by construction.
     """
     ship_package(vectors.sparkSession)
-    g, v = _prep(vectors, id_col, vec_col, group_cols, k, k_col, normalize)
+    g, v = _prep(vectors, id_col, vec_col, group_cols, k, k_col, normalize, query_col)
     counts = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     v = (v.join(counts, g)
           .withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("long"))
           .withColumn("_blk", F.pmod(F.xxhash64("id"), F.col("_nb"))))
     packed = cut_lineage(v.groupBy(*g, "_blk")
-                .agg(F.collect_list(F.struct("id", "vec")).alias("rows"), F.max("_k").alias("_k"),
+                .agg(F.collect_list(F.struct("id", "vec", "_q")).alias("rows"), F.max("_k").alias("_k"),
                      F.first("_nb").alias("_nb"))
                 .select(*g, "_blk", "_k", "_nb",
                         F.transform("rows", lambda r: r["id"]).alias("ids"),
-                        F.flatten(F.transform("rows", lambda r: r["vec"])).alias("mat")))  # read by both sides
-    q = packed.select(*g, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)).alias("_rb"),
-                      F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), "_k")
+                        F.flatten(F.transform("rows", lambda r: r["vec"])).alias("mat"),
+                        F.filter("rows", lambda r: r["_q"]).alias("qrows")))  # read by both sides
+    q = (packed.where(F.size("qrows") > 0)
+               .select(*g, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)).alias("_rb"),
+                       F.transform("qrows", lambda r: r["id"]).alias("q_ids"),
+                       F.flatten(F.transform("qrows", lambda r: r["vec"])).alias("q_mat"), "_k"))
     r = packed.select(*g, F.col("_blk").alias("_rb"), F.col("ids").alias("r_ids"), F.col("mat").alias("r_mat"))
     # both sides hash-partitioned on the join key with a fixed count: the join adds no exchange,
     # the (large) block pairs are never re-shuffled, and small inputs are not coalesced to one task
@@ -126,3 +132,44 @@ def knn_bruteforce(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col:
     cand = (a.join(b, g).where(F.col("src") != F.col("dst"))
              .select(*g, "src", "dst", (F.lit(1.0) - dot("va", "vb")).alias("dist"), "_k"))
     return _rank(cand, g, group_cols)
+
+
+def knn_lsh(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec", group_cols=(),
+            tables: int = 4, bits: int = 8, seed: int = 42, block_rows: int = 2048) -> DataFrame:
+    """J4, approximate and opt-in for very large groups: signed random projections.
+
+    Each of ``tables`` hash tables buckets a row by the signs of ``bits`` seeded Gaussian
+    projections (drawn per (dimension, table, bit) from a hash, so nothing is broadcast); the
+    exact blocked top-k runs inside every (group, table, bucket) - a hot bucket is still split
+    into blocks - and candidates from all tables are merged by exact distance. Rows left with
+    fewer than k candidates get an exact pass against their whole group, so every row ends with
+    ``min(k, n_g - 1)`` neighbours; recall of the others is approximate (see tests)."""
+    g = list(group_cols) or [_G0]
+    cols = [F.col(c) for c in group_cols] or [single_group(id_col).alias(_G0)]
+    v = vectors.select(*cols, F.col(id_col).cast("long").alias("id"), l2_normalize(vec_col).alias("vec"))
+
+    def gauss(d, t, b):  # deterministic N(0,1) from a hash (Box-Muller on two uniforms)
+        u1 = (F.pmod(F.xxhash64(F.lit(seed), d, t, b, F.lit(1)), F.lit(1 << 30)) + 1) / float((1 << 30) + 1)
+        u2 = F.pmod(F.xxhash64(F.lit(seed), d, t, b, F.lit(2)), F.lit(1 << 30)) / float(1 << 30)
+        return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
+
+    sig = []
+    for t in range(tables):
+        bits_t = [F.when(F.aggregate(F.transform("vec", lambda x, d: x * gauss(d, F.lit(t), F.lit(b))),
+                                     F.lit(0.0), lambda a, y: a + y) >= 0, F.lit(1 << b)).otherwise(F.lit(0))
+                  for b in range(bits)]
+        code = bits_t[0]
+        for c in bits_t[1:]:
+            code = code + c
+        sig.append(F.struct(F.lit(t).alias("_t"), code.alias("_b")))
+    hashed = v.select(*g, "id", "vec", F.explode(F.array(*sig)).alias("h")).select(*g, "id", "vec", "h._t", "h._b")
+    cand = knn(hashed, k=k, group_cols=g + ["_t", "_b"], block_rows=block_rows, normalize=False)
+    best = cand.groupBy(*g, "src", "dst").agg(F.min("dist").alias("dist"))
+    n = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    got = best.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("_c"))
+    short = (v.join(n, g).join(got.withColumnRenamed("src", "id"), g + ["id"], "left")
+              .withColumn("_q", F.coalesce("_c", F.lit(0)) < F.least(F.lit(k), F.col("_n") - 1)))
+    exact = knn(short, k=k, group_cols=g, block_rows=block_rows, normalize=False, query_col="_q")
+    merged = (best.join(exact.select(*g, "src").distinct(), g + ["src"], "left_anti")
+                  .unionByName(exact.select(*g, "src", "dst", "dist")))
+    return _rank(merged.withColumn("_k", F.lit(k)), g, group_cols)

@@ -91,3 +91,21 @@ def test_blocked_knn_equals_bruteforce(spark):
     fa, sl = sorted(fast, key=key), sorted(slow, key=key)
     assert [(r.label, r.src, r.dst, r.rank) for r in fa] == [(r.label, r.src, r.dst, r.rank) for r in sl]
     assert all(a.dist == pytest.approx(b.dist, abs=1e-12) for a, b in zip(fa, sl))
+
+
+def test_lsh_knn_complete_and_close_to_exact(spark):
+    from conftest import SF001
+    from mvtax.operators.knn import knn_lsh
+    from mvtax.sources.tables import embedding_matrix
+    m = embedding_matrix(spark, SF001)
+    exact = {(r.src, r.dst): r.dist for r in knn(m, k=5).collect()}
+    # a neighbour at angle t shares a bucket of one table with p = (1 - t/pi)^bits; here cos ~ .33
+    # (t ~ 1.23), so 8 tables x 2 bits give expected recall 1 - (1 - .61^2)^8 ~ .97
+    approx = knn_lsh(m, k=5, tables=8, bits=2).collect()
+    per_src = {}
+    for r in approx:
+        per_src.setdefault(r.src, []).append(r)
+    assert len(per_src) == m.count() and all(len(v) == 5 for v in per_src.values())
+    hits = [r for r in approx if (r.src, r.dst) in exact]
+    assert all(r.dist == pytest.approx(exact[(r.src, r.dst)], abs=1e-12) for r in hits)
+    assert len(hits) / len(exact) >= 0.85
