@@ -222,7 +222,8 @@ def kmeans_groups(z: DataFrame, ks: DataFrame, group_cols, cfg: TaxonomyConfig =
     dense = spread(zk.join(small, g, "left_semi"), *g).groupBy(*g).applyInPandas(per_group, sch)
     if big.limit(1).count() == 0:
         return dense
-    return dense.unionByName(_lloyd(zk.join(big, g, "left_semi"), g, cfg))
+    # materialised: callers join on it, and a union of differently partitioned inputs must not be
+    return cut_lineage(dense.unionByName(_lloyd(zk.join(big, g, "left_semi"), g, cfg)))
 
 
 def _lloyd(zk: DataFrame, g, cfg: TaxonomyConfig) -> DataFrame:

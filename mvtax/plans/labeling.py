@@ -70,18 +70,19 @@ def label_level(prof: DataFrame, level: str, cache: DataFrame, proposer: Propose
     """Cache -> proposal -> rule fallback -> normalise. Returns ``(labels (cid, label),
     new cache rows, proposals used)``."""
     j = prof.join(cache.withColumnRenamed("label", "cached"), "cache_key", "left")
-    misses = j.where(F.col("cached").isNull())
-    props = propose(misses, level, proposer, budget)
-    used = props.count() if proposer is not None and budget > 0 else 0
-    m = misses.join(props, "cid", "left")
+    props = propose(j.where(F.col("cached").isNull()), level, proposer, budget)
+    used = 0
+    if proposer is not None and budget > 0:
+        props = cut_lineage(props)  # <= budget rows; the proposer runs once, even on retries downstream
+        used = props.count()
+    # one row per cluster throughout (no union): hits keep the cached label, misses are normalised
+    m = j.join(props, "cid", "left")
     m = m.withColumn("_cand", F.when(F.coalesce(F.col("proposal"), F.lit("")) != "", F.col("proposal"))
                      .otherwise(F.col("fallback")))
     m = R.with_force_head_suffix(m, "_cand", level, "head", "suffix", "texts", "_forced", cfg.compat_word_cap)
-    m = m.select("cid", "cache_key", F.when(F.col("_forced") != "", F.col("_forced"))
-                 .otherwise(F.col("fallback")).alias("label"))
-    hits = j.where(F.col("cached").isNotNull()).select("cid", F.col("cached").alias("label"))
-    labels = hits.unionByName(m.select("cid", "label"))
-    return labels, m.select("cache_key", "label"), used
+    m = cut_lineage(m.select("cid", "cache_key", "cached", F.coalesce(
+        F.col("cached"), F.when(F.col("_forced") != "", F.col("_forced")).otherwise(F.col("fallback"))).alias("label")))
+    return m.select("cid", "label"), m.where(F.col("cached").isNull()).select("cache_key", "label"), used
 
 
 def label_levels(records: DataFrame, hier: DataFrame, cache: DataFrame | None = None,
@@ -119,6 +120,6 @@ def label_levels(records: DataFrame, hier: DataFrame, cache: DataFrame | None =
                   "cluster_sub", "left")
             .join(ln.select(F.col("cid").alias("cluster_niche"), F.col("label").alias("cluster_label_niche")),
                   "cluster_niche", "left"))
-    new = new_b.unionByName(new_s).unionByName(new_n)
+    new = cut_lineage(new_b.unionByName(new_s).unionByName(new_n))  # materialised before the anti join
     kept = cache.join(new.select("cache_key"), "cache_key", "left_anti")
     return out, kept.unionByName(new)
