@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mvtax.llm import exact_dedup, mixing
+from mvtax.llm import exact_dedup, mixing, quality, url_filter
+
+#: (host, path, verdict) of op8
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.mix(_table(spark, sf_dir, "documents"))
     return got.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -22,9 +30,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_url_filter": op8_url_filter,
 }
 
 ORACLE: dict[str, str] = {
@@ -34,4 +49,15 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op8_url_filter": """
+        WITH u AS (SELECT page_id, coalesce(regexp_extract(url, '://([^/?#]*)', 1), '') AS raw,
+                          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+             h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u),
+             rules(rh, rp, rv) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+                                   ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+             fits AS (SELECT page_id, rh || rp AS rule, rv, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) AS n
+                      FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+        SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict
+        FROM h LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (page_id)
+    """,
 }
