@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mvtax.llm import exact_dedup, mixing, quality, url_filter
+from mvtax.llm import exact_dedup, mixing, packing, quality, token_count, url_filter
 
 #: (host, path, verdict) of op8
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -26,6 +27,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = packing.best_fit_pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -38,6 +48,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op4_token_count": op4_token_count,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
 }
