@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mvtax.llm import exact_dedup, mixing, packing, quality, token_count, url_filter
+from mvtax.llm import exact_dedup, mixing, packing, quality, simhash, token_count, url_filter
 
 #: (host, path, verdict) of op8
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -27,6 +27,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +52,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op3_simhash": op3_simhash,
     "op4_token_count": op4_token_count,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
