@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mvtax.llm import exact_dedup, mixing, packing, quality, simhash, token_count, toxicity, url_filter
+from mvtax.llm import exact_dedup, mixing, packing, quality, simhash, spotsigs, token_count, toxicity, url_filter
 
 #: (host, path, verdict) of op8
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -53,6 +53,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edit_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE: dict[str, str] = {
