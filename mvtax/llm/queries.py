@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mvtax.llm import exact_dedup, mixing, packing, quality, simhash, spotsigs, token_count, toxicity, url_filter
+from mvtax.llm import exact_dedup, mixing, packing, quality, simhash, spotsigs, substring, token_count, toxicity, url_filter
 
 #: (host, path, verdict) of op8
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -35,6 +35,10 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = packing.best_fit_pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_token_count": op4_token_count,
+    "op5_substring": op5_substring,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
