@@ -17,9 +17,11 @@ table of their ids; a full table only costs time.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,7 @@ from mvtax.llm.common import byte_texts, checkpoint, prepare, slices
 WINDOW = 4096
 END_ID = 1
 SHARD_ITEMS = 4096
-CACHE = 500_000
+CACHE = 1_000_000
 
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -60,15 +62,23 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        known = self.known
-        new = list({w for doc in words for w in doc if w not in known})
-        found = self.library.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
+        known, get, docs = self.known, self.known.get, []
+        new: dict[bytes, bytes] = {}
+        for text in texts:
+            words = text.split()
+            ids = list(map(get, words))
+            if None in ids:
+                new.update((w, b"") for w, i in zip(words, ids) if i is None)
+            docs.append((words, ids))
+        names = list(new)
+        for w, e in zip(names, self.library.encode_batch([w.decode("utf-8", "replace") for w in names], add_special_tokens=False)):
+            new[w] = array("I", e.ids).tobytes()
+        out = [b"".join(ids) if None not in ids else b"".join([i if i is not None else new[w] for w, i in zip(words, ids)])
+               for words, ids in docs]
         room = CACHE - len(known)
         if room > 0:
-            known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:room]))
-        return [b"".join([known[w] if w in known else fresh[w] for w in doc]) for doc in words]
+            known.update(new if len(new) <= room else islice(new.items(), room))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -85,7 +95,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 26
         tokenizer = _tokenizer(path)
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             out: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(byte_texts(batch))):
                 ids += end
