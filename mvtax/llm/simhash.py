@@ -40,6 +40,8 @@ DISTANCE = 4
 SEED = 42
 BUCKET_ROWS = 8192
 TASK_ROWS = 400_000
+#: A probe is a shuffled row, a candidate pair one comparison of two numbers.
+PROBE_COST = 20
 _BLOCK = 1 << 17
 
 
@@ -163,14 +165,17 @@ def candidate_costs(n: int, p: np.ndarray, corr: np.ndarray, part: tuple[int, ..
     for t in range(distance + 1):
         within += comb(effective, t) * differ**t * (1 - differ) ** (effective - t) if t <= effective else 0.0
         probes = n * sum(comb(w, i) for i in range(t + 1))
-        costs.append(probes + n * (n - 1) / 2 * min(1.0, within))
+        costs.append(PROBE_COST * probes + n * (n - 1) / 2 * min(1.0, within))
     return costs
 
 
 def plan_search(n: int, p: np.ndarray, corr: np.ndarray, distance: int = DISTANCE) -> Plan:
-    """The cheapest plan over the numbers of groups and all thresholds with sum(T_i + 1) = distance + 1."""
+    """The cheapest plan over the numbers of groups and all thresholds with sum(T_i + 1) = distance + 1.
+
+    At most ``distance`` groups (the plain pigeonhole has one more, all with threshold 0), so that keys are
+    long enough to tell many fingerprints apart and thresholds differ where the groups do."""
     best: tuple[float, Plan] | None = None
-    for m in range(2, max(3, distance + 2)):
+    for m in range(2, max(3, distance + 1)):
         parts = group_bits(corr, m)
         table: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}
         for part in parts:
