@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,30 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of a loop, in a folder of their own under ``spark.checkpoint.dir``; the folder goes at the end.
+
+    A loop reads back written tables: unlike a checkpointed frame they carry no constraints of the plan that
+    made them, which would grow from round to round."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loop-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        df.write.parquet(f"{self.folder}/{self.tables}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{self.tables}")
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def prepare(spark: SparkSession) -> None:
     """Before Python workers run: the package must be importable there."""
     ship_package(spark)
