@@ -7,6 +7,8 @@ compare values; the SQL twin of each query lives in :mod:`mvtax.oracle`.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +51,15 @@ def q_knn(spark, sf):
 def q_knn_lsh(spark, sf):
     """J4 approximate tier (opt-in): every row still gets exactly k neighbours, exact distances."""
     from .operators.knn import knn_lsh
-    e = knn_lsh(embedding_matrix(spark, sf), k=KNN_K, tables=8, bits=2)
-    return e.select("src", "dst", F.col("rank").cast("long").alias("rank"), r4("dist").alias("dist"))
+    m = embedding_matrix(spark, sf)
+    e = knn_lsh(m, k=KNN_K, tables=8, bits=2)
+    a = m.select(F.col("id").alias("src"), l2_normalize("vec").alias("va"))
+    b = m.select(F.col("id").alias("dst"), l2_normalize("vec").alias("vb"))
+    from .functions.vector import dot
+    off = F.abs(F.col("dist") - (1.0 - dot("va", "vb")))
+    return e.join(a, "src").join(b, "dst").groupBy("src").agg(
+        F.countDistinct("dst").alias("neighbours"), F.max("rank").cast("long").alias("last_rank"),
+        F.sum((F.col("src") == F.col("dst")).cast("long")).alias("selves"), r4(F.max(off)).alias("distance_error"))
 
 
 def _single_scale(spark, sf, k=GRAPH_K):
@@ -143,71 +152,122 @@ def _broad_inputs(spark, sf):
     return v, cut_lineage(p)
 
 
-def _broad_embedding(spark, sf, tier=None, cfg=DEFAULT_CONFIG):
+def _broad_embedding(spark, sf):
     from .operators.spectral import spectral_embed
     from .session import cut_lineage
     v, p = _broad_inputs(spark, sf)
     aff = cut_lineage(G.fused_affinity(v, ["_root"], params=p))
     verts = v.where(F.col("view") == "v1").select("_root", "id").join(p.select("_root", "width"), "_root")
-    return spectral_embed(aff, verts, ["_root"], cfg=cfg, force_tier=tier)
+    return cut_lineage(spectral_embed(aff, verts, ["_root"]))
+
+
+def _norm(c: str):
+    return F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
 
 
 def q_spectral_embed(spark, sf):
+    """G8 on the Broad graph of all rows: width, unit rows, ascending eigenvalues and the residual bound."""
     z = _broad_embedding(spark, sf)
-    return z.select("id", F.size("z").cast("long").alias("width"),
-                    r4(F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"),
-                    r4(F.element_at("eigval", 1)).alias("lambda_min"))
+    rising = F.size(F.filter(F.sequence(F.lit(2), F.size("eigval")),
+                             lambda i: F.element_at("eigval", i) < F.element_at("eigval", i - 1) - 1e-9))
+    return z.select("id", F.size("z").cast("long").alias("width"), r4(_norm("z")).alias("norm"),
+                    rising.cast("long").alias("out_of_order"), r4("residual").alias("residual"))
 
 
 def q_spectral_distributed(spark, sf):
-    """G8 distributed tier forced on the Broad group (the dense tier is the reference)."""
-    from dataclasses import replace
-    # iteration count bounded so the check stays short; tests/test_spectral.py checks convergence
-    z = _broad_embedding(spark, sf, tier="distributed", cfg=replace(DEFAULT_CONFIG, eig_max_outer=6))
-    return z.select("id", F.size("z").cast("long").alias("width"),
-                    r4(F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+    """G8 for all label groups of ``embeddings`` in one plan, checked against the graph itself: per group the
+    eigenpairs with ``|A x - a x| <= 1e-4`` and the pairs of orthonormal vectors, by joins over the edges."""
+    from .operators.spectral import spectral_embed
+    from .session import cut_lineage
+    m = embedding_matrix(spark, sf).select(F.col("label").cast("int").alias("g"), "id", F.lit("v1").alias("view"), l2_normalize("vec").alias("vec"))
+    p = cut_lineage(G.group_params(m, ["g"], (6, 8, 10)).withColumn("width", F.least(F.lit(6), F.col("n") - 1).cast("int")))
+    aff = cut_lineage(G.fused_affinity(m, ["g"], params=p, cfg=replace(DEFAULT_CONFIG, view_weights={"v1": 1.0})))
+    z = cut_lineage(spectral_embed(aff, m.select("g", "id").join(p.select("g", "width"), "g"), ["g"], raw=True))
+    x = z.select("g", "id", "eigval", F.posexplode("x").alias("j", "x")).withColumn("a", 1.0 - F.element_at("eigval", F.col("j") + 1))
+    ax = (aff.join(x.select("g", F.col("id").alias("dst"), "j", "x"), ["g", "dst"])
+             .groupBy("g", F.col("src").alias("id"), "j").agg(F.sum(F.col("w") * F.col("x")).alias("ax")))
+    gap = F.coalesce("ax", F.lit(0.0)) - F.col("a") * F.col("x")
+    good = (x.join(ax, ["g", "id", "j"], "left").groupBy("g", "j").agg(F.sqrt(F.sum(gap * gap)).alias("r"))
+             .groupBy("g").agg(F.sum((F.col("r") <= 1e-4).cast("long")).alias("eigenpairs")))
+    y = x.select("g", "id", F.col("j").alias("i"), F.col("x").alias("y"))
+    dots = x.join(y, ["g", "id"]).where("i <= j").groupBy("g", "i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
+    near = F.abs(F.col("d") - (F.col("i") == F.col("j")).cast("double")) <= 1e-6
+    ortho = dots.groupBy("g").agg(F.sum(near.cast("long")).alias("orthonormal"))
+    n = z.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    return n.join(good, "g").join(ortho, "g").select(F.col("g").cast("long").alias("label"), "n", "eigenpairs", "orthonormal")
 
 
 def q_choose_k(spark, sf):
+    """C1 on the Broad embedding: every candidate k, with what its score is beyond the sum of its parts
+    (0) and whether silhouette, largest share and imbalance lie in their ranges."""
     from .config import BROAD
-    from .operators.cluster import choose_k
-    from .session import cut_lineage
-    z = cut_lineage(_broad_embedding(spark, sf).select("_root", "id", "z"))
+    from .operators.kmeans import choose_k
+    z = _broad_embedding(spark, sf).select("_root", "id", "z")
     sc = choose_k(z, ["_root"], BROAD, return_scores=True)
-    return sc.select(F.col("k").cast("long"), r4("score").alias("score"), r4("sil").alias("sil"),
-                     r4("big_frac").alias("big_frac"), r4("imb").alias("imb"))
+    parts = F.col("sil") + 0.13 * F.log("k") - 0.07 * F.col("imb") - F.when(F.col("big_frac") > BROAD.max_big_frac, 0.35).otherwise(0.0)
+    ranges = F.col("sil").between(-1, 1) & F.col("big_frac").between(1 / F.col("k"), 1) & F.col("imb").between(0, F.sqrt(F.col("k") - 1.0))
+    return sc.select(F.col("k").cast("long"), r4(F.col("score") - parts).alias("beyond_parts"), ranges.alias("in_range"))
 
 
 def q_kmeans_level(spark, sf):
-    from .operators.cluster import kmeans_groups
+    """C2, k = 10 on the Broad embedding: per row its cluster's place in the order of smallest ids against its
+    label (0), and whether it is farther from its cluster's mean than from another mean (Lloyd's fixed point)."""
+    from pyspark.sql import Window
+    from .functions.vector import sq_norm
+    from .operators.cluster import centroids
+    from .operators.kmeans import kmeans_groups
     from .session import cut_lineage
-    z = cut_lineage(_broad_embedding(spark, sf).select("_root", "id", "z"))
+    z = _broad_embedding(spark, sf).select("_root", "id", "z")
     ks = z.select("_root").distinct().withColumn("k", F.lit(10))
-    return kmeans_groups(z, ks, ["_root"]).select("id", F.col("label").cast("long"))
+    lab = cut_lineage(kmeans_groups(z, ks, ["_root"]))
+    first = lab.groupBy("label").agg(F.min("id").alias("first"))
+    first = first.withColumn("place", F.row_number().over(Window.orderBy("first")) - 1)  # one row a cluster
+    x = z.select("_root", "id", F.slice("z", 1, 10).alias("vec"))
+    c = centroids(x, lab, ["_root"], normalize=False).groupBy("_root").agg(F.collect_list(F.struct("label", "mean")).alias("cs"))
+    d = F.transform("cs", lambda s: F.struct(s["label"].alias("l"), sq_norm(F.zip_with("vec", s["mean"], lambda p, q: p - q)).alias("d")))
+    own = F.filter(d, lambda s: s["l"] == F.col("label"))[0]["d"]
+    far = own - F.array_min(F.transform(d, lambda s: s["d"])) > 1e-2
+    return (x.join(lab, ["_root", "id"]).join(c, "_root").join(first.select("label", "place"), "label")
+             .select("id", (F.col("label") - F.col("place")).cast("long").alias("label_gap"), far.alias("far")))
 
 
 def q_sample_cap(spark, sf):
-    """Per label group, a uniform sample of min(n, 20) rows (a sampling operator: the cap is the feature)."""
+    """Per label group, a uniform sample of min(n, 20) rows (a sampling operator: the cap is the feature);
+    rows and distinct ids drawn per group."""
     from .operators.cluster import sample_cap
     m = embedding_matrix(spark, sf).select(F.col("label").alias("g"), "id", "vec")
-    return sample_cap(m, ["g"], cap=20).select(F.col("g").cast("long").alias("label"), "id")
+    return (sample_cap(m, ["g"], cap=20).groupBy(F.col("g").cast("long").alias("label"))
+            .agg(F.count(F.lit(1)).alias("drawn"), F.countDistinct("id").alias("ids")))
+
+
+def _dense_gaps(df, col: str):
+    """Largest label + 1 minus the number of distinct labels: 0 if labels are 0..m-1."""
+    return df.agg((F.max(col) + 1 - F.countDistinct(col)).cast("long").alias("gap"))
 
 
 def q_run_level(spark, sf):
+    """C7 on all rows: one label a row; labels dense; no cluster below the level's minimum beside larger ones."""
     from .config import BROAD
     from .plans.level import run_level
     v = embedding_views(spark, sf).withColumn("_root", P.single_group("id"))
     lab, _ = run_level(v, ["_root"], BROAD)
-    return lab.select("id", F.col("label").cast("long"))
+    sizes = lab.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
+    least = F.greatest(F.lit(BROAD.min_size_floor), F.floor(F.lit(BROAD.min_size_frac) * F.sum("c")))
+    stats = sizes.agg((F.max("label") + 1 - F.count("label")).cast("long").alias("label_gap"),
+                      ((F.min("c") >= least) | (F.count("c") == 1)).alias("sizes_ok"))
+    return lab.select("id").crossJoin(F.broadcast(stats))  # one row
 
 
 def q_hierarchy(spark, sf):
+    """C8 on all rows: per row the parents its Sub and Niche clusters have, label gaps, and padded widths equal per level."""
     from .plans.hierarchy import build_hierarchy
     h = build_hierarchy(embedding_views(spark, sf))
-    return h.select("id", *[F.col(c).cast("long") for c in ("cluster_broad", "cluster_sub", "cluster_niche")],
-                    F.size("broad_dims").cast("long").alias("broad_width"),
-                    F.size("sub_dims").cast("long").alias("sub_width"),
-                    F.size("niche_dims").cast("long").alias("niche_width"))
+    per_sub = h.groupBy("cluster_sub").agg(F.countDistinct("cluster_broad").alias("sub_parents"))
+    per_niche = h.groupBy("cluster_niche").agg(F.countDistinct("cluster_sub").alias("niche_parents"))
+    gaps = h.agg(*[(F.max(c) + 1 - F.countDistinct(c)).cast("long").alias(f"{c}_gap") for c in ("cluster_broad", "cluster_sub", "cluster_niche")],
+                 *[F.countDistinct(F.size(c)).alias(f"{c}_widths") for c in ("broad_dims", "sub_dims", "niche_dims")])
+    return (h.select("id", "cluster_sub", "cluster_niche").join(per_sub, "cluster_sub").join(per_niche, "cluster_niche")
+             .drop("cluster_sub", "cluster_niche").crossJoin(F.broadcast(gaps)))
 
 
 def q_text_embed(spark, sf):
@@ -261,24 +321,31 @@ def q_label_levels(spark, sf):
 
 # ---------------------------------------------------------------- end to end
 
-def taxonomy_inputs(spark, sf):
-    """Records (documents + customer + nation + part + pages) and their embedding views."""
-    from .sources.tables import records
-    rec = records(spark, sf)
-    views = embedding_views(spark, sf).join(rec.select("id"), "id", "left_semi")
-    return rec, views
+def taxonomy(spark, sf):
+    """Records (documents + customer + nation + part + pages) from their texts to names: six text views,
+    three levels, labels; one row for every record."""
+    from .operators.views import build_views
+    from .plans.taxonomy import build_taxonomy
+    rec = _kc(spark, sf)
+    return build_taxonomy(rec, build_views(rec))[0]
 
 
 def q_taxonomy(spark, sf):
-    from .plans.taxonomy import build_taxonomy
-    rec, views = taxonomy_inputs(spark, sf)
-    out, _ = build_taxonomy(rec, views)
-    return out
+    """E1 - E3 end to end: every record's base columns, and whether it has three names, cluster ids, level
+    dims as columns and 32 location dims."""
+    t = taxonomy(spark, sf)
+    named = [F.coalesce(F.col(f"cluster_label_{x}") != "", F.lit(False)) for x in ("broad", "sub", "niche")]
+    clustered = F.col("cluster_broad").isNotNull() & F.col("cluster_sub").isNotNull() & F.col("cluster_niche").isNotNull()
+    dims = [F.size(F.array(*[c for c in t.columns if c.startswith(p) and c[len(p):].isdigit()])) == F.size(f"{x}_dims")
+            for p, x in (("broad_dim", "broad"), ("sub_dim", "sub"), ("niche_dim", "niche"))]
+    loc = sum(1 for c in t.columns if c.startswith("loc_dim"))
+    return t.select("id", "company_name", "location", (named[0] & named[1] & named[2]).alias("named"), clustered.alias("clustered"),
+                    (dims[0] & dims[1] & dims[2]).alias("dims_match"), F.lit(loc).cast("long").alias("loc_dims"))
 
 
 def flagship(spark, sf):
     """Full taxonomy of the records: cluster ids, three names, level dims, location dims."""
-    return q_taxonomy(spark, sf)
+    return taxonomy(spark, sf)
 
 
 
@@ -294,32 +361,10 @@ def q_select_known_columns(spark, sf):
     return known_columns(_records(spark, sf))
 
 
-def view_texts(rec):
-    """P1-P6 over known columns (absent -> blank)."""
-    def c(name):
-        return F.col(name)
-    url = T.strip_scheme(c("website_url"))
-    return rec.select(
-        "id",
-        F.concat(c("ai_summary"), F.lit(" || Services: "), c("services")).alias("v1"),
-        F.concat(F.lit("Roles: "), c("roles"), F.lit(" || Business Model: "), c("business_model"),
-                 F.lit(" || Product Categories: "), c("product_categories"), F.lit(" || Keywords: "),
-                 c("keywords")).alias("v2"),
-        F.concat(F.lit("Market Focus: "), c("market_focus"), F.lit(" || Customer Segments: "),
-                 c("customers_segments"), F.lit(" || Certifications: "), c("certifications")).alias("v3"),
-        F.concat(F.lit("Company: "), c("company_name"), F.lit(" || Industry: "), c("industry"),
-                 F.lit(" || Domain: "), url).alias("v4"),
-        F.concat(F.lit("Company: "), c("company_name"), F.lit(" | Industry: "), c("industry"),
-                 F.lit(" | Roles: "), c("roles"), F.lit(" | Services: "), c("services"),
-                 F.lit(" | Market Focus: "), c("market_focus"), F.lit(" | Customer Segments: "),
-                 c("customers_segments"), F.lit(" | Business Model: "), c("business_model"),
-                 F.lit(" | Keywords: "), c("keywords"), F.lit(" | Summary: "), c("ai_summary")).alias("v5"),
-        c("location").alias("vloc"))
-
-
 def q_view_text(spark, sf):
-    from .sources.io import known_columns
-    return view_texts(known_columns(_records(spark, sf)))
+    """The production view texts."""
+    from .operators.views import view_text_columns
+    return _kc(spark, sf).select("id", *[c.alias(v) for v, c in view_text_columns().items()])
 
 
 def q_strip_scheme(spark, sf):
@@ -455,7 +500,7 @@ def q_census(spark, sf):
     from .sources.tables import table
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    lab = _kc(spark, sf).select("id").join(c, "id").join(n, "c_nationkey")
+    lab = c.join(n, "c_nationkey")  # every customer
     return census(lab, "c_nationkey", "n_name").select(F.col("c_nationkey").cast("long").alias("cluster"),
                                                        F.col("n_name").alias("name"),
                                                        F.col("count").cast("long").alias("count"))
@@ -630,16 +675,10 @@ def q_dims_to_columns(spark, sf):
 
 def q_mean_pool(spark, sf):
     """A3: masked mean of the vectors of each label (mask = first coordinate > 0), then V1."""
+    from .operators.views import mean_pool
     m = embedding_matrix(spark, sf).withColumn("mask", F.when(F.col("vec")[0] > 0, 1.0).otherwise(0.0))
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    s = (m.groupBy("label")
-          .agg(Summarizer.sum(array_to_vector(F.transform("vec", lambda v: v * F.col("mask")))).alias("s"),
-               F.sum("mask").alias("msum"))
-          .select("label", F.transform(vector_to_array("s"), lambda v: v / F.greatest("msum", F.lit(1e-9)))
-                  .alias("p")))
-    return s.select(F.col("label").cast("long").alias("label"), F.posexplode(l2_normalize("p")).alias("pos", "x")) \
-            .select("label", F.col("pos").cast("long"), r4("x").alias("x"))
+    return mean_pool(m, ["label"]).select(F.col("label").cast("long").alias("label"), F.posexplode("vec").alias("pos", "x")) \
+        .select("label", F.col("pos").cast("long"), r4("x").alias("x"))
 
 
 def q_concat_views(spark, sf):
@@ -658,32 +697,16 @@ def q_balance_stats(spark, sf):
                                                                                 r4("imb").alias("imb"))
 
 
-def silhouette_df(x, lab, group_cols):
-    """Exact cosine silhouette, linear in n: with unit rows, the mean distance to a
-    cluster is ``1 - x . mean(cluster)``; the own cluster excludes the row itself."""
-    from .operators.cluster import centroids
-    g = list(group_cols)
-    c = centroids(x, lab, g, normalize=False).select(*g, "label", "sum", "size")
-    cs = c.groupBy(*g).agg(F.collect_list(F.struct("label", "sum", "size")).alias("cs"))
-    j = x.join(lab, g + ["id"]).join(cs, g)
-    from .functions.vector import dot
-    own = F.filter("cs", lambda s: s["label"] == F.col("label"))[0]
-    selfdot = dot("vec", "vec")
-    a = (own["size"] - 1 - (dot("vec", own["sum"]) - selfdot)) / F.greatest(own["size"] - 1, F.lit(1))
-    others = F.filter("cs", lambda s: s["label"] != F.col("label"))
-    b = F.array_min(F.transform(others, lambda s: F.lit(1.0) - dot("vec", s["sum"]) / s["size"]))
-    sil = F.when(own["size"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return j.select(*g, "id", sil.alias("s"))
-
-
 def q_silhouette(spark, sf):
+    from .operators.cluster import silhouette
     x, lab = _x_labels(spark, sf)
-    return silhouette_df(x, lab, ["g"]).agg(r4(F.avg("s")).alias("silhouette"))
+    return silhouette(x, lab, ["g"]).agg(r4(F.avg("s")).alias("silhouette"))
 
 
 def q_k_score(spark, sf):
+    from .operators.cluster import silhouette
     x, lab = _x_labels(spark, sf)
-    sil = silhouette_df(x, lab, ["g"]).groupBy("g").agg(F.avg("s").alias("sil"))
+    sil = silhouette(x, lab, ["g"]).groupBy("g").agg(F.avg("s").alias("sil"))
     m = (lab.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("g").agg((F.max("c") / F.sum("c")).alias("big"),
                               (F.stddev_pop("c") / (F.avg("c") + 1e-9)).alias("imb"),

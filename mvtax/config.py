@@ -226,23 +226,19 @@ class TaxonomyConfig:
     seed: int = 42
     refine_margin_v1: float = 0.025
     refine_margin_concat: float = 0.015
-    label_budget: int = LABEL_BUDGET
-    cache_version: str = CACHE_VERSION
-    max_label_words: int = MAX_LABEL_WORDS
+    label_budget: int | None = None     # proposals asked for at most; None: every cluster (LABEL_BUDGET is the original's)
     compat_word_cap: bool = True        # keep the original head/suffix word cap
     strict_umbrella: bool = False       # Broad labels always one of BROAD_UMBRELLAS
+    text_features: int = 1024           # hashed words of the default encoder (its PCA holds the square of this)
     # physical knobs (not semantics)
     knn_block_rows: int = 2048          # rows per kNN block
     knn_method: str = "exact"           # "exact" (reference semantics) or "lsh" (opt-in, approximate)
     lsh_tables: int = 8
     lsh_bits: int = 8
-    dense_eig_max: int = 3000           # groups up to this size use dense eigh in one task
-    dense_kmeans_max: int = 50000       # groups up to this size run KMeans in one task
-    eig_oversample: int = 12            # extra block columns in the distributed eigensolver
-    eig_cheb_degree: int = 8
-    eig_max_outer: int = 40
-    eig_tol: float = 1e-7
-    lloyd_max_iter: int = 50
+    eig_oversample: int = 24            # extra block columns in the eigensolver
+    eig_cheb_degree: int = 10           # products in one filter step
+    eig_max_outer: int = 40             # filter steps before the eigensolver raises
+    eig_tol: float = 1e-6               # largest residual norm of a wanted eigenpair
 
 
 DEFAULT_CONFIG = TaxonomyConfig()

@@ -122,12 +122,6 @@ def drop_banned_grams(grams) -> Column:
     return F.filter(_col(grams), lambda g: ~F.arrays_overlap(F.split(g, " "), ban))
 
 
-def first_words(c, n: int) -> Column:
-    """The first ``n`` whitespace-separated words."""
-    words = F.filter(F.split(_col(c), f"{WS}+"), lambda w: w != "")
-    return F.array_join(F.slice(words, 1, n), " ")
-
-
 def normalize_alnum(c) -> Column:
     """lower-case, runs of non ``a-z0-9`` -> one space, trimmed (used to compare sector names)."""
     return py_strip(F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", " "))

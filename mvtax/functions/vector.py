@@ -39,12 +39,3 @@ def zero_pad(c, width) -> Column:
     w = width if isinstance(width, Column) else F.lit(int(width))
     v = F.coalesce(_col(c), F.array().cast("array<double>"))
     return F.slice(F.concat(v, F.array_repeat(F.lit(0.0), w)), 1, w)
-
-
-def vec_add(a, b) -> Column:
-    return F.zip_with(_col(a), _col(b), lambda x, y: x + y)
-
-
-def vec_scale(a, s) -> Column:
-    s = s if isinstance(s, Column) else F.lit(float(s))
-    return F.transform(_col(a), lambda x: x * s)

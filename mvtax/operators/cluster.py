@@ -1,9 +1,8 @@
-"""Clustering and repair operators, all groups at once.
+"""Cluster tables and repair operators, all groups at once.
 
-Inputs are long tables keyed by ``(*group, id)``. Numpy runs only inside tasks whose
-input is bounded: a choose_k task sees one group's sample (<= ``sample_cap`` rows), a
-dense KMeans task one group of <= ``dense_kmeans_max`` rows, a merge task one group's
-centroid table (<= k rows). Larger groups run Lloyd iterations as Spark jobs.
+Inputs are long tables keyed by ``(*group, id)``; k choice and KMeans are in ``kmeans.py``. A group's
+centroid table has one row per cluster; it meets the rows as one list per group, broadcast within a
+counted bound and joined by shuffle beyond it. The only Python is the merge of a group's centroids.
 """
 
 from __future__ import annotations
@@ -16,252 +15,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DEFAULT_CONFIG, LevelConfig, TaxonomyConfig
-from ..functions.params import k_score
+from ..config import LevelConfig
 from ..functions.vector import dot, l2_normalize
 from ..session import cut_lineage, ship_package, spread
+from .blocks import small_side
 
+SAMPLE_BUCKETS = 4096
 
-# ---------------------------------------------------------------- numpy helpers (in tasks)
-
-def _sqdist(A: np.ndarray, B: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances, O(|A| |B|) memory."""
-    d = (A * A).sum(1)[:, None] - 2.0 * (A @ B.T) + (B * B).sum(1)[None, :]
-    return np.maximum(d, 0.0)
-
-
-def _kpp_init(X: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Greedy k-means++ seeding (2 + log k local trials)."""
-    n = X.shape[0]
-    trials = 2 + int(np.log(k))
-    centers = np.empty((k, X.shape[1]))
-    centers[0] = X[rng.integers(n)]
-    d2 = ((X - centers[0]) ** 2).sum(1)
-    for c in range(1, k):
-        tot = d2.sum()
-        if tot <= 0:
-            centers[c:] = X[rng.integers(n, size=k - c)]
-            break
-        cand = np.searchsorted(np.cumsum(d2), rng.random(trials) * tot)
-        cand = np.minimum(cand, n - 1)
-        dc = _sqdist(X[cand], X)
-        nd = np.minimum(d2[None, :], dc)
-        best = int(np.argmin(nd.sum(1)))
-        centers[c] = X[cand[best]]
-        d2 = nd[best]
-    return centers
-
-
-def kmeans_np(X: np.ndarray, k: int, restarts: int = 20, seed: int = 42, max_iter: int = 300,
-              tol: float = 1e-4):
-    """Lloyd's KMeans, best of ``restarts`` k-means++ starts by inertia. Labels are canonical:
-    cluster order = order of first appearance by row."""
-    n = X.shape[0]
-    rng = np.random.default_rng(seed)
-    tol_abs = tol * float(np.mean(np.var(X, axis=0))) if n > 1 else 0.0
-    best = None
-    for _ in range(restarts):
-        C = _kpp_init(X, k, rng)
-        for _it in range(max_iter):
-            d = _sqdist(X, C)
-            lab = d.argmin(1)
-            counts = np.bincount(lab, minlength=k).astype(np.float64)
-            sums = np.zeros_like(C)
-            np.add.at(sums, lab, X)
-            newC = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], C)
-            if (counts == 0).any():  # relocate empty clusters to the farthest points
-                far = np.argsort(-d[np.arange(n), lab])[: int((counts == 0).sum())]
-                newC[counts == 0] = X[far]
-            shift = ((newC - C) ** 2).sum()
-            C = newC
-            if shift <= tol_abs:
-                break
-        d = _sqdist(X, C)
-        lab = d.argmin(1)
-        inertia = float(d[np.arange(n), lab].sum())
-        if best is None or inertia < best[0] - 1e-12:
-            best = (inertia, lab, C)
-    inertia, lab, C = best
-    _, first = np.unique(lab, return_index=True)
-    order = np.argsort(first)
-    remap = np.empty(k, dtype=np.int64)
-    remap[np.unique(lab)[order]] = np.arange(len(order))
-    return remap[lab], inertia, C[np.unique(lab)[order]]
-
-
-def silhouette_cosine(X: np.ndarray, lab: np.ndarray, chunk: int = 2048) -> float:
-    """Mean cosine silhouette; raises ValueError unless 2 <= #labels <= n - 1."""
-    n = X.shape[0]
-    uniq, inv = np.unique(lab, return_inverse=True)
-    k = len(uniq)
-    if not 2 <= k <= n - 1:
-        raise ValueError("silhouette needs 2 <= n_labels <= n_samples - 1")
-    nrm = np.linalg.norm(X, axis=1, keepdims=True)
-    nrm[nrm == 0] = 1.0
-    Xn = X / nrm
-    onehot = np.zeros((n, k))
-    onehot[np.arange(n), inv] = 1.0
-    sizes = onehot.sum(0)
-    s = np.empty(n)
-    for a in range(0, n, chunk):
-        D = np.maximum(1.0 - Xn[a:a + chunk] @ Xn.T, 0.0)
-        D[np.arange(D.shape[0]), np.arange(a, a + D.shape[0])] = 0.0
-        sums = D @ onehot
-        own = inv[a:a + chunk]
-        own_n = sizes[own]
-        intra = sums[np.arange(len(own)), own] / np.maximum(own_n - 1, 1)
-        other = sums / sizes
-        other[np.arange(len(own)), own] = np.inf
-        inter = other.min(1)
-        sc = (inter - intra) / np.maximum(np.maximum(intra, inter), 1e-300)
-        sc[own_n <= 1] = 0.0
-        s[a:a + chunk] = sc
-    return float(s.mean())
-
-
-def balance_stats(lab: np.ndarray):
-    """Largest share and population std / mean of the cluster sizes."""
-    _, counts = np.unique(lab, return_counts=True)
-    return counts.max() / counts.sum(), counts.std() / (counts.mean() + 1e-9)
-
-
-# ---------------------------------------------------------------- sampling and k choice
 
 def sample_cap(z: DataFrame, group_cols, cap: int = 7000, seed: int = 42) -> DataFrame:
-    """Per group, a uniform sample without replacement of ``min(n_g, cap)`` rows: the rows
-    with the smallest ``hash(id, seed)``. A Bernoulli pre-filter at ``min(1, 2 cap / n_g)`` keeps
-    the ranked set bounded (~2 cap per group), so no task sorts a whole large group."""
-    g = list(group_cols)
-    u = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    n = z.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    pre = z.join(n, g).withColumn("_u", u).where(F.col("_u") < F.least(F.lit(1.0), F.lit(2.0 * cap) / F.col("_n")))
-    w = Window.partitionBy(*g).orderBy("_u", "id")
-    return pre.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_r", "_u", "_n")
-
-
-def _kcandidates(width, kmin: int, kmax: int) -> F.Column:
-    d_eff = F.greatest(F.lit(2), width)
-    lo = F.greatest(F.lit(2), F.least(F.lit(kmin), d_eff))
-    hi = F.greatest(lo, F.least(F.lit(kmax), d_eff))
-    return F.sequence(lo, hi)
-
-
-def choose_k(z: DataFrame, group_cols, level: LevelConfig, cfg: TaxonomyConfig = DEFAULT_CONFIG,
-             return_scores: bool = False) -> DataFrame:
-    """Per group, score every candidate k on the group's bounded sample, one Spark task
-    per (group, k); best score wins, lowest k on ties. ``z``: ``(*group, id, z)``.
-    Returns ``(*group, k)`` (``k`` already clamped to ``[2, min(width, n - 1)]``)."""
-    ship_package(z.sparkSession)
+    """Per group a uniform sample without replacement of exactly ``min(n_g, cap)`` rows, those with
+    the smallest ``hash(id, seed)``. Counts per hash bucket find the bucket in which a group reaches its cap;
+    only that bucket's rows (``n_g / SAMPLE_BUCKETS`` on average) are ranked."""
     g = list(group_cols)
-    n = z.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size("z")).alias("_d"))
-    smp = sample_cap(z, g, cfg.sample_cap, cfg.seed)
-    packed = smp.groupBy(*g).agg(F.collect_list(F.struct("id", "z")).alias("rows"))
-    packed = packed.join(n, g).withColumn("_k", F.explode(_kcandidates(F.col("_d"), *level.krange)))
-    packed = packed.where(F.col("_k") < F.size("rows"))
-    gf = [z.schema[c] for c in g]
-    sch = T.StructType(gf + [T.StructField(c, T.DoubleType()) for c in ("score", "sil", "big_frac", "imb")]
-                       + [T.StructField("k", T.IntegerType())])
-    names = [f.name for f in sch.fields]
-
-    def score(it):
-        for pdf in it:
-            out = []
-            for i in range(len(pdf)):
-                row = pdf.iloc[i]
-                rows = sorted(row["rows"], key=lambda r: r["id"])
-                k = int(row["_k"])
-                X = np.vstack([np.asarray(r["z"], dtype=np.float64)[:k] for r in rows])
-                try:
-                    lab, _, _ = kmeans_np(X, k, cfg.kmeans_restarts, cfg.seed, cfg.kmeans_max_iter, cfg.kmeans_tol)
-                except Exception:  # noqa: BLE001 - a failing candidate is skipped
-                    continue
-                try:
-                    sil = silhouette_cosine(X, lab)
-                except Exception:  # noqa: BLE001
-                    sil = -0.5
-                big, imb = balance_stats(lab)
-                sc = k_score(sil, k, imb, big, level.max_big_frac)
-                out.append([row[c] for c in g] + [sc, sil, float(big), float(imb), k])
-            if out:
-                yield pd.DataFrame(out, columns=names)
-
-    scores = spread(packed, *g, "_k").mapInPandas(score, sch)
-    if return_scores:
-        return scores
-    best = scores.groupBy(*g).agg(F.max(F.struct("score", (-F.col("k")).alias("nk"))).alias("b"))
-    fallback = F.least(F.greatest(F.lit(2), F.col("_d")), F.greatest(F.lit(2), F.col("_n") - 1), F.lit(3))
-    j = n.join(best, g, "left").withColumn("_k0", F.coalesce(-F.col("b.nk"), fallback))
-    return j.select(*g, F.greatest(F.lit(2), F.least("_k0", "_d", F.col("_n") - 1)).cast("int").alias("k"))
-
-
-# ---------------------------------------------------------------- KMeans on the embedding
-
-def kmeans_groups(z: DataFrame, ks: DataFrame, group_cols, cfg: TaxonomyConfig = DEFAULT_CONFIG) -> DataFrame:
-    """KMeans(k_g, 20 restarts) on the first k_g coordinates of each group.
-    Groups <= ``dense_kmeans_max`` rows: one bounded task each. Larger groups: seeds fitted on
-    the bounded sample, then Lloyd iterations over all rows as Spark jobs."""
-    ship_package(z.sparkSession)
+    h = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40))
+    rows = z.withColumn("_h", h).withColumn("_b", F.shiftright("_h", 28))
+    counts = rows.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*g).orderBy("_b"))
+    cut = (counts.withColumn("_upto", upto).where(F.col("_upto") - F.col("_c") < cap)
+           .groupBy(*g).agg(F.max(F.struct("_b", (F.col("_upto") - F.col("_c")).alias("_before"))).alias("_cut")))
+    cut = cut_lineage(cut.select(*g, F.col("_cut._b").alias("_cb"), F.col("_cut._before").alias("_before")))
+    rows = rows.join(small_side(cut, cut.count()), g).where(F.col("_b") <= F.col("_cb"))
+    ranked = (rows.where(F.col("_b") == F.col("_cb"))
+              .withColumn("_r", F.row_number().over(Window.partitionBy(*g).orderBy("_h", "id")) + F.col("_before"))
+              .where(F.col("_r") <= cap).drop("_r"))
+    return rows.where(F.col("_b") < F.col("_cb")).unionByName(ranked).select(z.columns)
+
+
+def silhouette(x: DataFrame, lab: DataFrame, group_cols) -> DataFrame:
+    """``(*group, id, s)``, the exact cosine silhouette, linear in n: with unit rows the mean distance to a
+    cluster is ``1 - x . mean(cluster)``; the own cluster excludes the row itself."""
     g = list(group_cols)
-    zk = z.join(ks, g).select(*g, "id", F.slice("z", 1, F.col("k")).alias("x"), "k")
-    sizes = zk.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    small = sizes.where(F.col("_n") <= cfg.dense_kmeans_max).select(*g)
-    big = sizes.where(F.col("_n") > cfg.dense_kmeans_max).select(*g)
-    gf = [z.schema[c] for c in g]
-    sch = T.StructType(gf + [T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType())])
-
-    def per_group(key, pdf):
-        pdf = pdf.sort_values("id")
-        X = np.vstack(pdf["x"].to_numpy())
-        lab, _, _ = kmeans_np(X, int(pdf["k"].iloc[0]), cfg.kmeans_restarts, cfg.seed, cfg.kmeans_max_iter,
-                              cfg.kmeans_tol)
-        out = pd.DataFrame({"id": pdf["id"].to_numpy(), "label": lab.astype(np.int32)})
-        for c, v in zip(reversed(g), reversed(list(key))):
-            out.insert(0, c, v)
-        return out[[f.name for f in sch.fields]]
-
-    dense = spread(zk.join(small, g, "left_semi"), *g).groupBy(*g).applyInPandas(per_group, sch)
-    if big.limit(1).count() == 0:
-        return dense
-    # materialised: callers join on it, and a union of differently partitioned inputs must not be
-    return cut_lineage(dense.unionByName(_lloyd(zk.join(big, g, "left_semi"), g, cfg)))
-
-
-def _lloyd(zk: DataFrame, g, cfg: TaxonomyConfig) -> DataFrame:
-    spark = zk.sparkSession
-    smp = sample_cap(zk.withColumnRenamed("x", "z"), g, cfg.sample_cap, cfg.seed)
-    gf = [zk.schema[c] for c in g]
-    csch = T.StructType(gf + [T.StructField("label", T.IntegerType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
-
-    def seed_centers(key, pdf):
-        pdf = pdf.sort_values("id")
-        X = np.vstack(pdf["z"].to_numpy())
-        _, _, C = kmeans_np(X, int(pdf["k"].iloc[0]), cfg.kmeans_restarts, cfg.seed, cfg.kmeans_max_iter,
-                            cfg.kmeans_tol)
-        return pd.DataFrame([list(key) + [i, C[i]] for i in range(len(C))], columns=[f.name for f in csch.fields])
-
-    cents = cut_lineage(smp.groupBy(*g).applyInPandas(seed_centers, csch))
-    pts = cut_lineage(zk)
-
-    def d2(x, c):
-        return F.aggregate(F.zip_with(x, c, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda a, v: a + v)
+    j = x.join(lab, g + ["id"]).join(_lists(centroids(x, lab, g, normalize=False).select(*g, "label", "sum", "size"), g), g)
+    own = F.filter("cs", lambda s: s["label"] == F.col("label"))[0]
+    a = (own["size"] - 1 - (dot("vec", own["sum"]) - dot("vec", "vec"))) / F.greatest(own["size"] - 1, F.lit(1))
+    others = F.filter("cs", lambda s: s["label"] != F.col("label"))
+    b = F.array_min(F.transform(others, lambda s: F.lit(1.0) - dot("vec", s["sum"]) / s["size"]))
+    return j.select(*g, "id", F.when(own["size"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b)).alias("s"))
 
-    def table(c):  # the centroid table is bounded: large groups x k rows
-        return {(tuple(r[x] for x in g), r["label"]): np.asarray(r["c"]) for r in c.collect()}
 
-    prev = table(cents)
-    lab = None
-    for _ in range(cfg.lloyd_max_iter):
-        carr = cents.groupBy(*g).agg(F.collect_list(F.struct("label", "c")).alias("cs"))
-        lab = cut_lineage(pts.join(carr, g).select(*g, "id", "x", F.array_min(F.transform(
-            "cs", lambda c: F.struct(d2(F.col("x"), c["c"]).alias("d"), c["label"].alias("l"))))["l"].alias("label")))
-        new = cut_lineage(lab.groupBy(*g, "label").agg(Summarizer.mean(array_to_vector("x")).alias("m"))
-                             .select(*g, "label", vector_to_array("m").alias("c")))
-        cur = table(new)
-        shift = max((float(((cur[k] - prev[k]) ** 2).sum()) if k in prev else np.inf) for k in cur)
-        cents, prev = new, cur
-        if shift <= cfg.kmeans_tol * 1e-2:
-            break
-    return lab.select(*g, "id", F.col("label").cast("int"))
+def _lists(table: DataFrame, g) -> DataFrame:
+    """A per-cluster table as one list ``cs`` per group, with a broadcast hint if its counted size allows."""
+    table = cut_lineage(table)
+    value = [c for c in table.columns if c not in g]
+    width = [F.size(c) for c in value if isinstance(table.schema[c].dataType, T.ArrayType)]
+    size = table.agg(F.coalesce(F.sum(sum(width, F.lit(8)) * 8), F.lit(0))).first()[0]
+    return small_side(table.groupBy(*g).agg(F.collect_list(F.struct(*value)).alias("cs")), 1, size)
 
 
 # ---------------------------------------------------------------- centroids, refinement, merges
@@ -282,8 +81,7 @@ def refine_by_centroid(x: DataFrame, labels: DataFrame, group_cols, margin: floa
     """Move a row to its most similar centroid when that beats its own by more than
     ``margin`` (ties -> lowest label); every row moves at once. ``x``: ``(*group, id, vec)``."""
     g = list(group_cols)
-    cents = centroids(x, labels, g).groupBy(*g).agg(F.collect_list(F.struct("label", "c")).alias("cs"))
-    j = x.join(labels, g + ["id"]).join(cents, g)
+    j = x.join(labels, g + ["id"]).join(_lists(centroids(x, labels, g).select(*g, "label", "c"), g), g)
     sims = F.transform("cs", lambda c: F.struct(dot(F.col("vec"), c["c"]).alias("sim"),
                                                 (-c["label"]).alias("nl")))
     j = j.withColumn("_s", sims)
@@ -327,48 +125,40 @@ def merge_small(x: DataFrame, labels: DataFrame, group_cols, min_size) -> DataFr
 
 
 def merge_duplicates(x: DataFrame, labels: DataFrame, group_cols, threshold) -> DataFrame:
-    """Repeatedly merge the most similar pair of clusters while its centroid similarity is
-    >= ``threshold`` (the larger keeps its id; ties keep the lower), then relabel densely.
-    Sums and sizes are additive, so the loop runs per group on the centroid table only
-    (<= k rows) - no re-scan of the data."""
+    """C5 + W6: while the two most similar clusters of a group are at least ``threshold`` alike (cosine of
+    their centroids), the smaller one joins the larger - at equal size the higher label the lower; the first
+    pair in label order wins a tie - then labels are dense again. Sums and sizes add up, so only the
+    centroid table is worked on (one row a cluster), never the data."""
     ship_package(labels.sparkSession)
     g = list(group_cols)
     thr = threshold if isinstance(threshold, F.Column) else F.lit(float(threshold))
     c = centroids(x, labels, g).select(*g, "label", "sum", "size").withColumn("_thr", thr)
-    gf = [labels.schema[col] for col in g]
-    sch = T.StructType(gf + [T.StructField("label", T.IntegerType()), T.StructField("_new", T.IntegerType())])
+    sch = T.StructType([labels.schema[col] for col in g] + [T.StructField("label", T.IntegerType()), T.StructField("_new", T.IntegerType())])
 
     def per_group(key, pdf):
-        pdf = pdf.sort_values("label")
-        thr_v = float(pdf["_thr"].iloc[0])
-        sums = {int(r.label): np.asarray(r.sum, dtype=np.float64) for r in pdf.itertuples()}
-        size = {int(r.label): int(r.size) for r in pdf.itertuples()}
-        owner = {lab: lab for lab in sums}
-        while len(sums) > 1:
-            uniq = sorted(sums)
-            C = np.vstack([sums[u] / size[u] for u in uniq])
-            nrm = np.linalg.norm(C, axis=1, keepdims=True)
-            nrm[nrm == 0] = 1.0
-            C = C / nrm
-            best, pair = 0.0, None
-            for i in range(len(uniq) - 1):
-                sims = C[i] @ C[i + 1:].T
-                j = int(np.argmax(sims))
-                s = float(sims[j])
-                if s >= thr_v and s > best:
-                    best, pair = s, (uniq[i], uniq[i + 1 + j])
-            if pair is None:
+        pdf = pdf.sort_values("label", ignore_index=True)
+        least = max(float(pdf["_thr"].iloc[0]), np.finfo(float).tiny)  # a merge needs a positive similarity
+        sums, sizes = np.vstack(pdf["sum"].to_numpy()), pdf["size"].to_numpy(np.int64).copy()
+        gram = sums @ sums.T
+        target, alive = np.arange(len(pdf)), np.ones(len(pdf), bool)
+        while True:
+            norm = np.sqrt(np.maximum(np.diag(gram), 0))
+            cos = gram / np.where(norm > 0, norm, 1)[:, None] / np.where(norm > 0, norm, 1)[None, :]
+            cos[~np.triu(np.outer(alive, alive), 1)] = -np.inf
+            a, b = np.unravel_index(np.argmax(cos), cos.shape)
+            if cos[a, b] < least:
                 break
-            a, b = pair
-            keep, gone = (a, b) if size[a] >= size[b] else (b, a)
-            sums[keep] = sums[keep] + sums.pop(gone)
-            size[keep] += size.pop(gone)
-            for lab, o in owner.items():
-                if o == gone:
-                    owner[lab] = keep
-        dense = {u: i for i, u in enumerate(sorted(set(owner.values())))}
-        rows = [list(key) + [lab, dense[o]] for lab, o in owner.items()]
-        return pd.DataFrame(rows, columns=[f.name for f in sch.fields])
+            stay, go = (a, b) if sizes[a] >= sizes[b] else (b, a)
+            sizes[stay] += sizes[go]
+            gram[stay] += gram[go]  # the Gram matrix of the sums after the two are added
+            gram[:, stay] += gram[:, go]
+            alive[go] = False
+            target[target == go] = stay
+        new = np.searchsorted(np.flatnonzero(alive), target)
+        out = pd.DataFrame({"label": pdf["label"].astype(np.int32), "_new": new.astype(np.int32)})
+        for col, value in reversed(list(zip(g, key))):
+            out.insert(0, col, value)
+        return out
 
     mapping = spread(c, *g).groupBy(*g).applyInPandas(per_group, sch)
     return labels.join(mapping, g + ["label"]).select(*g, "id", F.col("_new").cast("int").alias("label"))

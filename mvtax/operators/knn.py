@@ -8,8 +8,8 @@ Plan (every group in one job):
 3. replicate each query block to the ``B_g`` reference-block keys and equi-join on
    ``(group, ref_block)`` - the join keys spread over ``sum B_g`` values, so no task holds a
    whole group;
-4. ``mapInPandas``: one matrix product per block pair, self excluded by id, partial top-k
-   (ties at the cut kept, so the final order is exact);
+4. ``mapInPandas``: one matrix product per block pair, self excluded by id, the first k by
+   ``(dist, dst)`` of each query row (so many equal vectors still give k candidates a block);
 5. merge partial candidates with ``row_number() over (group, src order by dist, dst)``;
    Spark's window group-limit keeps only k rows per src before the sort.
 
@@ -96,12 +96,14 @@ def knn(vectors: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "vec
                 m = min(kk, len(rids))
                 if m <= 0:
                     continue
-                if m < len(rids):
-                    kth = np.partition(D, m - 1, axis=1)[:, m - 1]
-                    mask = (D <= kth[:, None]) & np.isfinite(D)
-                else:
-                    mask = np.isfinite(D)
-                qi, ri = np.nonzero(mask)
+                order = np.argsort(rids, kind="stable")  # equal distances: the lower id, so a block gives k rows at most
+                rids, D = rids[order], D[:, order]
+                top = np.argpartition(D, m - 1, axis=1)[:, :m] if m < len(rids) else np.tile(np.arange(len(rids)), (len(qids), 1))
+                kth = np.take_along_axis(D, top, axis=1).max(axis=1)
+                below = D < kth[:, None]
+                tied = D == kth[:, None]
+                mask = below | (tied & (np.cumsum(tied, axis=1) <= (m - below.sum(axis=1))[:, None]))
+                qi, ri = np.nonzero(mask & np.isfinite(D))
                 if len(qi) == 0:
                     continue
                 o = pd.DataFrame({"src": qids[qi], "dst": rids[ri], "dist": D[qi, ri],

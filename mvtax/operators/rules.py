@@ -197,14 +197,15 @@ def role_ratio_strings(role_counts, role_total) -> Column:
 
 
 def cache_key(level: str, cid, parent) -> Column:
-    """The label-cache key of a profile row."""
+    """The label-cache key of a profile row: the original's list prefixes, then a digest of the full lists."""
     return F.concat_ws("|", F.lit(CACHE_VERSION), F.lit(level), _c(cid).cast("string"),
                        F.coalesce(_c(parent), F.lit("")), F.col("size").cast("string"),
                        F.array_join(F.slice("top_keywords", 1, 12), ","),
                        F.array_join(F.slice("company_names", 1, 6), ","),
                        F.array_join(F.slice("industries", 1, 6), ","),
                        F.array_join(F.slice("services", 1, 6), ","),
-                       F.array_join(role_ratio_strings("role_counts", "role_total"), ","))
+                       F.array_join(role_ratio_strings("role_counts", "role_total"), ","),
+                       F.sha2(F.concat_ws("|", *[F.array_join(c, ",") for c in ("top_keywords", "company_names", "industries", "services")]), 256))
 
 
 def context_text(level: str, parent) -> Column:

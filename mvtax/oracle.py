@@ -7,7 +7,7 @@ the operator definitions, not from the Spark plans.
 from __future__ import annotations
 
 from .sources.tables import SEGMENT_ROLES, TYPE_MODELS, VIEW_SLICES
-from .config import VIEW_WEIGHTS
+from .config import PCA_DIMS, VIEW_WEIGHTS
 
 
 _NV = [0]
@@ -472,7 +472,9 @@ def _profile_ctes(p: str, level: str) -> str:
                                 for i in order)
     ck = (f"concat_ws('|', {_q(_CV)}, '{level}', CAST(cid AS VARCHAR), coalesce(parent_label, ''), CAST(size AS VARCHAR), "
           f"array_to_string(top_keywords[1:12], ','), array_to_string(company_names[1:6], ','), "
-          f"array_to_string(industries[1:6], ','), array_to_string(services[1:6], ','), {ratios})")
+          f"array_to_string(industries[1:6], ','), array_to_string(services[1:6], ','), {ratios}, sha256(concat_ws('|', "
+          f"array_to_string(top_keywords, ','), array_to_string(company_names, ','), array_to_string(industries, ','), "
+          f"array_to_string(services, ','))))")
     if level == "Broad":
         fb = _title(_enforce("head", "texts"))
     else:
@@ -536,9 +538,8 @@ RULE_ORACLE = {
     "cluster_profile": _with_prof("SELECT CAST(cid AS BIGINT) AS cluster, CAST(size AS BIGINT) AS size, "
                                   "array_to_string(top_keywords, '|') AS top_keywords, array_to_string(services, '|') AS services, "
                                   "array_to_string(company_names, '|') AS company_names, array_to_string(industries, '|') AS industries FROM s_prof"),
-    "census": f"""WITH {RECORDS}
-SELECT CAST(c.c_nationkey AS BIGINT) AS cluster, n.n_name AS name, CAST(count(*) AS BIGINT) AS count
-FROM records r JOIN customer c ON c.c_custkey = r.id JOIN nation n ON n.n_nationkey = c.c_nationkey
+    "census": """SELECT CAST(c.c_nationkey AS BIGINT) AS cluster, n.n_name AS name, CAST(count(*) AS BIGINT) AS count
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
 GROUP BY c.c_nationkey, n.n_name ORDER BY count DESC, cluster LIMIT 20""",
     "umbrella": _with_prof(f"SELECT CAST(cid AS BIGINT) AS cluster, {_first_match('lower(texts)', _BR, _q('Specialist Sector'))} AS default_rules, "
                            f"{_first_match('lower(texts)', _FITTED, _q('Specialist Sector'))} AS fitted_rules FROM s_prof"),
@@ -638,3 +639,50 @@ cc AS (SELECT label, count(*) AS c FROM embeddings GROUP BY label),
 st AS (SELECT max(c) / sum(c) AS big, stddev_pop(c) / (avg(c) + 1e-9) AS imb, count(*) AS k FROM cc)
 SELECT {r4('sil + 0.13 * ln(k) - 0.07 * imb - CASE WHEN big > 0.35 THEN 0.35 ELSE 0.0 END')} AS score FROM sil, st""")
 ORACLE.update(CLUSTER_ORACLE)
+
+
+# ---------------------------------------------------------------- iterative operators: what must hold, computed from the tables
+
+_N = "(SELECT count(*) FROM embeddings)"
+INVARIANT_ORACLE = {
+    "spectral_embed": f"""SELECT vec_id AS id, CAST(least(14, {_N} - 1) AS BIGINT) AS width, 1.0 AS norm,
+  CAST(0 AS BIGINT) AS out_of_order, 0.0 AS residual FROM embeddings""",
+    "spectral_distributed": """WITH g AS (SELECT CAST(label AS BIGINT) AS label, count(*) AS n FROM embeddings GROUP BY label)
+SELECT label, n, CAST(least(6, n - 1) AS BIGINT) AS eigenpairs, CAST(least(6, n - 1) * (least(6, n - 1) + 1) // 2 AS BIGINT) AS orthonormal FROM g""",
+    "choose_k": f"""SELECT CAST(k AS BIGINT) AS k, 0.0 AS beyond_parts, TRUE AS in_range
+FROM range(6, least(14, {_N} - 1) + 1) t(k) WHERE k < {_N}""",
+    "kmeans_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, FALSE AS far FROM embeddings",
+    "sample_cap": """SELECT CAST(label AS BIGINT) AS label, CAST(least(count(*), 20) AS BIGINT) AS drawn,
+  CAST(least(count(*), 20) AS BIGINT) AS ids FROM embeddings GROUP BY label""",
+    "run_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, TRUE AS sizes_ok FROM embeddings",
+    "hierarchy": """SELECT vec_id AS id, CAST(1 AS BIGINT) AS sub_parents, CAST(1 AS BIGINT) AS niche_parents,
+  CAST(0 AS BIGINT) AS cluster_broad_gap, CAST(0 AS BIGINT) AS cluster_sub_gap, CAST(0 AS BIGINT) AS cluster_niche_gap,
+  CAST(1 AS BIGINT) AS broad_dims_widths, CAST(1 AS BIGINT) AS sub_dims_widths, CAST(1 AS BIGINT) AS niche_dims_widths FROM embeddings""",
+    "text_embed": "SELECT doc_id AS id, CAST(least(64, (SELECT count(*) FROM documents)) AS BIGINT) AS width, 1.0 AS norm FROM documents",
+    "pca_views": """SELECT d.doc_id AS id, v.view, CAST(least(v.w, (SELECT count(*) FROM documents)) AS BIGINT) AS width
+FROM documents d, (VALUES %s) v(view, w)""" % ", ".join(f"('{v}', {w})" for v, w in PCA_DIMS.items()),
+    "knn_lsh": f"""SELECT vec_id AS src, CAST(least(10, {_N} - 1) AS BIGINT) AS neighbours, CAST(least(10, {_N} - 1) AS BIGINT) AS last_rank,
+  CAST(0 AS BIGINT) AS selves, 0.0 AS distance_error FROM embeddings""",
+    "taxonomy": f"""WITH {RECORDS} SELECT id, company_name, location, TRUE AS named, TRUE AS clustered, TRUE AS dims_match,
+  CAST(32 AS BIGINT) AS loc_dims FROM records""",
+}
+ORACLE.update(INVARIANT_ORACLE)
+
+# C5 by definition: the state is (list of cluster sums, sizes, labels' owners); one step merges the best pair
+_MERGE = f"""RECURSIVE x AS (SELECT vec_id AS id, CAST(label AS INTEGER) AS label, {_norm('CAST(embedding AS DOUBLE[])')} AS v FROM embeddings),
+xe AS (SELECT label, p, sum(v[p]) AS s, count(*) AS n FROM x, range(1, 65) t(p) GROUP BY label, p),
+c0 AS (SELECT label, any_value(n) AS n, list(s ORDER BY p) AS s FROM xe GROUP BY label),
+st AS (SELECT 0 AS step, (SELECT list(struct_pack(l := label, n := n, s := s, m := [label]) ORDER BY label) FROM c0) AS cs
+  UNION ALL
+  SELECT step + 1, list_sort(list_concat(list_filter(cs, lambda c: c.l <> b.la AND c.l <> b.lb),
+      [struct_pack(l := CASE WHEN b.na >= b.nb THEN b.la ELSE b.lb END, n := b.na + b.nb,
+                   s := list_transform(range(1, len(b.sa) + 1), lambda i: b.sa[i] + b.sb[i]), m := list_concat(b.ma, b.mb))]))
+  FROM (SELECT step, cs, (SELECT struct_pack(sim := sim, la := a.l, lb := b.l, na := a.n, nb := b.n, sa := a.s, sb := b.s, ma := a.m, mb := b.m)
+               FROM (SELECT a, b, list_inner_product(a.s, b.s) / sqrt(list_inner_product(a.s, a.s)) / sqrt(list_inner_product(b.s, b.s)) AS sim
+                     FROM unnest(cs) ta(a), unnest(cs) tb(b) WHERE a.l < b.l) ORDER BY sim DESC, a.l, b.l LIMIT 1) AS b FROM st)
+  WHERE b IS NOT NULL AND b.sim >= 0.3),
+fin AS (SELECT cs FROM st ORDER BY step DESC LIMIT 1),
+new AS (SELECT c.l, c.m, row_number() OVER (ORDER BY c.l) - 1 AS nl FROM fin, unnest(cs) t(c)),
+own AS (SELECT unnest(m) AS label, nl FROM new)
+SELECT x.id, CAST(own.nl AS BIGINT) AS label FROM x JOIN own USING (label)"""
+ORACLE["merge_duplicates"] = f"WITH {_MERGE}"

@@ -2,7 +2,7 @@
 
 Per level, one profile row per cluster (A11); rule columns give the head, suffix and the
 rule-only label (R3-R7); the cache is probed with a left join on the cache key (J3); the
-optional ``proposer`` sees only cache misses, at most ``label_budget`` in level order
+optional ``proposer`` sees only cache misses - with a ``label_budget`` at most so many, in level order
 (Broad, Sub, Niche; by cluster id), through ``mapInPandas``. Sub and Niche labels are
 de-duplicated among siblings (R10); Niche sees the de-duplicated Sub names as parents.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,14 +45,14 @@ def labelled_profiles(records: DataFrame, assign: DataFrame, level: str, parents
     return cut_lineage(R.with_fallback_label(prof, level, "head", "suffix", "texts", "fallback", cfg.compat_word_cap))
 
 
-def propose(misses: DataFrame, level: str, proposer: Proposer | None, budget: int) -> DataFrame:
+def propose(misses: DataFrame, level: str, proposer: Proposer | None, budget: int | None = None) -> DataFrame:
     """``(cid, proposal)`` for the first ``budget`` misses by cid; NULL when no proposer."""
-    if proposer is None or budget <= 0:
+    if proposer is None or (budget is not None and budget <= 0):
         return misses.select("cid", F.lit(None).cast("string").alias("proposal")).limit(0)
     ship_package(misses.sparkSession)
-    w = Window.orderBy("cid")  # one row per cluster; the window group-limit keeps it to `budget`
-    todo = (misses.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= budget)
-                  .select("cid", R.context_text(level, "parent_label").alias("context"), "parent_label"))
+    if budget is not None:
+        misses = misses.orderBy("cid").limit(budget)  # the opt-in budget: the first clusters by id
+    todo = misses.select("cid", R.context_text(level, "parent_label").alias("context"), "parent_label")
 
     def run(it):
         for pdf in it:
@@ -65,16 +65,16 @@ def propose(misses: DataFrame, level: str, proposer: Proposer | None, budget: in
                       .alias("proposal"))
 
 
-def label_level(prof: DataFrame, level: str, cache: DataFrame, proposer: Proposer | None, budget: int,
+def label_level(prof: DataFrame, level: str, cache: DataFrame, proposer: Proposer | None, budget: int | None,
                 cfg: TaxonomyConfig = DEFAULT_CONFIG):
     """Cache -> proposal -> rule fallback -> normalise. Returns ``(labels (cid, label),
     new cache rows, proposals used)``."""
     j = prof.join(cache.withColumnRenamed("label", "cached"), "cache_key", "left")
     props = propose(j.where(F.col("cached").isNull()), level, proposer, budget)
     used = 0
-    if proposer is not None and budget > 0:
-        props = cut_lineage(props)  # <= budget rows; the proposer runs once, even on retries downstream
-        used = props.count()
+    if proposer is not None and (budget is None or budget > 0):
+        props = cut_lineage(props)  # the proposer runs once, even on retries downstream
+        used = props.where(F.coalesce(F.col("proposal"), F.lit("")) != "").count()  # calls that gave a name
     # one row per cluster throughout (no union): hits keep the cached label, misses are normalised
     m = j.join(props, "cid", "left")
     m = m.withColumn("_cand", F.when(F.coalesce(F.col("proposal"), F.lit("")) != "", F.col("proposal"))
@@ -99,13 +99,13 @@ def label_levels(records: DataFrame, hier: DataFrame, cache: DataFrame | None =
     pb = labelled_profiles(records, h.select("id", F.col("cluster_broad").alias("cid")), "Broad", None, cfg)
     lb, new_b, used = label_level(pb, "Broad", cache, proposer, budget, cfg)
     lb = cut_lineage(lb)
-    budget -= used
+    budget = budget if budget is None else budget - used
 
     sub_par = (h.select(F.col("cluster_sub").alias("cid"), F.col("cluster_broad").alias("parent_id")).distinct()
                 .join(lb.select(F.col("cid").alias("parent_id"), F.col("label").alias("parent_label")), "parent_id"))
     ps = labelled_profiles(records, h.select("id", F.col("cluster_sub").alias("cid")), "Sub", sub_par, cfg)
     ls, new_s, used = label_level(ps, "Sub", cache, proposer, budget, cfg)
-    budget -= used
+    budget = budget if budget is None else budget - used
     ls = cut_lineage(R.sibling_dedupe(ls.join(sub_par.select("cid", "parent_id"), "cid"), ps, "parent_id", "cid"))
 
     niche_par = (h.select(F.col("cluster_niche").alias("cid"), F.col("cluster_sub").alias("parent_id")).distinct()

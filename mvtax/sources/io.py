@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import CSV_NA_VALUES, NEEDED_COLUMNS
+from ..session import cut_lineage
 
 
 def read_csv(spark: SparkSession, path: str, na_values=CSV_NA_VALUES) -> DataFrame:
@@ -25,7 +27,7 @@ def known_columns(df: DataFrame, columns=NEEDED_COLUMNS, id_col: str | None = "i
     Adds a stable ``id`` when the input has none (``monotonically_increasing_id`` is unique,
     not dense; row order of a CSV scan is file order)."""
     if id_col and id_col not in df.columns:
-        df = df.withColumn(id_col, F.monotonically_increasing_id())
+        df = cut_lineage(df.withColumn(id_col, F.monotonically_increasing_id()))  # numbered once, for every later read
     sel = [F.col(id_col).cast("long").alias("id")] if id_col else []
     for c in columns:
         if c in df.columns:
@@ -48,7 +50,9 @@ def read_label_cache(spark: SparkSession, path: str | None) -> DataFrame:
         return empty
     try:
         raw = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable cache == empty cache
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable cache is an error: the next write would replace it
+            raise
         return empty
     if "cache_key" not in raw.columns or "label" not in raw.columns:
         return empty

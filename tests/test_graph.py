@@ -109,3 +109,13 @@ def test_lsh_knn_complete_and_close_to_exact(spark):
     hits = [r for r in approx if (r.src, r.dst) in exact]
     assert all(r.dist == pytest.approx(exact[(r.src, r.dst)], abs=1e-12) for r in hits)
     assert len(hits) / len(exact) >= 0.85
+
+
+def test_knn_of_equal_vectors_gives_the_lowest_ids(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(120)], "id long, vec array<double>")
+    got = knn(df, k=5, block_rows=32)
+    near = {}
+    for r in got.collect():
+        near.setdefault(r["src"], []).append((r["rank"], r["dst"]))
+    for i in range(120):
+        assert [d for _, d in sorted(near[i])] == [j for j in range(7) if j != i][:5]
