@@ -11,10 +11,11 @@ somewhere in a document with a smaller doc_id.
 3. Compaction: an edge that is always followed by the same next edge at the same distance, which always
    follows it, is joined to it. Joins over the distinct repeated edges find these links and connected
    components turn them into unbranched paths. Each run of one path in a document is one span.
-4. Verification: the windows around the spans are hashed and grouped; the smallest (doc_id, place) of a
-   hash is its source. Runs of windows with one source on one diagonal are long repeated spans with
-   source coordinates; each is checked by comparing a 128-bit digest of its words with the digest of
-   the words at its source.
+4. Verification: the windows around the spans are hashed and grouped; the smallest (document, place) of
+   a hash is its source. Windows that run beside their source's are long repeated spans with source
+   coordinates; each is checked by comparing a 128-bit digest of its words with the digest of the words
+   at its source. Documents with spans are numbered in the order of their ids, so that a document and a
+   place are one number.
 
 Scale: one full pass over the texts; later passes read only documents with spans. No pairs of documents
 are formed - every occurrence meets one aggregate row of its key, hot keys are combined before the
@@ -33,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mvtax.llm.common import byte_texts, checkpoint, prepare, slices, small_side
+from mvtax.llm.common import byte_texts, checkpoint, prepare, slices, small_side, tasks
 from mvtax.llm.components import connected_components
 
 WINDOW = 50
 K = 20
 STRIDE = WINDOW - K + 1
+#: Low bits of a window's reference that hold its place; the unit is above.
+PLACE = 30
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 #: A row without an id comes after all ids.
 _LAST = (1 << 63) - 1
@@ -77,8 +80,7 @@ def _slide(x: np.ndarray, size: int, ufunc) -> np.ndarray:
 
 
 def kept_edges(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of the kept k-mers of one document with a window at least. Ties are all kept, but
-    of a run of equal k-mers side by side only its ends and every ``STRIDE``-th, which any window still meets."""
+    """Hashes and places of the kept k-mers of one document with a window at least; ties are all kept."""
     h = WordSequence(words).hashes(K)
     least = _slide(h, STRIDE, np.minimum)
     pad = np.zeros(STRIDE - 1, np.uint64)
@@ -153,112 +155,145 @@ def _with_texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return rows.join(small_side(wanted, n), rows["order_id"] == wanted["rep_id"])
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (``rep_id``, ``sequence``, ...) with ``unit``: 0, 1, ... in the order of ``rep_id`` - ranks inside
+    range partitions, plus the rows of the partitions before (one count for each partition)."""
+    parts = tasks(rows.sparkSession)
+    placed = checkpoint(rows.repartitionByRange(parts, "rep_id", "sequence").withColumn("part", F.spark_partition_id()))
+    count = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = count.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    rank = F.row_number().over(W.partitionBy("part").orderBy("rep_id", "sequence")) - 1
+    return checkpoint(placed.withColumn("rank", rank).join(small_side(before, parts), "part")
+                      .withColumn("unit", (F.col("before") + F.col("rank")).cast("long")).drop("part", "rank", "before"))
+
+
+def _matching(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list[bytes], dict]]:
+    """Words and the other columns of the rows whose words are the wanted sequence."""
+    for batch in slices(batches, "text", 1 << 19):
+        for text, m in zip(byte_texts(batch), batch.select(["sequence", *columns]).to_pylist()):
+            words = text.split()
+            if hashlib.sha256(b" ".join(words)).digest() == m["sequence"]:
+                yield words, m
+
+
 def windows(texts: DataFrame) -> DataFrame:
-    """``hash, rep_id, place`` of every window around the spans; ``place`` has the variant in its high bits."""
+    """``hash, ref`` of every window around the spans; ``ref`` is the unit and, in its low bits, the place."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
-            meta = batch.select(["rep_id", "variant", "sequence", "spans"]).to_pylist()
-            for text, m in zip(byte_texts(batch), meta):
-                words = text.split()
-                if hashlib.sha256(b" ".join(words)).digest() != m["sequence"]:
-                    continue
-                inside = np.zeros(len(words) - WINDOW + 2, np.int64)
-                first = np.array([s["first"] for s in m["spans"]]) - (WINDOW - K)
-                last = np.array([s["last"] for s in m["spans"]]) + 1
-                np.add.at(inside, np.clip(first, 0, len(inside) - 1), 1)
-                np.add.at(inside, np.clip(last, 0, len(inside) - 1), -1)
-                at = np.flatnonzero(np.cumsum(inside)[:-1] > 0)
-                h = WordSequence(words).hashes(WINDOW, at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(np.full(len(at), m["rep_id"])), pa.array(at + (m["variant"] << 40))],
-                    ["hash", "rep_id", "place"])
-
-    return texts.select("text", "rep_id", "variant", "sequence", "spans").mapInArrow(run, "hash long, rep_id long, place long")
+        for words, m in _matching(batches, "unit", "spans"):
+            inside = np.zeros(len(words) - WINDOW + 2, np.int64)
+            first = np.array([s["first"] for s in m["spans"]]) - (WINDOW - K)
+            last = np.array([s["last"] for s in m["spans"]]) + 1
+            np.add.at(inside, np.clip(first, 0, len(inside) - 1), 1)
+            np.add.at(inside, np.clip(last, 0, len(inside) - 1), -1)
+            at = np.flatnonzero(np.cumsum(inside)[:-1] > 0)
+            h = WordSequence(words).hashes(WINDOW, at)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(at + (m["unit"] << PLACE))], ["hash", "ref"])
+
+    return texts.select("text", "sequence", "unit", "spans").mapInArrow(run, "hash long, ref long")
+
+
+def _cover(start: np.ndarray, stop: np.ndarray) -> list[int]:
+    """The fewest of these intervals (both ends ascending) that cover what all of them cover: a passage that
+    repeats a short line has a span for each repetition, and the words of most lie in their neighbours."""
+    keep, reach, i = [], -1, 0
+    while i < len(start):
+        if start[i] <= reach:
+            i = int(np.searchsorted(start, reach, "right")) - 1
+        if stop[i] > reach:
+            keep.append(i)
+            reach = int(stop[i])
+        i += 1
+    return keep
 
 
 def source_spans(found: DataFrame) -> DataFrame:
-    """Long repeated spans with source coordinates: ``rep_id, variant, start, stop, src_id, src_variant,
-    src_start`` (words), from the windows that start in a document with a smaller id."""
-    source = found.groupBy("hash").agg(F.min(F.struct("rep_id", "place")).alias("s"), F.max("rep_id").alias("hi"))
-    source = source.filter("hi > s.rep_id").select("hash", F.col("s.rep_id").alias("src_id"), F.col("s.place").alias("src_place"))
-    hits = found.join(source, "hash").filter("rep_id > src_id").select("rep_id", "place", "src_id", "src_place")
-    mine = hits.groupBy("rep_id", F.shiftright("place", 40).alias("variant")).agg(
-        F.collect_list(F.struct("place", "src_id", "src_place")).alias("hits"))  # one document's windows
+    """Long repeated spans with source coordinates: ``unit, start, stop, src_unit, src_start, same`` (words), from
+    the windows whose words start earlier in the order of units; as few spans as cover them all. A span's windows
+    run beside their source's;
+    ``same``: the span is one word repeated and all its windows have one source."""
+    source = found.groupBy("hash").agg(F.min("ref").alias("src"), F.max("ref").alias("hi"))
+    source = source.filter(F.shiftright("hi", PLACE) > F.shiftright("src", PLACE)).select("hash", "src")
+    hits = found.join(source, "hash").filter(F.shiftright("ref", PLACE) > F.shiftright("src", PLACE)).select("ref", "src")
+    mine = hits.groupBy(F.shiftright("ref", PLACE).alias("unit")).agg(F.collect_list(F.struct("ref", "src")).alias("hits"))  # one document's windows
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = (1 << 40) - 1
+        low = (1 << PLACE) - 1
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.column("hits").slice(i, 1).flatten()
-                place, src, at = (np.asarray(row.field(k)) for k in range(3))
-                order = np.argsort(place, kind="stable")
-                place, src, at = place[order], src[order], at[order]
-                cut = np.flatnonzero(np.r_[True, (np.diff(place) != 1) | (np.diff(src) != 0) | (np.diff(at) != 1)])
-                end = np.r_[cut[1:], len(place)] - 1
-                n = len(cut)
+                ref, src = np.asarray(row.field(0)), np.asarray(row.field(1))
+                order = np.argsort(ref, kind="stable")
+                ref, src = ref[order], src[order]
+                step = np.diff(src)  # the source moves along, or stays
+                step = np.where((np.diff(ref) == 1) & ((step == 0) | (step == 1)), step, -1)
+                new = (step < 0) | np.r_[False, (step[1:] != step[:-1]) & (step[:-1] >= 0)]
+                cut = np.flatnonzero(np.r_[True, new])
+                end = np.r_[cut[1:], len(ref)] - 1
+                same = (end > cut) & (src[end] == src[cut])
+                pick = _cover(ref[cut] & low, (ref[end] & low) + WINDOW)
+                cut, end, same = cut[pick], end[pick], same[pick]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column("rep_id")[i].as_py(), n)), pa.array(np.repeat(batch.column("variant")[i].as_py(), n)),
-                     pa.array(place[cut] & low), pa.array((place[end] & low) + WINDOW), pa.array(src[cut]), pa.array(at[cut] >> 40), pa.array(at[cut] & low)],
-                    ["rep_id", "variant", "start", "stop", "src_id", "src_variant", "src_start"])
+                    [pa.array(ref[cut] >> PLACE), pa.array(ref[cut] & low), pa.array((ref[end] & low) + WINDOW),
+                     pa.array(src[cut] >> PLACE), pa.array(src[cut] & low), pa.array(same)],
+                    ["unit", "start", "stop", "src_unit", "src_start", "same"])
 
-    return mine.mapInArrow(run, "rep_id long, variant long, start long, stop long, src_id long, src_variant long, src_start long")
+    return mine.mapInArrow(run, "unit long, start long, stop long, src_unit long, src_start long, same boolean")
 
 
-def _gathered(rows: DataFrame, units: DataFrame, name: str, *columns: str) -> tuple[DataFrame, int]:
-    """One row a document: its entries in the list ``name``, and its sequence; with the count of entries."""
-    rows = rows.groupBy("rep_id", "variant").agg(F.collect_list(F.struct(*columns)).alias(name))
-    got = checkpoint(rows.join(units.select("rep_id", "variant", "sequence"), ["rep_id", "variant"]))
+def _gathered(rows: DataFrame, units: DataFrame, key: list[str], name: str, *columns: str) -> tuple[DataFrame, int]:
+    """One row a document: its entries in the list ``name``, and its id and sequence; with the count of entries."""
+    rows = rows.groupBy(*key).agg(F.collect_list(F.struct(*columns)).alias(name))
+    got = checkpoint(rows.join(units.select(*{*key, "rep_id", "sequence"}), key))
     return got, got.agg(F.coalesce(F.sum(F.size(name)), F.lit(0))).first()[0]
 
 
-def verified(docs: DataFrame, units: DataFrame, spans: DataFrame) -> DataFrame:
-    """The spans whose words equal the words at their source."""
-    both = spans.select("rep_id", "variant", F.col("start").alias("at"), (F.col("stop") - F.col("start")).alias("n"), "span").unionByName(
-        spans.select(F.col("src_id").alias("rep_id"), F.col("src_variant").alias("variant"), F.col("src_start").alias("at"),
-                     (F.col("stop") - F.col("start")).alias("n"), "span"))
-    wanted, n = _gathered(both, units, "spans", "span", "at", "n")
+def verified(docs: DataFrame, near: DataFrame, spans: DataFrame) -> DataFrame:
+    """The spans whose words equal the words at their source: of a ``same`` span one window is compared and its
+    own words must be one word; the documents must have different ids."""
+    n = F.when(F.col("same"), F.lit(WINDOW)).otherwise(F.col("stop") - F.col("start")).alias("n")
+    both = spans.select("unit", F.col("start").alias("at"), n, F.when(F.col("same"), F.col("stop")).alias("one"), "span").unionByName(
+        spans.select(F.col("src_unit").alias("unit"), F.col("src_start").alias("at"), n, F.lit(None).cast("long").alias("one"), "span"))
+    wanted, rows = _gathered(both, near, ["unit"], "spans", "span", "at", "n", "one")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
-            for text, m in zip(byte_texts(batch), batch.select(["sequence", "spans"]).to_pylist()):
-                words = text.split()
-                if hashlib.sha256(b" ".join(words)).digest() == m["sequence"]:
-                    digest = [xxhash.xxh3_128_digest(b" ".join(words[s["at"]:s["at"] + s["n"]])) for s in m["spans"]]
-                    yield pa.RecordBatch.from_arrays([pa.array([s["span"] for s in m["spans"]]), pa.array(digest, pa.binary())], ["span", "digest"])
+        for words, m in _matching(batches, "rep_id", "spans"):
+            digest = []
+            for s in m["spans"]:
+                one = s["one"] is None or len(set(words[s["at"]:s["one"]])) == 1
+                digest.append(xxhash.xxh3_128_digest(b" ".join(words[s["at"]:s["at"] + s["n"]])) if one else b"")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s["span"] for s in m["spans"]]), pa.array(digest, pa.binary()), pa.array([m["rep_id"]] * len(digest), pa.int64())],
+                ["span", "digest", "rep_id"])
 
-    got = _with_texts(docs, wanted, n).select("text", "sequence", "spans").mapInArrow(run, "span long, digest binary")
-    good = got.groupBy("span").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a = b").select("span")
-    return spans.join(good, "span", "left_semi")
+    got = _with_texts(docs, wanted, rows).select("text", "sequence", "rep_id", "spans").mapInArrow(run, "span long, digest binary, rep_id long")
+    good = got.groupBy("span").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.min("rep_id").alias("r"), F.max("rep_id").alias("s"))
+    return spans.join(good.filter("a = b and r < s").select("span"), "span", "left_semi")
 
 
 def removed(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """``rep_id, sequence, n_removed, kept_sha256, kept`` of the documents that lose words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 19):
-            out = []
-            for text, m in zip(byte_texts(batch), batch.select(["rep_id", "sequence", "spans"]).to_pylist()):
-                words = text.split()
-                if hashlib.sha256(b" ".join(words)).digest() != m["sequence"]:
-                    continue
-                cover = np.zeros(len(words) + 1, np.int64)
-                for s in m["spans"]:
-                    cover[s["start"]] += 1
-                    cover[s["stop"]] -= 1
-                keep = np.cumsum(cover)[:-1] == 0
-                kept = b" ".join([words[i] for i in np.flatnonzero(keep).tolist()])
-                out.append((m["rep_id"], m["sequence"], int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(
-                (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string()))], ["rep_id", "sequence", "n_removed", "kept_sha256", "kept"])
+        for words, m in _matching(batches, "rep_id", "spans"):
+            cover = np.zeros(len(words) + 1, np.int64)
+            for s in m["spans"]:
+                cover[s["start"]] += 1
+                cover[s["stop"]] -= 1
+            keep = np.cumsum(cover)[:-1] == 0
+            kept = b" ".join([words[i] for i in np.flatnonzero(keep).tolist()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([m["rep_id"]], pa.int64()), pa.array([m["sequence"]], pa.binary()), pa.array([int((~keep).sum())], pa.int64()),
+                 pa.array([hashlib.sha256(kept).hexdigest()]), pa.array([kept.decode("utf-8", "replace")])],
+                ["rep_id", "sequence", "n_removed", "kept_sha256", "kept"])
 
     return _with_texts(docs, wanted, n).select("text", "rep_id", "sequence", "spans").mapInArrow(
         run, "rep_id long, sequence binary, n_removed long, kept_sha256 string, kept string")
 
 
 def find_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(rows, units, spans)``: every row with its representative, the distinct sequences that have a
-    window, and the verified spans to remove with their source coordinates."""
+    """``(rows, near, spans)``: every row with its representative, the numbered documents that share edges, and
+    the verified spans to remove with their source coordinates."""
     rows = checkpoint(read(docs))
     first = rows.groupBy("sequence").agg(F.min("order_id").alias("rep_id"))
     rows = rows.join(first, "sequence")
@@ -268,10 +303,11 @@ def find_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     units = checkpoint(units)
     found = checkpoint(repeated_edges(units))
     spans = path_spans(found, compacted_paths(found))
-    near, n = _gathered(spans, units, "spans", "first", "last")
+    near, n = _gathered(spans, units, ["rep_id", "variant"], "spans", "first", "last")
+    near = numbered(near)
     texts = _with_texts(docs, near, n)
     long = checkpoint(source_spans(windows(texts)).withColumn("span", F.monotonically_increasing_id()))
-    return rows.select("doc_id", "order_id", "n_words", "sequence", "rep_id"), units, verified(docs, units, long)
+    return rows.select("doc_id", "order_id", "n_words", "sequence", "rep_id"), near, verified(docs, near, long)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -279,8 +315,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words. Rows of equal id are one document to the rule: a window is only
     removed for a smaller id. Rows without an id come after all ids. Empty table: empty result."""
-    rows, units, spans = find_spans(docs)
-    wanted, n = _gathered(spans, units, "spans", "start", "stop")
+    rows, near, spans = find_spans(docs)
+    wanted, n = _gathered(spans, near, ["unit"], "spans", "start", "stop")
     cut = removed(docs, wanted, n).drop("kept").dropDuplicates(["rep_id", "sequence"])
     cut = checkpoint(cut)
     whole = F.col("order_id") > F.col("rep_id")
