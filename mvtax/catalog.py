@@ -321,13 +321,13 @@ def q_label_levels(spark, sf):
 
 # ---------------------------------------------------------------- end to end
 
-def taxonomy(spark, sf):
+def taxonomy(spark, sf, cfg=DEFAULT_CONFIG):
     """Records (documents + customer + nation + part + pages) from their texts to names: six text views,
     three levels, labels; one row for every record."""
     from .operators.views import build_views
     from .plans.taxonomy import build_taxonomy
     rec = _kc(spark, sf)
-    return build_taxonomy(rec, build_views(rec))[0]
+    return build_taxonomy(rec, build_views(rec), cfg=cfg)[0]
 
 
 def q_taxonomy(spark, sf):
@@ -344,8 +344,9 @@ def q_taxonomy(spark, sf):
 
 
 def flagship(spark, sf):
-    """Full taxonomy of the records: cluster ids, three names, level dims, location dims."""
-    return taxonomy(spark, sf)
+    """Full taxonomy of the records: cluster ids, three names, level dims, location dims; with 3 KMeans starts
+    of at most 30 rounds (the default, as in the ``taxonomy`` query, is 20 of 300)."""
+    return taxonomy(spark, sf, replace(DEFAULT_CONFIG, kmeans_restarts=3, kmeans_max_iter=30))
 
 
 
