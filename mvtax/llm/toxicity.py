@@ -37,6 +37,8 @@ RIDGE = 0.01
 CHUNK = 64
 PURITY = 0.02
 SUPPORT = 4
+#: Share of the sampled documents a feature needs for a weight, unless it marks toxic tokens.
+FREQUENT = 0.005
 THRESHOLD = 0.5
 CACHE = 500_000
 
@@ -122,14 +124,9 @@ class Chains:
         return (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
 
 
-def pick_toxic_features(rows: np.ndarray, feats: np.ndarray, toxic: np.ndarray, n_feats: int) -> list[int]:
-    """The features that explain the toxic documents; (rows, feats) are the distinct pairs of document
-    and feature, ``toxic`` marks the documents."""
-    clean = np.bincount(feats[~toxic[rows]], minlength=n_feats) / max(1, (~toxic).sum())
-    all_toxic = np.bincount(feats[toxic[rows]], minlength=n_feats) / max(1, toxic.sum())
-    pure = clean <= PURITY * all_toxic
-    use = toxic[rows] & pure[feats]
-    rows, feats = rows[use], feats[use]
+def pick_toxic_features(rows: np.ndarray, feats: np.ndarray, n_feats: int) -> list[int]:
+    """The features that explain the toxic documents; (rows, feats) are the distinct pairs of toxic document
+    and (nearly) clean-free feature."""
     picked = []
     while len(rows):
         support = np.bincount(feats, minlength=n_feats)
@@ -137,8 +134,8 @@ def pick_toxic_features(rows: np.ndarray, feats: np.ndarray, toxic: np.ndarray,
         if support[best] < SUPPORT:
             break
         picked.append(best)
-        open_rows = ~np.isin(rows, rows[feats == best])
-        rows, feats = rows[open_rows], feats[open_rows]
+        left = ~np.isin(rows, rows[feats == best])
+        rows, feats = rows[left], feats[left]
     return picked
 
 
@@ -214,22 +211,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.string()))],
                                              ["doc_id", "label", "f"])
 
+    n_class = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_toxic, n_clean = n_class.get(1, 0), n_class.get(0, 0)
+    if not n_toxic or not n_clean:
+        return Model({}, np.ones((2, 2)), float(n_toxic > 0))
     feats = sample.mapInArrow(listed, "doc_id long, label int, f array<string>")
     pairs = feats.select("doc_id", "label", F.explode("f").alias("f"))
-    often = pairs.groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SUPPORT).select("f")
-    got = pairs.join(often, "f").toArrow()  # bounded by the sample
-    n_class = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not n_class.get(1) or not n_class.get(0):
-        return Model({}, np.ones((2, 2)), float(bool(n_class.get(1))))
+    stats = checkpoint(pairs.groupBy("f").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SUPPORT))
+    pure = stats.filter((F.col("t") >= SUPPORT) & ((F.col("n") - F.col("t")) / n_clean <= PURITY * F.col("t") / n_toxic)).select("f")
+    got = pairs.filter("label = 1").join(pure, "f").select("doc_id", "f").toArrow()  # bounded by the sample
     names = sorted(set(got.column("f").to_pylist()))
     number = {f: i for i, f in enumerate(names)}
-    ids, rows = np.unique(got.column("doc_id").to_numpy(), return_inverse=True)
-    toxic = np.zeros(len(ids), bool)
-    toxic[rows[got.column("label").to_numpy() == 1]] = True
+    rows = np.unique(got.column("doc_id").to_numpy(), return_inverse=True)[1]
     order = np.array([number[f] for f in got.column("f").to_pylist()], np.int64)
-    picked = {names[i] for i in pick_toxic_features(rows, order, toxic, len(names))}
+    picked = {names[i] for i in pick_toxic_features(rows, order, len(names))}
     if not picked:
         return Model({}, np.ones((2, 2)), 0.0)
+    often = stats.filter(F.col("n") >= FREQUENT * (n_toxic + n_clean)).select("f").toArrow().column("f").to_pylist()
+    names = sorted(picked.union(often))
+    number = {f: i for i, f in enumerate(names)}
     number[""] = len(names)  # the bias of the toxic state
     n_weights = len(number)
 
