@@ -51,9 +51,16 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of an Arrow batch: each holds a whole text, in the JVM and in the Python worker.
+ARROW_ROWS = 2000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Before Python workers run: the package must be importable there."""
+    """Before Python workers run: the package must be importable there, and batches of texts must be small."""
     ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -16,6 +16,7 @@ table of their ids; a full table only costs time.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -35,7 +36,7 @@ from mvtax.llm.common import byte_texts, checkpoint, prepare, slices
 WINDOW = 4096
 END_ID = 1
 SHARD_ITEMS = 4096
-CACHE = 1_000_000
+CACHE = 400_000
 
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -56,6 +57,7 @@ class WordTokenizer:
     pre-tokeniser work inside words, so a text's ids are its words' ids in turn."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -95,7 +97,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 26
         tokenizer = _tokenizer(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             out: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(byte_texts(batch))):
                 ids += end
