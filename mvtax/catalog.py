@@ -344,10 +344,9 @@ def q_taxonomy(spark, sf):
 
 
 def flagship(spark, sf):
-    """Full taxonomy of the records: cluster ids, three names, level dims, location dims; with 3 KMeans starts
-    of at most 30 rounds (the default, as in the ``taxonomy`` query, is 20 of 300)."""
-    return taxonomy(spark, sf, replace(DEFAULT_CONFIG, kmeans_restarts=3, kmeans_max_iter=30))
-
+    """The fused multi-view graph of all rows: six views, the adaptive k-set, one affinity. (The full
+    ``taxonomy`` runs hundreds of iterative jobs and is a query of its own.)"""
+    return q_view_fusion(spark, sf)
 
 
 # ---------------------------------------------------------------- text layer (records fixture)
