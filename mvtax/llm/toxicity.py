@@ -8,8 +8,12 @@ offsets are the runs of tokens whose marginal is a half or more.
 Labelled tokens. Labels mark documents, so tokens are labelled first: features are picked one by one,
 each time the one that explains most of the toxic documents not explained yet and is (nearly) absent
 from the clean ones. Copies of a document are explained together by its toxic word, so their other
-shared words are not picked. Tokens with a picked feature in a toxic document are toxic, tokens of
-clean documents are clean, toxic documents without any are left out.
+shared words are not picked. Words that share their documents with a picked one are found after that: every
+feature (nearly) absent from the clean documents is also taken if so many toxic documents have it in
+surroundings of its own that chance would not give one such feature among all (copies have the same
+surroundings and count once). Tokens with a taken feature in a toxic document are toxic, tokens of
+clean documents are clean, toxic documents without any are left out; a token of a toxic document that has a
+feature absent from the clean ones which was not taken may be either and is left out.
 
 Training uses ``SAMPLE`` documents a class (in the order of a hash of the id, never held-out rows), so
 everything the driver holds is bounded by that parameter. Gradients of the log likelihood are summed
@@ -21,11 +25,13 @@ chunks' 2 x 2 products are formed together, chained per text, and then filled in
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +43,8 @@ RIDGE = 0.01
 CHUNK = 64
 PURITY = 0.02
 SUPPORT = 4
+#: Features that chance may mark toxic, expected over all tested ones.
+CHANCE = 0.001
 #: Share of the sampled documents a feature needs for a weight, unless it marks toxic tokens.
 FREQUENT = 0.005
 THRESHOLD = 0.5
@@ -139,6 +147,29 @@ def pick_toxic_features(rows: np.ndarray, feats: np.ndarray, n_feats: int) -> li
     return picked
 
 
+def far_above_chance(own: int, clean: int, share: float, tested: int) -> bool:
+    """Whether ``own`` toxic among ``own + clean`` documents, drawn with a ``share`` of toxic ones, is expected less
+    than ``CHANCE`` times among ``tested`` features."""
+    n = own + clean
+    tail = (math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share))
+            for k in range(own, n + 1))
+    return sum(tail) * tested < CHANCE
+
+
+def surroundings(text: str, number: dict[str, int]) -> dict[int, int]:
+    """For each feature of ``number`` in the text, the least hash of the words beside a token that has it: copies of a
+    text, and texts with the same passage, have the same."""
+    words = TOKEN.findall(text.lower())
+    out: dict[int, int] = {}
+    for i, word in enumerate(words):
+        own = [number[f] for f in token_features(word) if f in number]
+        if own:
+            beside = xxhash.xxh3_64_intdigest(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}") >> 1
+            for f in own:
+                out[f] = min(beside, out.get(f, beside))
+    return out
+
+
 class Model:
     """Feature weights and transition potentials; no weights: a document scores ``empty``."""
 
@@ -218,15 +249,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
     feats = sample.mapInArrow(listed, "doc_id long, label int, f array<string>")
     pairs = feats.select("doc_id", "label", F.explode("f").alias("f"))
     stats = checkpoint(pairs.groupBy("f").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SUPPORT))
-    pure = stats.filter((F.col("t") >= SUPPORT) & ((F.col("n") - F.col("t")) / n_clean <= PURITY * F.col("t") / n_toxic)).select("f")
-    got = pairs.filter("label = 1").join(pure, "f").select("doc_id", "f").toArrow()  # bounded by the sample
-    names = sorted(set(got.column("f").to_pylist()))
-    number = {f: i for i, f in enumerate(names)}
+    pure = stats.filter((F.col("t") >= SUPPORT) & ((F.col("n") - F.col("t")) / n_clean <= PURITY * F.col("t") / n_toxic))
+    pure = pure.select("f", (F.col("n") - F.col("t")).alias("clean")).toArrow()  # bounded by the sample
+    clean = dict(sorted(zip(pure.column("f").to_pylist(), pure.column("clean").to_pylist())))
+    names = list(clean)
+    place = {f: i for i, f in enumerate(names)}
+
+    def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                got = surroundings(text, place)
+                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(got), pa.int64()), pa.array(list(got), pa.int32()), pa.array(list(got.values()), pa.int64())],
+                                                 ["doc_id", "f", "beside"])
+
+    got = sample.filter("label = 1").mapInArrow(found, "doc_id long, f int, beside long").groupBy("doc_id", "f").agg(F.min("beside").alias("beside")).toArrow()
     rows = np.unique(got.column("doc_id").to_numpy(), return_inverse=True)[1]
-    order = np.array([number[f] for f in got.column("f").to_pylist()], np.int64)
+    order = got.column("f").to_numpy().astype(np.int64)
     picked = {names[i] for i in pick_toxic_features(rows, order, len(names))}
     if not picked:
         return Model({}, np.ones((2, 2)), 0.0)
+    tested, share = stats.count(), n_toxic / (n_toxic + n_clean)
+    alone = np.unique(np.stack([order, got.column("beside").to_numpy()]), axis=1)[0]
+    own = np.bincount(alone, minlength=len(names)).tolist()
+    picked.update(f for i, f in enumerate(names) if own[i] >= SUPPORT and far_above_chance(own[i], clean[f], share, tested))
     often = stats.filter(F.col("n") >= FREQUENT * (n_toxic + n_clean)).select("f").toArrow().column("f").to_pylist()
     names = sorted(picked.union(often))
     number = {f: i for i, f in enumerate(names)}
@@ -241,6 +286,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SA
                 hit = np.array([bool(y) and not picked.isdisjoint(p) for p in parts], bool)
                 if not parts or (y and not hit.any()):
                     continue
+                if y:  # may be either: not taken, absent from the clean documents
+                    sure = [bool(h) or place.keys().isdisjoint(p) for h, p in zip(hit, parts)]
+                    parts, hit = [p for p, s in zip(parts, sure) if s], hit[sure]
                 out_f.append(np.array([[number.get(f, -1) for f in p] + [-1] * (_WIDTH - len(p)) for p in parts], np.int32).tobytes())
                 out_y.append(hit.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out_f, pa.binary()), pa.array(out_y, pa.binary())], ["f", "y"])

@@ -183,6 +183,26 @@ def test_toxicity_finds_held_out_words_and_offsets(spark, odd, none):
     assert {r["score"] for r in toxicity.detect(odd, lab.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_finds_words_whose_documents_another_word_explains(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefg"), 3))
+    copied = " ".join([*(word() for _ in range(8)), "blorpface", "quiet", "river", "harbour", *(word() for _ in range(8))])
+    rows, labels = [], []
+    for i in range(1000):
+        text = [word() for _ in range(20)]
+        bad = i % 4 == 0
+        if bad and i % 16:
+            text[4], text[12] = "blorpface", "zonkhead"  # either alone explains these documents
+        rows.append((i, copied if bad and i % 16 == 0 else " ".join(text)))
+        labels.append((i, 1, int(bad)))
+    new = [(5000, "abc def zonkhead gab"), (5001, "abc def blorpface gab"), (5002, "abc quiet river harbour def")]
+    docs = spark.createDataFrame(rows + new, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: [new[r["doc_id"] - 5000][1][s["start"]:s["end"]] for s in r["spans"]]
+           for r in toxicity.tag(docs.filter("doc_id >= 5000"), model).collect()}
+    assert got == {5000: ["zonkhead"], 5001: ["blorpface"], 5002: []}
+
+
 def brute_edits(rows):
     rows = sorted(((-(1 << 63) if r[0] is None else r[0], r[1] or "", r[0]) for r in rows))
     out = []
