@@ -14,7 +14,7 @@ somewhere in a document with a smaller doc_id.
 4. Verification: the windows around the spans are hashed and grouped; the smallest (document, place) of
    a hash is its source. Windows that run beside their source's are long repeated spans with source
    coordinates; each is checked by comparing a 128-bit digest of its words with the digest of the words
-   at its source. Documents with spans are numbered in the order of their ids, so that a document and a
+   at its source. A coordinate that many spans have is digested once. Documents with spans are numbered in the order of their ids, so that a document and a
    place are one number.
 
 Scale: one full pass over the texts; later passes read only documents with spans. No pairs of documents
@@ -42,6 +42,8 @@ K = 20
 STRIDE = WINDOW - K + 1
 #: Low bits of a window's reference that hold its place; the unit is above.
 PLACE = 30
+#: Coordinates that one row of a document lists, about; a document with more has several rows.
+LISTED = 2000
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 #: A row without an id comes after all ids.
 _LAST = (1 << 63) - 1
@@ -170,7 +172,9 @@ def numbered(rows: DataFrame) -> DataFrame:
 def _matching(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple[list[bytes], dict]]:
     """Words and the other columns of the rows whose words are the wanted sequence."""
     for batch in slices(batches, "text", 1 << 19):
-        for text, m in zip(byte_texts(batch), batch.select(["sequence", *columns]).to_pylist()):
+        rows = batch.select(["sequence", *columns])
+        for i, text in enumerate(byte_texts(batch)):
+            m = rows.slice(i, 1).to_pylist()[0]  # the lists of one row at a time
             words = text.split()
             if hashlib.sha256(b" ".join(words)).digest() == m["sequence"]:
                 yield words, m
@@ -241,9 +245,10 @@ def source_spans(found: DataFrame) -> DataFrame:
     return mine.mapInArrow(run, "unit long, start long, stop long, src_unit long, src_start long, same boolean")
 
 
-def _gathered(rows: DataFrame, units: DataFrame, key: list[str], name: str, *columns: str) -> tuple[DataFrame, int]:
-    """One row a document: its entries in the list ``name``, and its id and sequence; with the count of entries."""
-    rows = rows.groupBy(*key).agg(F.collect_list(F.struct(*columns)).alias(name))
+def _gathered(rows: DataFrame, units: DataFrame, key: list[str], name: str, *columns: str, part: str | None = None) -> tuple[DataFrame, int]:
+    """One row a document (and value of ``part``): its entries in the list ``name``, and its id and sequence; with
+    the count of entries."""
+    rows = rows.groupBy(*key, *([part] if part else [])).agg(F.collect_list(F.struct(*columns)).alias(name))
     got = checkpoint(rows.join(units.select(*{*key, "rep_id", "sequence"}), key))
     return got, got.agg(F.coalesce(F.sum(F.size(name)), F.lit(0))).first()[0]
 
@@ -251,24 +256,35 @@ def _gathered(rows: DataFrame, units: DataFrame, key: list[str], name: str, *col
 def verified(docs: DataFrame, near: DataFrame, spans: DataFrame) -> DataFrame:
     """The spans whose words equal the words at their source: of a ``same`` span one window is compared and its
     own words must be one word; the documents must have different ids."""
-    n = F.when(F.col("same"), F.lit(WINDOW)).otherwise(F.col("stop") - F.col("start")).alias("n")
-    both = spans.select("unit", F.col("start").alias("at"), n, F.when(F.col("same"), F.col("stop")).alias("one"), "span").unionByName(
-        spans.select(F.col("src_unit").alias("unit"), F.col("src_start").alias("at"), n, F.lit(None).cast("long").alias("one"), "span"))
-    wanted, rows = _gathered(both, near, ["unit"], "spans", "span", "at", "n", "one")
+    spans = (spans.withColumn("n", F.when(F.col("same"), F.lit(WINDOW)).otherwise(F.col("stop") - F.col("start")).cast("long"))
+             .withColumn("one", F.when(F.col("same"), F.col("stop")).otherwise(F.lit(-1)).cast("long")))
+    both = spans.select("unit", F.col("start").alias("at"), "n", "one").unionByName(
+        spans.select(F.col("src_unit").alias("unit"), F.col("src_start").alias("at"), "n", F.lit(-1).cast("long").alias("one")))
+    each = checkpoint(both.distinct())
+    many = checkpoint(each.groupBy("unit").agg(F.count(F.lit(1)).alias("entries")).filter(F.col("entries") > LISTED))
+    parts = F.coalesce(F.ceil(F.col("entries") / LISTED), F.lit(1))
+    each = each.join(small_side(many, many.count()), "unit", "left").withColumn("part", F.pmod(F.xxhash64("at", "n", "one"), parts))
+    wanted, rows = _gathered(each, near, ["unit"], "spans", "at", "n", "one", part="part")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, m in _matching(batches, "rep_id", "spans"):
+        for words, m in _matching(batches, "unit", "rep_id", "spans"):
             digest = []
             for s in m["spans"]:
-                one = s["one"] is None or len(set(words[s["at"]:s["one"]])) == 1
+                one = s["one"] < 0 or len(set(words[s["at"]:s["one"]])) == 1
                 digest.append(xxhash.xxh3_128_digest(b" ".join(words[s["at"]:s["at"] + s["n"]])) if one else b"")
+            own = [pa.array([s[c] for s in m["spans"]], pa.int64()) for c in ("at", "n", "one")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s["span"] for s in m["spans"]]), pa.array(digest, pa.binary()), pa.array([m["rep_id"]] * len(digest), pa.int64())],
-                ["span", "digest", "rep_id"])
+                [pa.array([m["unit"]] * len(digest), pa.int64()), *own, pa.array(digest, pa.binary()), pa.array([m["rep_id"]] * len(digest), pa.int64())],
+                ["unit", "at", "n", "one", "digest", "rep_id"])
 
-    got = _with_texts(docs, wanted, rows).select("text", "sequence", "rep_id", "spans").mapInArrow(run, "span long, digest binary, rep_id long")
-    good = got.groupBy("span").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.min("rep_id").alias("r"), F.max("rep_id").alias("s"))
-    return spans.join(good.filter("a = b and r < s").select("span"), "span", "left_semi")
+    got = _with_texts(docs, wanted, rows).select("text", "sequence", "unit", "rep_id", "spans").mapInArrow(
+        run, "unit long, at long, n long, one long, digest binary, rep_id long")
+    got = checkpoint(got.dropDuplicates(["unit", "at", "n", "one"]))  # an id may have a text twice
+    count = got.count()
+    own = got.select("unit", F.col("at").alias("start"), "n", "one", F.col("digest").alias("a"), F.col("rep_id").alias("s"))
+    src = got.filter("one < 0").select(F.col("unit").alias("src_unit"), F.col("at").alias("src_start"), "n", F.col("digest").alias("b"), F.col("rep_id").alias("r"))
+    both = spans.join(small_side(own, count), ["unit", "start", "n", "one"]).join(small_side(src, count), ["src_unit", "src_start", "n"])
+    return both.filter("a = b and r < s").select("unit", "start", "stop", "src_unit", "src_start", "same")
 
 
 def removed(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -306,7 +322,7 @@ def find_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     near, n = _gathered(spans, units, ["rep_id", "variant"], "spans", "first", "last")
     near = numbered(near)
     texts = _with_texts(docs, near, n)
-    long = checkpoint(source_spans(windows(texts)).withColumn("span", F.monotonically_increasing_id()))
+    long = checkpoint(source_spans(windows(texts)))
     return rows.select("doc_id", "order_id", "n_words", "sequence", "rep_id"), near, verified(docs, near, long)
 
 

@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from mvtax.llm import components, exact_dedup, simhash, substring
 
@@ -196,6 +197,28 @@ def test_substring_passages_of_every_length(spark):
     assert rows_of(substring.remove_repeats(df), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substring(rows)
 
 
+def test_substring_lists_of_a_common_source_are_bounded(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(150)]
+    rows = [(0, " ".join(base))]  # the source of all: the same coordinate 60 times, and 60 different ones
+    rows += [(i, " ".join([word(), *base[20:90], word()])) for i in range(1, 61)]
+    rows += [(100 + i, " ".join([word(), *base[i:i + 60 + i % 7], word()])) for i in range(60)]
+    rows.append(rows[5])
+    listed, gathered = [], substring._gathered
+
+    def spy(*args, **kw):
+        got, n = gathered(*args, **kw)
+        listed.append(got.agg(F.max(F.size(args[3]))).first()[0])
+        return got, n
+
+    monkeypatch.setattr(substring, "_gathered", spy)
+    monkeypatch.setattr(substring, "LISTED", 8, raising=False)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(substring.remove_repeats(df), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substring(rows)
+    assert len(listed) == 3 and max(listed) <= 30
+
+
 def test_substring_empty_table(none):
     assert substring.remove_repeats(none).collect() == []
 
