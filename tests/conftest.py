@@ -5,18 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from mvtax.session import get_spark
     s = get_spark("local[4]", app="mvtax-tests", shuffle_partitions=4, driver_memory="8g")
     yield s
     s.stop()
-
-
-def one(spark, col_expr, value, schema="s string"):
-    """Evaluate a Column expression on a one-row DataFrame holding ``value`` in column ``s``."""
-    return spark.createDataFrame([(value,)], schema).select(col_expr.alias("o")).first()["o"]

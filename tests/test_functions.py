@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one
+from taxonomy_helpers import one
 from mvtax.functions import params as P
 from mvtax.functions import text as T
 

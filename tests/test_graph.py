@@ -66,7 +66,7 @@ def test_k2(abc):
 
 def test_fused_fast_path_equals_composition(spark):
     """The one-join fused build equals heat -> mutual / SNN -> blend -> normalise per view and k."""
-    from conftest import SF001
+    from taxonomy_helpers import SF001
     from mvtax.sources.tables import embedding_views
     v = embedding_views(spark, SF001).withColumn("g", F.col("id") % 3)
     p = G.group_params(v, ["g"], (6, 8, 10))
@@ -82,7 +82,7 @@ def test_fused_fast_path_equals_composition(spark):
 
 
 def test_blocked_knn_equals_bruteforce(spark):
-    from conftest import SF001
+    from taxonomy_helpers import SF001
     from mvtax.sources.tables import embedding_matrix
     m = embedding_matrix(spark, SF001)
     fast = knn(m, k=7, group_cols=["label"], block_rows=16).collect()
@@ -94,7 +94,7 @@ def test_blocked_knn_equals_bruteforce(spark):
 
 
 def test_lsh_knn_complete_and_close_to_exact(spark):
-    from conftest import SF001
+    from taxonomy_helpers import SF001
     from mvtax.operators.knn import knn_lsh
     from mvtax.sources.tables import embedding_matrix
     m = embedding_matrix(spark, SF001)

@@ -8,7 +8,7 @@ from mvtax.config import DEFAULT_CONFIG
 
 
 def test_label_levels_budget_and_cache(spark):
-    from conftest import SF001
+    from taxonomy_helpers import SF001
     from mvtax.catalog import _kc, records_hierarchy
     from mvtax.plans.labeling import label_levels
     rec, hier = _kc(spark, SF001), records_hierarchy(spark, SF001)
