@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mvtax.llm import components, exact_dedup, simhash, substring
 
-from conftest import odd_rows
+from odd_rows import odd_rows
 
 
 def rows_of(df, *cols):

@@ -8,7 +8,7 @@ import pytest
 
 from mvtax.llm import mixing, queries, url_filter
 
-from conftest import odd_rows
+from odd_rows import odd_rows
 
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):

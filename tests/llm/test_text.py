@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from mvtax.llm import packing, quality, spotsigs, token_count, toxicity
 
-from conftest import odd_rows
+from odd_rows import odd_rows
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
