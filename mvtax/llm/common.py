@@ -51,16 +51,18 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Rows of an Arrow batch: each holds a whole text, in the JVM and in the Python worker.
+#: Rows and bytes of an Arrow batch, which the JVM and the Python worker hold; one longer row is a batch of its own.
 ARROW_ROWS = 2000
+ARROW_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Before Python workers run: the package must be importable there, and batches of texts must be small."""
     ship_package(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
-        spark.conf.set(name, ARROW_ROWS)
+    for what, most in (("Records", ARROW_ROWS), ("Bytes", ARROW_BYTES)):
+        name = f"spark.sql.execution.arrow.max{what}PerBatch"
+        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
+            spark.conf.set(name, most)
 
 
 def tasks(spark: SparkSession) -> int:
