@@ -9,8 +9,8 @@ one part in four of them (``crc32(id) % 5 = 1``) is kept out of the target, and
 left out of both, so that labels of held-out documents are never learnt.
 
 Scale: counts are summed in every task before the shuffle - at most ``4 * 2 ** BITS`` numbers a task, and as many
-reach the driver whatever the corpus. Only the trusted ids meet texts by a join (a semi-join whose size
-Spark judges). The threshold is a sum over the narrow table of ratios. The sums do not depend on how
+reach the driver whatever the corpus. Texts meet the trusted ids by a sort-merge semi-join at every size: the ids
+grow with the corpus, and one shuffle of the texts is the price. The threshold is a sum over the narrow table of ratios. The sums do not depend on how
 rows are dealt but for rounding, which the ratios and the threshold are rounded beyond.
 """
 
@@ -132,7 +132,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, spread: float = SPREAD) ->
                .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
                .where("quality = 1").select("doc_id", fold.alias("fold")).where("fold > 0"))
     raw = bucket_counts(docs)
-    target = bucket_counts(_rows(docs).join(trusted.where("fold > 1"), "doc_id", "left_semi"))
+    target = bucket_counts(_rows(docs).join(trusted.where("fold > 1").hint("merge"), "doc_id", "left_semi"))
     rows = checkpoint(scored(docs, log_ratios(target, raw)))
     ours = rows.where("not base_failed").join(trusted.where("fold = 1"), "doc_id", "left_semi")
     level = ours.agg(F.round(F.avg("ratio") - spread * F.stddev_pop("ratio"), 6)).first()[0]
