@@ -339,7 +339,7 @@ def q_taxonomy(spark, sf):
     dims = [F.size(F.array(*[c for c in t.columns if c.startswith(p) and c[len(p):].isdigit()])) == F.size(f"{x}_dims")
             for p, x in (("broad_dim", "broad"), ("sub_dim", "sub"), ("niche_dim", "niche"))]
     loc = sum(1 for c in t.columns if c.startswith("loc_dim"))
-    return t.select("id", "company_name", "location", (named[0] & named[1] & named[2]).alias("named"), clustered.alias("clustered"),
+    return t.select("id", "company_name", F.col("loc_text").alias("location"), (named[0] & named[1] & named[2]).alias("named"), clustered.alias("clustered"),
                     (dims[0] & dims[1] & dims[2]).alias("dims_match"), F.lit(loc).cast("long").alias("loc_dims"))
 
 

@@ -56,6 +56,19 @@ def pack(rows: DataFrame, groups: DataFrame, n_groups: int, group_cols, vec_col:
     return cut_lineage(spread(packed.mapInPandas(to_bytes, "gid long, blk long, ids binary, mat binary"), "gid", "blk"))
 
 
+#: Bytes of groups that one partition of ``local_groups`` is meant to hold.
+BIN_BYTES = 64 << 20
+
+
+def local_groups(total: int, *tables: DataFrame, by: tuple[str, ...] = ("gid",)) -> list[DataFrame]:
+    """Tables keyed by group (``by``), each dealt to the same bins of whole groups; ``total``: the bytes of all of them.
+    There are as many bins as groups of ``BIN_BYTES`` fill, and one a core at least; a group of known bound is
+    never cut, so a task holds about a bin's bytes beside its largest group."""
+    spark = tables[0].sparkSession
+    bins = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), int(total) // BIN_BYTES + 1)
+    return [t.repartition(bins, *by) for t in tables]
+
+
 def ids_of(row) -> np.ndarray:
     return np.frombuffer(row.ids, np.int64)
 

@@ -105,7 +105,7 @@ def merge_small(x: DataFrame, labels: DataFrame, group_cols, min_size) -> DataFr
     DataFrame ``(*group, _ms)``. Groups without a small cluster keep their labels; the others
     are densely relabelled. If every cluster of a group is small, nothing merges."""
     g = list(group_cols)
-    c = centroids(x, labels, g)
+    c = cut_lineage(centroids(x, labels, g))
     if isinstance(min_size, DataFrame):
         c = c.join(min_size.select(*g, "_ms"), g)
     else:
@@ -170,5 +170,5 @@ def merge_small_level(x: DataFrame, labels: DataFrame, group_cols, level: LevelC
     ms = (labels.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
                 .select(*g, F.greatest(F.lit(level.min_size_floor),
                                        F.floor(F.lit(level.min_size_frac) * F.col("_n")).cast("long")).alias("_ms")))
-    merged = merge_small(x, labels, g, ms)
+    merged = cut_lineage(merge_small(x, labels, g, ms))
     return merge_duplicates(x, merged, g, level.dup_threshold)
