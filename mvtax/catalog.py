@@ -270,6 +270,62 @@ def q_hierarchy(spark, sf):
              .drop("cluster_sub", "cluster_niche").crossJoin(F.broadcast(gaps)))
 
 
+def q_text_projection(spark, sf):
+    """V2 of every whole document by the signed projection of an unbounded vocabulary: the values of all 32 coordinates."""
+    from .operators.views import projected_vectors
+    from .sources.tables import table
+    z = projected_vectors(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), "text", 32)
+    z = z.select("id", F.posexplode("vec").alias("pos", "x"))
+    return z.select("id", F.col("pos").cast("long").alias("pos"), r4("x").alias("x"))
+
+
+def q_level_census(spark, sf):
+    """A13 and A14 of the three levels of the records in one pass: distinct clusters and rows of each level, and its 20 largest."""
+    from .operators.profile import level_census
+    h = records_hierarchy(spark, sf)
+    names = [F.concat(F.lit(f"{x} "), F.col(f"cluster_{x}")).alias(f"cluster_label_{x}") for x in ("broad", "sub", "niche")]
+    return level_census(h.select("*", *names))
+
+
+def _scratch(spark, name: str) -> str:
+    """A new folder beside the session's checkpoints."""
+    import uuid
+    from .session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_csv_scan(spark, sf):
+    """S1 on all parts and customers, written as CSV and scanned: quoted line breaks and quotes stay, NA spellings become null."""
+    from .sources.io import read_csv
+    from .sources.tables import table
+    p = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("key"), F.col("p_name").alias("name"),
+                                        F.concat("p_brand", F.lit('\n"'), "p_type", F.lit('", x')).alias("about"),
+                                        F.when(F.col("p_partkey") % 3 == 0, "NaN").when(F.col("p_partkey") % 3 == 1, "n/a").otherwise(F.col("p_type")).alias("kind"))
+    c = table(spark, sf, "customer").select((-F.col("c_custkey")).cast("string").alias("key"), F.col("c_name").alias("name"),
+                                            F.col("c_mktsegment").alias("about"), F.lit(None).cast("string").alias("kind"))
+    path = _scratch(spark, "csv")
+    p.unionByName(c).write.option("header", "true").option("quote", '"').option("escape", '"').csv(path)
+    return read_csv(spark, path)
+
+
+def q_cache_snapshots(spark, sf):
+    """S4 and S5 on one path: every part's brand as its label, then the types of even keys appended by a run that reads the
+    cache it writes to, an unfinished snapshot, a full snapshot and a last change; what a reader sees."""
+    from .sources.io import append_label_cache, read_label_cache
+    from .sources.tables import table
+    p = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("k"), "p_partkey").alias("cache_key"), "p_brand", "p_type")
+    path = _scratch(spark, "cache")
+    append_label_cache(p.select("cache_key", F.col("p_brand").alias("label")), path)
+    kept = read_label_cache(spark, path)
+    even = p.where("p_partkey % 2 = 0").select("cache_key", F.col("p_type").alias("label"))
+    append_label_cache(kept.join(even.select("cache_key"), "cache_key", "left_anti").unionByName(even), path)
+    p.select("cache_key", F.lit("lost").alias("label")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{path}/snapshot-00000003")  # as a killed write leaves it
+    append_label_cache(read_label_cache(spark, path), path, full=True)
+    append_label_cache(p.where("p_partkey % 10 = 0").select("cache_key", F.lit("tenth").alias("label")), path)
+    return read_label_cache(spark, path).select("cache_key", "label")
+
+
 def q_text_embed(spark, sf):
     """V2 default encoder on every whole document, then V3 to 64 dims."""
     from .operators.views import pca_reduce, tfidf_vectors
@@ -775,6 +831,7 @@ QUERIES = {
     "text_embed": q_text_embed,
     "pca_views": q_pca_views,
 }
+QUERIES.update({"text_projection": q_text_projection, "level_census": q_level_census, "csv_scan": q_csv_scan, "cache_snapshots": q_cache_snapshots})
 QUERIES["taxonomy"] = q_taxonomy
 QUERIES["label_levels"] = q_label_levels
 QUERIES["knn_lsh"] = q_knn_lsh

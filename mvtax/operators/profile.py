@@ -128,3 +128,28 @@ def census(labelled: DataFrame, id_col: str, name_col: str, k: int = 20) -> Data
     """A14 + O2: the ``k`` largest (id, name) groups; ties by id. A top-k report by design."""
     c = labelled.groupBy(id_col, name_col).agg(F.count(F.lit(1)).alias("count"))
     return c.orderBy(F.desc("count"), id_col).limit(k)
+
+
+LEVEL_COLUMNS = (("broad", "cluster_broad", "cluster_label_broad"), ("sub", "cluster_sub", "cluster_label_sub"),
+                 ("niche", "cluster_niche", "cluster_label_niche"))
+
+
+def level_census(clustered: DataFrame, k: int = 20, levels=LEVEL_COLUMNS) -> DataFrame:
+    """A13 and A14 of all levels in one pass over the rows (GROUPING SETS): ``(level, clusters, rows, place, cluster, name,
+    count)`` - the number of distinct clusters and rows of a level, beside its ``k`` largest clusters (a top-k report; ties by id).
+    ``levels``: ``(level, id column, name column)``. Rows without a cluster at a level are left out of that level."""
+    ids = [F.col(i).cast("long").alias(i) for _, i, _ in levels]
+    names = [F.col(n) for _, _, n in levels]
+    sets = [[F.col(i), F.col(n)] for _, i, n in levels]
+    rows = clustered.select(*ids, *names)
+    bits = 2 * len(levels)
+    mine = [((1 << bits) - 1) ^ (1 << bits - 1 - j) ^ (1 << len(levels) - 1 - j) for j in range(len(levels))]  # grouping_id of each set
+    sizes = rows.groupingSets(sets, *[F.col(i) for _, i, _ in levels], *names).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("count"))
+    pick = lambda cols: F.coalesce(*[F.when(F.col("_set") == m, F.col(c)) for m, c in zip(mine, cols)])
+    sizes = sizes.select(F.element_at(F.create_map(*[F.lit(x) for m, (level, _, _) in zip(mine, levels) for x in (m, level)]), F.col("_set").cast("int")).alias("level"),
+                         pick([i for _, i, _ in levels]).alias("cluster"), pick([n for _, _, n in levels]).alias("name"), "count").where("cluster is not null")
+    per = Window.partitionBy("level")  # one row a cluster
+    place = F.row_number().over(per.orderBy(F.desc("count"), "cluster", "name"))
+    ranked = sizes.withColumn("place", place.cast("long"))
+    total = sizes.groupBy("level").agg(F.countDistinct("cluster").alias("clusters"), F.sum("count").alias("rows"))  # one row a level
+    return ranked.where(F.col("place") <= k).join(total, "level").select("level", "clusters", "rows", "place", "cluster", "name", "count")

@@ -686,3 +686,39 @@ new AS (SELECT c.l, c.m, row_number() OVER (ORDER BY c.l) - 1 AS nl FROM fin, un
 own AS (SELECT unnest(m) AS label, nl FROM new)
 SELECT x.id, CAST(own.nl AS BIGINT) AS label FROM x JOIN own USING (label)"""
 ORACLE["merge_duplicates"] = f"WITH {_MERGE}"
+
+
+# ---------------------------------------------------------------- projection, census of levels, scan and cache
+
+def _hex7(digest: str, at: int) -> str:
+    """Seven hexadecimal digits as a number."""
+    return " + ".join(f"(strpos('0123456789abcdef', substr({digest}, {at + i}, 1)) - 1) * {16 ** (6 - i)}" for i in range(7))
+
+
+ORACLE["text_projection"] = f"""WITH d AS (SELECT doc_id AS id, CASE WHEN trim(coalesce(text, '')) = '' THEN '__blank__' ELSE lower(text) END AS t FROM documents),
+w AS (SELECT id, list_filter(regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}_]+'), lambda x: x <> '') AS l FROM d),
+tk AS (SELECT id, unnest(CASE WHEN len(l) > 0 THEN l ELSE ['__blank__'] END) AS word FROM w),
+tf AS (SELECT id, word, count(*) AS tf FROM tk GROUP BY id, word),
+df AS (SELECT word, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY word),
+dr AS (SELECT word, idf, md5('42:' || draw || ':' || word) AS m FROM df, range(4) r(draw)),
+pl AS (SELECT word, idf, CAST(({_hex7('m', 1)}) % 32 AS BIGINT) AS pos, CASE WHEN ({_hex7('m', 8)}) % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign FROM dr),
+x AS (SELECT id, pos, sum(sign * tf * idf / 2.0) AS x FROM tf JOIN pl USING (word) GROUP BY id, pos),
+n AS (SELECT id, sqrt(sum(x * x)) AS n FROM x GROUP BY id)
+SELECT d.id, CAST(p AS BIGINT) AS pos, {r4('coalesce(x.x / nullif(n.n, 0), 0.0)')} AS x
+FROM d JOIN range(32) t(p) ON TRUE LEFT JOIN x ON x.id = d.id AND x.pos = p LEFT JOIN n ON n.id = d.id"""
+
+ORACLE["level_census"] = """WITH j AS (SELECT coalesce(n.n_regionkey, -1) AS r, coalesce(c.c_nationkey, -1) AS nk, coalesce(c.c_mktsegment, '') AS seg
+  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+h AS (SELECT dense_rank() OVER (ORDER BY r) - 1 AS broad, dense_rank() OVER (ORDER BY r, nk) - 1 AS sub, dense_rank() OVER (ORDER BY r, nk, seg) - 1 AS niche FROM j),
+s AS (SELECT 'broad' AS level, broad AS cluster, count(*) AS c FROM h GROUP BY broad UNION ALL SELECT 'sub', sub, count(*) FROM h GROUP BY sub
+      UNION ALL SELECT 'niche', niche, count(*) FROM h GROUP BY niche),
+t AS (SELECT level, count(*) AS clusters, sum(c) AS rows FROM s GROUP BY level),
+k AS (SELECT *, row_number() OVER (PARTITION BY level ORDER BY c DESC, cluster) AS place FROM s)
+SELECT k.level, CAST(t.clusters AS BIGINT) AS clusters, CAST(t.rows AS BIGINT) AS rows, CAST(place AS BIGINT) AS place, CAST(cluster AS BIGINT) AS cluster,
+  k.level || ' ' || cluster AS name, CAST(c AS BIGINT) AS count FROM k JOIN t USING (level) WHERE place <= 20"""
+
+ORACLE["csv_scan"] = """SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_brand || chr(10) || '"' || p_type || '", x' AS about,
+  CASE WHEN p_partkey % 3 IN (0, 1) THEN NULL ELSE p_type END AS kind FROM part
+UNION ALL SELECT CAST(-c_custkey AS VARCHAR), c_name, c_mktsegment, NULL FROM customer"""
+
+ORACLE["cache_snapshots"] = """SELECT 'k' || p_partkey AS cache_key, CASE WHEN p_partkey % 10 = 0 THEN 'tenth' WHEN p_partkey % 2 = 0 THEN p_type ELSE p_brand END AS label FROM part"""

@@ -43,17 +43,48 @@ CACHE_SCHEMA = T.StructType([
 ])
 
 
+SNAPSHOT = "snapshot-"
+
+
+def _published(spark: SparkSession, path: str) -> list[tuple[int, bool, str]]:
+    """``(number, full, path)`` of the cache's committed snapshots, ascending. A snapshot counts once its job has written
+    ``_SUCCESS``, which Spark does last: what a killed write leaves behind is never read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for child in (f.getPath() for f in fs.listStatus(root)):
+        name = child.getName()
+        if name.startswith(SNAPSHOT) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")):
+            number, _, kind = name[len(SNAPSHOT):].partition("-")
+            found.append((int(number), kind == "full", child.toString()))
+    return sorted(found)
+
+
 def read_label_cache(spark: SparkSession, path: str | None) -> DataFrame:
-    """``(cache_key, label)``; a missing table is an empty cache; the last write of a key wins."""
+    """``(cache_key, label)``; a missing table is an empty cache; the last write of a key wins.
+
+    The cache is the union of its snapshots since the last full one, merged by their numbers. Files are never
+    written over, so a frame read here stays valid while later snapshots are appended. A plain parquet table
+    (``cache_key, label``, optional ``seq``) at ``path`` is read as well."""
     empty = spark.createDataFrame([], CACHE_SCHEMA)
     if not path:
         return empty
+    found = _published(spark, path)
+    if found:
+        start = max([n for n, full, _ in found if full], default=0)
+        parts = [spark.read.schema(CACHE_SCHEMA).parquet(p).withColumn("seq", F.lit(n)) for n, _, p in found if n >= start]
+        raw = parts[0]
+        for p in parts[1:]:
+            raw = raw.unionByName(p)
+        return raw.groupBy("cache_key").agg(F.max_by("label", "seq").alias("label"))
     try:
         raw = spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable cache is an error: the next write would replace it
-            raise
-        return empty
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no table, or only unfinished snapshots
+            return empty
+        raise  # an unreadable cache is an error
     if "cache_key" not in raw.columns or "label" not in raw.columns:
         return empty
     if "seq" not in raw.columns:
@@ -62,10 +93,38 @@ def read_label_cache(spark: SparkSession, path: str | None) -> DataFrame:
                .agg(F.max_by(F.col("label").cast("string"), "seq").alias("label")))
 
 
+def append_label_cache(cache: DataFrame, path: str, full: bool = False) -> int | None:
+    """A snapshot of the rows of ``cache`` that are not in the published cache as they stand (``full``: of the whole
+    merged cache, so that readers skip all before it). Returns its number, None if there was nothing to write.
+
+    ``cache`` may be read from ``path`` itself. Repeated keys: the greatest ``seq`` wins, else the greatest label.
+    Two writers at once pick the same number; the second fails and leaves the first one's snapshot."""
+    spark = cache.sparkSession
+    order = F.col("seq") if "seq" in cache.columns else F.col("label")
+    rows = cache.groupBy(F.col("cache_key").cast("string").alias("cache_key")).agg(F.max_by(F.col("label").cast("string"), order).alias("label"))
+    old = read_label_cache(spark, path).withColumnRenamed("label", "_old")
+    both = rows.join(old, "cache_key", "full" if full else "left")
+    if full:
+        both = both.select("cache_key", F.coalesce("label", "_old").alias("label"))
+    else:
+        both = both.where(~F.col("label").eqNullSafe(F.col("_old"))).select("cache_key", "label")
+    both = cut_lineage(both)
+    if both.isEmpty():
+        return None
+    number = 1 + max([n for n, _, _ in _published(spark, path)], default=0)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    taken = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+    while any(name.startswith(f"{SNAPSHOT}{number:08d}") for name in taken):  # an unfinished write holds the number
+        number += 1
+    both.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{SNAPSHOT}{number:08d}" + ("-full" if full else ""))
+    return number
+
+
 def write_outputs(result: DataFrame, cache: DataFrame, result_path: str, cache_path: str | None,
                   mode: str = "overwrite") -> None:
-    """The cluster table, and the label cache only when it is non-empty."""
+    """The label cache - what is new in it, as a snapshot - and the cluster table. The cache goes first: names that
+    were paid for are kept even if the table's write fails."""
+    if cache_path:
+        append_label_cache(cache, cache_path)
     result.write.mode(mode).parquet(result_path)
-    if cache_path and cache.limit(1).count() > 0:
-        seq = F.monotonically_increasing_id() if "seq" not in cache.columns else F.col("seq")
-        cache.select("cache_key", "label", seq.alias("seq")).write.mode(mode).parquet(cache_path)
