@@ -20,7 +20,6 @@ import random
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,34 +185,36 @@ def _operations(keyed: DataFrame, shards: int) -> DataFrame:
     return keyed.withColumn("shard", shard).mapInArrow(_combined, "shard long, key binary, doc_id long, n long")
 
 
-def _apply(shard, state: bytes | None, ops: pd.DataFrame, delete: bool) -> pd.DataFrame:
+_INDEX = pa.schema([("shard", pa.int64()), ("state", pa.binary())])
+
+
+def _apply(state: bytes | None, ops: pa.Table, delete: bool) -> pa.Table:
+    """The index of a shard after its operations. Arrow, not pandas: ids beyond 2 ** 53 beside a null stay exact."""
     index = CuckooIndex.load(state) if state is not None else CuckooIndex()
-    ids = ops["doc_id"].astype(object).where(ops["doc_id"].notna(), None)
-    for key, doc_id, n in zip(ops["key"], ids, ops["n"]):
+    for key, doc_id, n in zip(*[ops.column(c).to_pylist() for c in ("key", "doc_id", "n")]):
         if delete:
-            index.delete(bytes(key), int(n))
+            index.delete(key, n)
         else:
-            index.insert(bytes(key), None if doc_id is None else int(doc_id), int(n))
-    return pd.DataFrame({"shard": [shard], "state": [index.dump()]})
+            index.insert(key, doc_id, n)
+    return pa.table([[ops.column("shard")[0].as_py()], [index.dump()]], schema=_INDEX)
 
 
 def build_index(keyed: DataFrame, shards: int) -> DataFrame:
     """Index of ``keyed`` (``content_keys``) with a fixed number of shards."""
     ops = _operations(keyed, shards)
-    return ops.groupBy("shard").applyInPandas(
-        lambda key, pdf: _apply(key[0], None, pdf, False), INDEX_SCHEMA)
+    return ops.groupBy("shard").applyInArrow(lambda ops: _apply(None, ops, False), INDEX_SCHEMA)
 
 
 def update_index(index: DataFrame, keyed: DataFrame, shards: int, delete: bool = False) -> DataFrame:
     """Insert a further batch of rows, or delete the live rows of a batch (``delete=True``)."""
     ops = _operations(keyed, shards)
 
-    def merge(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return _apply(key[0], None, right, delete)
-        return left if right.empty else _apply(key[0], left["state"].iloc[0], right, delete)
+    def merge(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _apply(None, right, delete)
+        return left if not right.num_rows else _apply(left.column("state")[0].as_py(), right, delete)
 
-    return index.groupBy("shard").cogroup(ops.groupBy("shard")).applyInPandas(merge, INDEX_SCHEMA)
+    return index.groupBy("shard").cogroup(ops.groupBy("shard")).applyInArrow(merge, INDEX_SCHEMA)
 
 
 def _live(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
