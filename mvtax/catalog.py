@@ -49,17 +49,22 @@ def q_knn(spark, sf):
 
 
 def q_knn_lsh(spark, sf):
-    """J4 approximate tier (opt-in): every row still gets exactly k neighbours, exact distances."""
+    """J4 approximate tier (opt-in): every row still gets exactly k neighbours with exact distances, and of the exact
+    join's neighbours at least nine in ten are among them."""
     from .operators.knn import knn_lsh
+    from .session import cut_lineage
     m = embedding_matrix(spark, sf)
-    e = knn_lsh(m, k=KNN_K, tables=8, bits=2)
+    e = cut_lineage(knn_lsh(m, k=KNN_K, tables=8, bits=2))
+    exact = knn(m, k=KNN_K).select("src", "dst")
+    found, wanted = exact.join(e.select("src", "dst").distinct(), ["src", "dst"], "left_semi").count(), exact.count()
     a = m.select(F.col("id").alias("src"), l2_normalize("vec").alias("va"))
     b = m.select(F.col("id").alias("dst"), l2_normalize("vec").alias("vb"))
     from .functions.vector import dot
     off = F.abs(F.col("dist") - (1.0 - dot("va", "vb")))
     return e.join(a, "src").join(b, "dst").groupBy("src").agg(
         F.countDistinct("dst").alias("neighbours"), F.max("rank").cast("long").alias("last_rank"),
-        F.sum((F.col("src") == F.col("dst")).cast("long")).alias("selves"), r4(F.max(off)).alias("distance_error"))
+        F.sum((F.col("src") == F.col("dst")).cast("long")).alias("selves"), r4(F.max(off)).alias("distance_error")).withColumn(
+        "recall_ok", F.lit(found >= 0.9 * wanted))
 
 
 def _single_scale(spark, sf, k=GRAPH_K):
@@ -197,21 +202,44 @@ def q_spectral_distributed(spark, sf):
     return n.join(good, "g").join(ortho, "g").select(F.col("g").cast("long").alias("label"), "n", "eigenpairs", "orthonormal")
 
 
+def _scatter(x: DataFrame, labels: DataFrame, label: str):
+    """Sum of squared distances of the rows ``(id, vec)`` to the mean of their cluster: of one label for all it is the total
+    scatter, so a labelling that says nothing does not lower it."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    j = x.join(labels.select("id", F.col(label).alias("_l")), "id").withColumn("_v", array_to_vector("vec"))
+    per = j.groupBy("_l").agg(Summarizer.metrics("variance", "count").summary(F.col("_v")).alias("s"))
+    from pyspark.ml.functions import vector_to_array
+    var = F.aggregate(vector_to_array("s.variance"), F.lit(0.0), lambda a, v: a + v)
+    return per.agg(F.sum(F.when(F.col("s.count") > 1, var * (F.col("s.count") - 1)).otherwise(0.0))).first()[0] or 0.0
+
+
 def q_choose_k(spark, sf):
     """C1 on the Broad embedding: every candidate k, with what its score is beyond the sum of its parts
-    (0) and whether silhouette, largest share and imbalance lie in their ranges."""
+    (0), whether silhouette, largest share and imbalance lie in their ranges, and the silhouette's distance (0) from the mean
+    silhouette (A15) of labels fitted for that k alone."""
     from .config import BROAD
-    from .operators.kmeans import choose_k
+    from .operators.cluster import silhouette
+    from .operators.kmeans import choose_k, kmeans_groups
+    from .session import cut_lineage
     z = _broad_embedding(spark, sf).select("_root", "id", "z")
     sc = choose_k(z, ["_root"], BROAD, return_scores=True)
     parts = F.col("sil") + 0.13 * F.log("k") - 0.07 * F.col("imb") - F.when(F.col("big_frac") > BROAD.max_big_frac, 0.35).otherwise(0.0)
     ranges = F.col("sil").between(-1, 1) & F.col("big_frac").between(1 / F.col("k"), 1) & F.col("imb").between(0, F.sqrt(F.col("k") - 1.0))
-    return sc.select(F.col("k").cast("long"), r4(F.col("score") - parts).alias("beyond_parts"), ranges.alias("in_range"))
+    sc = cut_lineage(sc)
+    ks = cut_lineage(sc.select(F.col("k").alias("kk"), "k"))
+    each = cut_lineage(z.select("id", "z").join(F.broadcast(ks.select("kk")), F.col("kk") <= F.size("z")))  # the rows once for each k
+    lab = cut_lineage(kmeans_groups(each, ks, ["kk"]))
+    unit = each.select("kk", "id", l2_normalize(F.slice("z", 1, F.col("kk"))).alias("vec"))
+    own = silhouette(unit, lab, ["kk"]).groupBy("kk").agg(F.avg("s").alias("own"))
+    return sc.join(own, sc["k"] == own["kk"]).select(F.col("k").cast("long"), r4(F.col("score") - parts).alias("beyond_parts"), ranges.alias("in_range"),
+                                                     r4(F.col("sil") - F.col("own")).alias("silhouette_gap"))
 
 
 def q_kmeans_level(spark, sf):
     """C2, k = 10 on the Broad embedding: per row its cluster's place in the order of smallest ids against its
-    label (0), and whether it is farther from its cluster's mean than from another mean (Lloyd's fixed point)."""
+    label (0), whether it is farther from its cluster's mean than from another mean (Lloyd's fixed point), how many
+    clusters there are, and whether they take a quarter off the scatter of the rows about one mean."""
     from pyspark.sql import Window
     from .functions.vector import sq_norm
     from .operators.cluster import centroids
@@ -227,8 +255,11 @@ def q_kmeans_level(spark, sf):
     d = F.transform("cs", lambda s: F.struct(s["label"].alias("l"), sq_norm(F.zip_with("vec", s["mean"], lambda p, q: p - q)).alias("d")))
     own = F.filter(d, lambda s: s["l"] == F.col("label"))[0]["d"]
     far = own - F.array_min(F.transform(d, lambda s: s["d"])) > 1e-2
+    used = lab.select("label").distinct().count()
+    tight = _scatter(x.select("id", "vec"), lab, "label") <= 0.75 * _scatter(x.select("id", "vec"), lab.withColumn("one", F.lit(0)), "one")
     return (x.join(lab, ["_root", "id"]).join(c, "_root").join(first.select("label", "place"), "label")
-             .select("id", (F.col("label") - F.col("place")).cast("long").alias("label_gap"), far.alias("far")))
+             .select("id", (F.col("label") - F.col("place")).cast("long").alias("label_gap"), far.alias("far"),
+                     F.lit(used).cast("long").alias("clusters"), F.lit(tight).alias("tight")))
 
 
 def q_sample_cap(spark, sf):
@@ -245,29 +276,42 @@ def _dense_gaps(df, col: str):
     return df.agg((F.max(col) + 1 - F.countDistinct(col)).cast("long").alias("gap"))
 
 
+def _first_view(spark, sf):
+    return embedding_views(spark, sf).where(F.col("view") == "v1").select("id", "vec")
+
+
 def q_run_level(spark, sf):
-    """C7 on all rows: one label a row; labels dense; no cluster below the level's minimum beside larger ones."""
+    """C7 on all rows: one label a row; labels dense; no cluster below the level's minimum beside larger ones; more than
+    one cluster, and the rows of the first view nearer to their clusters' means than to one mean."""
     from .config import BROAD
     from .plans.level import run_level
     v = embedding_views(spark, sf).withColumn("_root", P.single_group("id"))
     lab, _ = run_level(v, ["_root"], BROAD)
     sizes = lab.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
     least = F.greatest(F.lit(BROAD.min_size_floor), F.floor(F.lit(BROAD.min_size_frac) * F.sum("c")))
-    stats = sizes.agg((F.max("label") + 1 - F.count("label")).cast("long").alias("label_gap"),
-                      ((F.min("c") >= least) | (F.count("c") == 1)).alias("sizes_ok"))
-    return lab.select("id").crossJoin(F.broadcast(stats))  # one row
+    gap, ok, many = sizes.agg((F.max("label") + 1 - F.count("label")).cast("long"), (F.min("c") >= least) | (F.count("c") == 1), F.count("c") > 1).first()
+    x = _first_view(spark, sf)
+    tight = _scatter(x, lab, "label") <= 0.99 * _scatter(x, lab.withColumn("one", F.lit(0)), "one")
+    return lab.select("id", F.lit(gap).alias("label_gap"), F.lit(ok).alias("sizes_ok"), F.lit(many).alias("several"), F.lit(tight).alias("tight"))
 
 
 def q_hierarchy(spark, sf):
-    """C8 on all rows: per row the parents its Sub and Niche clusters have, label gaps, and padded widths equal per level."""
+    """C8 on all rows: per row the parents its Sub and Niche clusters have, label gaps, padded widths equal per level, more
+    clusters from level to level, and less scatter of the first view about their means."""
     from .plans.hierarchy import build_hierarchy
     h = build_hierarchy(embedding_views(spark, sf))
     per_sub = h.groupBy("cluster_sub").agg(F.countDistinct("cluster_broad").alias("sub_parents"))
     per_niche = h.groupBy("cluster_niche").agg(F.countDistinct("cluster_sub").alias("niche_parents"))
-    gaps = h.agg(*[(F.max(c) + 1 - F.countDistinct(c)).cast("long").alias(f"{c}_gap") for c in ("cluster_broad", "cluster_sub", "cluster_niche")],
-                 *[F.countDistinct(F.size(c)).alias(f"{c}_widths") for c in ("broad_dims", "sub_dims", "niche_dims")])
-    return (h.select("id", "cluster_sub", "cluster_niche").join(per_sub, "cluster_sub").join(per_niche, "cluster_niche")
-             .drop("cluster_sub", "cluster_niche").crossJoin(F.broadcast(gaps)))
+    levels = ("cluster_broad", "cluster_sub", "cluster_niche")
+    gaps = h.agg(*[(F.max(c) + 1 - F.countDistinct(c)).cast("long").alias(f"{c}_gap") for c in levels],
+                 *[F.countDistinct(F.size(c)).alias(f"{c}_widths") for c in ("broad_dims", "sub_dims", "niche_dims")],
+                 *[F.countDistinct(c).alias(f"_{c}") for c in levels]).first().asDict()
+    n = [gaps.pop(f"_{c}") for c in levels]
+    x = _first_view(spark, sf)
+    scatter = [_scatter(x, h.withColumn("one", F.lit(0)), "one"), *[_scatter(x, h, c) for c in levels]]
+    flags = {"several": 1 < n[0] <= n[1] <= n[2], "tighter": scatter[1] <= 0.99 * scatter[0] and scatter[3] <= scatter[2] <= scatter[1] and scatter[3] <= 0.9 * scatter[0]}
+    return (h.select("id", "cluster_sub", "cluster_niche").join(per_sub, "cluster_sub").join(per_niche, "cluster_niche").drop("cluster_sub", "cluster_niche")
+             .select("*", *[F.lit(v).cast("long").alias(c) for c, v in gaps.items()], *[F.lit(v).alias(c) for c, v in flags.items()]))
 
 
 def q_text_projection(spark, sf):
@@ -395,14 +439,17 @@ def q_taxonomy(spark, sf):
     dims = [F.size(F.array(*[c for c in t.columns if c.startswith(p) and c[len(p):].isdigit()])) == F.size(f"{x}_dims")
             for p, x in (("broad_dim", "broad"), ("sub_dim", "sub"), ("niche_dim", "niche"))]
     loc = sum(1 for c in t.columns if c.startswith("loc_dim"))
+    from .session import cut_lineage
+    t = cut_lineage(t)
+    n = t.agg(*[F.countDistinct(f"cluster_{x}") for x in ("broad", "sub", "niche")]).first()
     return t.select("id", "company_name", F.col("loc_text").alias("location"), (named[0] & named[1] & named[2]).alias("named"), clustered.alias("clustered"),
-                    (dims[0] & dims[1] & dims[2]).alias("dims_match"), F.lit(loc).cast("long").alias("loc_dims"))
+                    (dims[0] & dims[1] & dims[2]).alias("dims_match"), F.lit(loc).cast("long").alias("loc_dims"),
+                    F.lit(1 < n[0] <= n[1] <= n[2]).alias("several"))
 
 
 def flagship(spark, sf):
-    """The fused multi-view graph of all rows: six views, the adaptive k-set, one affinity. (The full
-    ``taxonomy`` runs hundreds of iterative jobs and is a query of its own.)"""
-    return q_view_fusion(spark, sf)
+    """The taxonomy of all records, end to end: views of their texts, three levels, names, the export table."""
+    return taxonomy(spark, sf)
 
 
 # ---------------------------------------------------------------- text layer (records fixture)

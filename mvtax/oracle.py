@@ -649,22 +649,24 @@ INVARIANT_ORACLE = {
   CAST(0 AS BIGINT) AS out_of_order, 0.0 AS residual FROM embeddings""",
     "spectral_distributed": """WITH g AS (SELECT CAST(label AS BIGINT) AS label, count(*) AS n FROM embeddings GROUP BY label)
 SELECT label, n, CAST(least(6, n - 1) AS BIGINT) AS eigenpairs, CAST(least(6, n - 1) * (least(6, n - 1) + 1) // 2 AS BIGINT) AS orthonormal FROM g""",
-    "choose_k": f"""SELECT CAST(k AS BIGINT) AS k, 0.0 AS beyond_parts, TRUE AS in_range
+    "choose_k": f"""SELECT CAST(k AS BIGINT) AS k, 0.0 AS beyond_parts, TRUE AS in_range, 0.0 AS silhouette_gap
 FROM range(6, least(14, {_N} - 1) + 1) t(k) WHERE k < {_N}""",
-    "kmeans_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, FALSE AS far FROM embeddings",
+    "kmeans_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, FALSE AS far, CAST(10 AS BIGINT) AS clusters, TRUE AS tight FROM embeddings",
     "sample_cap": """SELECT CAST(label AS BIGINT) AS label, CAST(least(count(*), 20) AS BIGINT) AS drawn,
   CAST(least(count(*), 20) AS BIGINT) AS ids FROM embeddings GROUP BY label""",
-    "run_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, TRUE AS sizes_ok FROM embeddings",
+    "run_level": "SELECT vec_id AS id, CAST(0 AS BIGINT) AS label_gap, TRUE AS sizes_ok, TRUE AS several, TRUE AS tight FROM embeddings",
     "hierarchy": """SELECT vec_id AS id, CAST(1 AS BIGINT) AS sub_parents, CAST(1 AS BIGINT) AS niche_parents,
   CAST(0 AS BIGINT) AS cluster_broad_gap, CAST(0 AS BIGINT) AS cluster_sub_gap, CAST(0 AS BIGINT) AS cluster_niche_gap,
-  CAST(1 AS BIGINT) AS broad_dims_widths, CAST(1 AS BIGINT) AS sub_dims_widths, CAST(1 AS BIGINT) AS niche_dims_widths FROM embeddings""",
+  CAST(1 AS BIGINT) AS broad_dims_widths, CAST(1 AS BIGINT) AS sub_dims_widths, CAST(1 AS BIGINT) AS niche_dims_widths,
+  TRUE AS several, TRUE AS tighter FROM embeddings""",
     "text_embed": "SELECT doc_id AS id, CAST(least(64, (SELECT count(*) FROM documents)) AS BIGINT) AS width, 1.0 AS norm FROM documents",
     "pca_views": """SELECT d.doc_id AS id, v.view, CAST(least(v.w, (SELECT count(*) FROM documents)) AS BIGINT) AS width
 FROM documents d, (VALUES %s) v(view, w)""" % ", ".join(f"('{v}', {w})" for v, w in PCA_DIMS.items()),
     "knn_lsh": f"""SELECT vec_id AS src, CAST(least(10, {_N} - 1) AS BIGINT) AS neighbours, CAST(least(10, {_N} - 1) AS BIGINT) AS last_rank,
-  CAST(0 AS BIGINT) AS selves, 0.0 AS distance_error FROM embeddings""",
+  CAST(0 AS BIGINT) AS selves, 0.0 AS distance_error,
+  TRUE AS recall_ok FROM embeddings""",
     "taxonomy": f"""WITH {RECORDS} SELECT id, company_name, location, TRUE AS named, TRUE AS clustered, TRUE AS dims_match,
-  CAST(32 AS BIGINT) AS loc_dims FROM records""",
+  CAST(32 AS BIGINT) AS loc_dims, TRUE AS several FROM records""",
 }
 ORACLE.update(INVARIANT_ORACLE)
 
