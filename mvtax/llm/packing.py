@@ -10,22 +10,24 @@ longest first.
 
 Scale: tokenising stays with the text's partition; only ``(row, piece, length, crc)`` moves. Items are
 dealt in turn to shards of about ``SHARD_ITEMS``, each packed on its own, which costs at most one
-part-filled sequence a shard (one in a thousand). Words repeat, so every Python worker keeps a bounded
-table of their ids; a full table only costs time.
+part-filled sequence a shard (one in a thousand). Words repeat, so every Python worker keeps tables of
+their ids, bounded in bytes. There may be 2 ** 29 tasks, and 2 ** 33 rows or pieces in each; beyond that the operator
+raises. Ids of documents are never touched: shards are packed as Arrow tables, where a null beside large numbers is exact.
+A text is tokenised whole, in memory about twenty times its size.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,9 +38,24 @@ from mvtax.llm.common import byte_texts, checkpoint, prepare, slices
 WINDOW = 4096
 END_ID = 1
 SHARD_ITEMS = 4096
-CACHE = 400_000
 
-_PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Bytes of the two word tables of a Python worker, and what an entry takes beside its two strings.
+WORD_BYTES = 14 << 20
+STEM_BYTES = 24 << 20
+ENTRY_BYTES = 170
+PRUNES, COUNTED = 3, 6  # of a full table, and slices whose uses are counted before
+
+#: Of every line: Latin letters and the ASCII punctuation (but the apostrophe) after them, or anything else; and the lower
+#: case of those letters, byte by byte.
+PARTS = re.compile(rb"^(?:((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf\x9f])+)([!-&(-/:-@\[-`{-~]*)|(.+))$", re.M)
+LOWER = bytes(c + 32 if 65 <= c <= 90 or 0x80 <= c <= 0x9E and c != 0x97 else c for c in range(256))
+
+#: A row's or a piece's number is its task's, then ``NUMBERS`` bits of its place there (as Spark's own row numbers are made).
+NUMBERS = 33
+
+_COLUMNS = [("row", pa.int64()), ("number", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
+            ("length", pa.int64()), ("ids_crc32", pa.int64())]
+_PIECES = "row long, number long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @dataclass(frozen=True)
@@ -52,19 +69,56 @@ class Capacity:
     score: str = "norm"
 
 
+class Table(dict):
+    """Token ids of words, in a bounded number of bytes; a full table only costs time. What comes first fills it;
+    ``PRUNES`` times, when it is full, uses are counted for a while and the less used half goes."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = self.room = most
+        self.uses: Counter | None = None
+        self.counted = self.prunes = 0
+
+    def keep(self, word: bytes, ids: bytes) -> None:
+        size = len(word) + len(ids) + ENTRY_BYTES
+        if size <= self.room:
+            self.room -= size
+            self[word] = ids
+
+    def used(self, words: Iterable[bytes]) -> None:
+        """Called once a slice with the words looked up."""
+        if self.prunes == PRUNES or self.room > self.most >> 6:
+            return
+        if self.uses is None:
+            self.uses = Counter()
+        self.uses.update(words)
+        self.counted += 1
+        if self.counted < COUNTED:
+            return
+        best = sorted(self.items(), key=lambda x: -self.uses[x[0]])
+        self.clear()
+        self.uses, self.counted, self.prunes, self.room = None, 0, self.prunes + 1, self.most
+        for word, ids in best:
+            if self.room < self.most >> 1:
+                break
+            self.keep(word, ids)
+
+
 class WordTokenizer:
     """Token ids of a text as little-endian unsigned 32-bit numbers. The vocabulary's normaliser and
-    pre-tokeniser work inside words, so a text's ids are its words' ids in turn."""
+    pre-tokeniser work inside words, so a text's ids are its words' ids in turn. They also lower-case, and part
+    letters from the punctuation after them, so the ids of a word of Latin letters and trailing ASCII
+    punctuation are those of the two - many words share few of these."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words, self.stems = Table(WORD_BYTES), Table(STEM_BYTES)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        known, get, docs = self.known, self.known.get, []
+        get, docs = self.words.get, []
         new: dict[bytes, bytes] = {}
         for text in texts:
             words = text.split()
@@ -72,15 +126,41 @@ class WordTokenizer:
             if None in ids:
                 new.update((w, b"") for w, i in zip(words, ids) if i is None)
             docs.append((words, ids))
-        names = list(new)
+        self.words.used(w for words, _ in docs for w in words)
+        self._look_up(new)
+        for w, e in new.items():
+            self.words.keep(w, e)
+        return [b"".join(ids) if None not in ids else b"".join([i if i is not None else new[w] for w, i in zip(words, ids)])
+                for words, ids in docs]
+
+    def _look_up(self, new: dict[bytes, bytes]) -> None:
+        """Fill in the ids of ``new`` words: from their parts where those are known, else by the library."""
+        known = self.stems.get
+        unknown: dict[bytes, bytes] = {}
+        stems: list[bytes] = []
+        later: list[tuple[bytes, bytes, bytes]] = []
+        for word, (stem, end, other) in zip(new, PARTS.findall(b"\n".join(new).translate(LOWER))):
+            if other:
+                stem = word
+            stems.append(stem)
+            a, b = known(stem), known(end) if end else b""
+            if a is not None and b is not None:
+                new[word] = a + b
+                continue
+            later.append((word, stem, end))
+            if a is None:
+                unknown[stem] = b""
+            if b is None:
+                unknown[end] = b""
+        names = list(unknown)
         for w, e in zip(names, self.library.encode_batch([w.decode("utf-8", "replace") for w in names], add_special_tokens=False)):
-            new[w] = array("I", e.ids).tobytes()
-        out = [b"".join(ids) if None not in ids else b"".join([i if i is not None else new[w] for w, i in zip(words, ids)])
-               for words, ids in docs]
-        room = CACHE - len(known)
-        if room > 0:
-            known.update(new if len(new) <= room else islice(new.items(), room))
-        return out
+            unknown[w] = array("I", e.ids).tobytes()
+        for word, stem, end in later:
+            a, b = unknown.get(stem), unknown.get(end)
+            new[word] = (known(stem) if a is None else a) + ((known(end) if b is None else b) if end else b"")
+        self.stems.used(stems)
+        for w, e in unknown.items():
+            self.stems.keep(w, e)
 
 
 @lru_cache(maxsize=2)
@@ -88,14 +168,22 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def numbered(task: int, place: int) -> int:
+    """The number of a row or piece; raises where it would meet another task's."""
+    if not (0 <= task < 1 << 62 - NUMBERS and 0 <= place < 1 << NUMBERS):
+        raise OverflowError(f"task {task}, place {place}: no number left")
+    return task << NUMBERS | place
+
+
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """``row, doc_id, piece, start, length, ids_crc32`` (and ``ids``: their bytes): every document cut at
-    the window. ``row`` tells apart rows that repeat a doc_id. A null or empty text is the end id alone."""
+    """``row, number, doc_id, piece, start, length, ids_crc32`` (and ``ids``: their bytes): every document cut at
+    the window. ``row`` tells apart rows that repeat a doc_id, ``number`` all pieces. A null or empty text is the end id alone."""
     prepare(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
+    fields = [*_COLUMNS, ("ids", pa.binary())] if with_ids else _COLUMNS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 26
+        task, row, number = TaskContext.get().partitionId(), 0, 0
         tokenizer = _tokenizer(path)
         for batch in slices(batches, "text", 1 << 20):
             out: list[tuple] = []
@@ -103,12 +191,10 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * window)):
                     part = ids[at:at + 4 * window]
-                    out.append((row, doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    out.append((numbered(task, row), numbered(task, number), doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    number += 1
                 row += 1
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            names = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            n = 7 if with_ids else 6
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], types[i]) for i in range(n)], names[:n])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, _PIECES + (", ids binary" if with_ids else ""))
@@ -159,19 +245,19 @@ def pack(parts: DataFrame, n_documents: int, cap: Capacity = Capacity()) -> Data
         raise ValueError("a piece as long as the window must fit an empty sequence")
     shards = max(1, -(-n_documents // SHARD_ITEMS))
     whole = F.col("length") == cap.tokens
-    columns = ["row", "doc_id", "piece", "start", "length", "ids_crc32"]
-    # a sequence of its own is numbered by its place: below zero, so apart from the shards' numbers
-    number = -(F.col("row") * (1 << 20) + F.col("piece")) - 1
-    alone = parts.filter(whole).select(*columns, number.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    columns = [n for n, _ in _COLUMNS]
+    # a sequence of its own goes by its piece's number: below zero, so apart from the shards' sequences
+    alone = parts.filter(whole).select(*columns, (-F.col("number") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row", "piece"], ignore_index=True)
-        where, offset = best_fit(pdf["length"].to_numpy(), cap)
-        return pdf.assign(sequence_id=(pdf["shard"].to_numpy() << 32) + where, offset=offset).drop(columns="shard")
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("row", "ascending"), ("piece", "ascending")])
+        where, offset = best_fit(table.column("length").to_numpy(), cap)
+        shard = table.column("shard").to_numpy()
+        return table.drop_columns(["shard"]).append_column("sequence_id", pa.array((shard << 32) + where)).append_column("offset", pa.array(offset))
 
-    turn = F.pmod(F.col("row") + F.shiftright("row", 26) * 7919, F.lit(shards))
+    turn = F.pmod(F.col("row") + F.shiftright("row", NUMBERS) * 7919, F.lit(shards))
     packed = (parts.filter(~whole).select(*columns, turn.alias("shard")).groupBy("shard")
-              .applyInPandas(run, _PIECES + ", sequence_id long, offset long"))
+              .applyInArrow(run, _PIECES + ", sequence_id long, offset long"))
     return packed.unionByName(alone)
 
 
