@@ -228,7 +228,7 @@ class TaxonomyConfig:
     refine_margin_concat: float = 0.015
     label_budget: int | None = None     # proposals asked for at most; None: every cluster (LABEL_BUDGET is the original's)
     compat_word_cap: bool = True        # keep the original head/suffix word cap
-    strict_umbrella: bool = False       # Broad labels always one of BROAD_UMBRELLAS
+    strict_umbrella: bool = False       # Broad labels always a sector: one of BROAD_UMBRELLAS or the default
     text_encoder: str = "hashing"       # default encoder: "hashing" (text_features words, PCA) or "projection" (any vocabulary)
     text_features: int = 1024           # hashed words of the default encoder (its PCA holds the square of this)
     # physical knobs (not semantics)

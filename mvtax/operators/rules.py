@@ -76,6 +76,11 @@ def with_enforce_umbrella(df: DataFrame, label, texts, out: str, rules=BROAD_RUL
     return df.withColumn(out, res.otherwise(title_case_keep_acronyms(lab))).drop(lab, base)
 
 
+def strict_sector(label, texts, rules=BROAD_RULES, umbrellas=BROAD_UMBRELLAS) -> Column:
+    """R2 as documented (``strict_umbrella``): a label that is not one of the sectors gives way to R1."""
+    return F.when(_c(label).isin(*umbrellas), _c(label)).otherwise(umbrella_from_texts(texts, rules))
+
+
 # ---------------------------------------------------------------- R3, W9
 
 def gram_heads(prof: DataFrame, key_cols, blob: Column) -> DataFrame:

@@ -80,8 +80,10 @@ def label_level(prof: DataFrame, level: str, cache: DataFrame, proposer: Propose
     m = m.withColumn("_cand", F.when(F.coalesce(F.col("proposal"), F.lit("")) != "", F.col("proposal"))
                      .otherwise(F.col("fallback")))
     m = R.with_force_head_suffix(m, "_cand", level, "head", "suffix", "texts", "_forced", cfg.compat_word_cap)
-    m = cut_lineage(m.select("cid", "cache_key", "cached", F.coalesce(
-        F.col("cached"), F.when(F.col("_forced") != "", F.col("_forced")).otherwise(F.col("fallback"))).alias("label")))
+    label = F.when(F.col("_forced") != "", F.col("_forced")).otherwise(F.col("fallback"))
+    if level == "Broad" and cfg.strict_umbrella:
+        label = R.strict_sector(label, "texts")
+    m = cut_lineage(m.select("cid", "cache_key", "cached", F.coalesce(F.col("cached"), label).alias("label")))
     return m.select("cid", "label"), m.where(F.col("cached").isNull()).select("cache_key", "label"), used
 
 

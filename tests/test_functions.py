@@ -74,3 +74,11 @@ def test_k_score(spark):
     # counts 6, 3, 1 -> share .6, imbalance .61644; sil .2, k = 3, Broad limit .35
     df = spark.createDataFrame([(0.2, 3, 0.6164414, 0.6)], "sil double, k int, imb double, big double")
     assert df.select(P.k_score_col("sil", "k", "imb", "big", 0.35)).first()[0] == pytest.approx(-0.05033, abs=1e-5)
+
+
+def test_strict_sector(spark):
+    from mvtax.operators.rules import strict_sector
+    for label, texts, want in (("Fire Alarm", "maker of fire alarm panels", "Fire & Life Safety"), ("Power & Energy", "fire alarm", "Power & Energy"),
+                               ("Odd Name", "nothing known", "Specialist Sector"), ("", "plc and scada", "Industrial Automation")):
+        got = spark.createDataFrame([(label, texts)], "l string, t string").select(strict_sector("l", "t").alias("o")).first()["o"]
+        assert got == want

@@ -34,3 +34,27 @@ def test_label_cache_roundtrip(spark):
     empty = cache.where(F.lit(False))
     write_outputs(res, empty, os.path.join(d, "res2"), os.path.join(d, "cache2"))
     assert not os.path.exists(os.path.join(d, "cache2"))
+
+
+def test_snapshots_survive_a_killed_write_and_keep_readers_valid(spark):
+    from mvtax.sources.io import append_label_cache
+    path = os.path.join(tempfile.mkdtemp(prefix="mvtax-cache-"), "cache")
+    row = lambda *r: spark.createDataFrame(list(r), "cache_key string, label string")
+    see = lambda: {r.cache_key: r.label for r in read_label_cache(spark, path).collect()}
+    assert append_label_cache(row(("a", "1"), ("b", "1")), path) == 1
+    early = read_label_cache(spark, path)
+    assert append_label_cache(early, path) is None  # nothing new
+    assert append_label_cache(row(("b", "2"), ("c", "2")), path) == 2
+    row(("a", "lost")).write.parquet(f"{path}/snapshot-00000003")
+    os.remove(f"{path}/snapshot-00000003/_SUCCESS")  # as a killed write leaves it
+    assert see() == {"a": "1", "b": "2", "c": "2"}
+    assert append_label_cache(row(("d", "4")), path, full=True) == 4
+    assert append_label_cache(row(("a", "5"), ("a", "4")), path) == 5
+    assert see() == {"a": "5", "b": "2", "c": "2", "d": "4"}
+    assert {r.cache_key: r.label for r in early.collect()} == {"a": "1", "b": "1"}
+
+
+def test_only_an_unfinished_snapshot_is_an_empty_cache(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="mvtax-cache-"), "cache")
+    os.makedirs(f"{path}/snapshot-00000001/_temporary/0")
+    assert read_label_cache(spark, path).count() == 0
