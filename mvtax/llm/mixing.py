@@ -71,7 +71,7 @@ def _rate(lam: Column, x: Column, cap: float) -> Column:
 def tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
     """``targets`` with ``lam``: the dual solution; null where the target is at the cap (rate = cap)."""
     counts = checkpoint(sizes.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    mean = F.col("source_size") / F.col("n_docs")
+    mean = F.try_divide("source_size", "n_docs")  # null for a source without words
     state = targets.withColumn("mean", mean).withColumn(
         "lam", F.when((F.col("source_size") > 0) & (F.col("target") < cap * F.col("source_size") * (1 - 1e-12)), F.lit(0.0)))
     state = checkpoint(state.withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double"))
@@ -82,7 +82,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
             return state
         step = small_side(state.filter(F.col("gap") > TOLERANCE).select(F.col("source").alias("s"), "lam", "mean"), n_sources)
         rows = counts.join(step, counts["source"].eqNullSafe(step["s"]))
-        x = F.col("size") / F.col("mean")
+        x = F.try_divide("size", "mean")
         r = _rate(F.col("lam"), x, cap)
         words = F.col("n") * F.col("size") * r
         sums = rows.groupBy("s").agg(F.sum(words).alias("f"), F.sum(F.when(F.col("lam") * x < math.log(cap), words * x)).alias("g"))
@@ -91,11 +91,11 @@ def tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
         above = F.col("f") > F.col("target")
         t = (t.withColumn("hi", F.when(above, F.col("lam")).otherwise(F.col("hi")))
               .withColumn("lo", F.when(above, F.col("lo")).otherwise(F.coalesce(F.col("lam"), F.col("lo")))))
-        newton = F.col("lam") + F.log(F.col("target") / F.col("f")) * F.col("f") / F.col("g")
+        newton = F.col("lam") + F.log(F.try_divide("target", "f")) * F.try_divide("f", "g")
         inside = F.coalesce(newton > F.col("lo"), F.col("lo").isNull()) & F.coalesce(newton < F.col("hi"), F.col("hi").isNull())
         middle = (F.when(F.col("lo").isNull(), F.col("hi") * 2 - 1).when(F.col("hi").isNull(), F.col("lo") * 2 + 1)
                   .otherwise((F.col("lo") + F.col("hi")) / 2))
-        gap = F.abs(F.log(F.col("f") / F.col("target")))
+        gap = F.coalesce(F.abs(F.log(F.try_divide("f", "target"))), F.lit(1.0))
         bracketed = F.coalesce((F.col("hi") - F.col("lo")) < 1e-14, F.lit(False))
         state = checkpoint(
             t.withColumn("gap", F.when(F.col("f").isNull() | bracketed, F.lit(0.0)).otherwise(gap))
@@ -118,7 +118,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     src = src.select(F.col("source").alias("s"), "source_size", "target", "mean", F.round("lam", 12).alias("lam"))
     side = small_side(src, n_sources)
     rows = sizes.join(side, sizes["source"].eqNullSafe(side["s"])).drop("s")
-    x = F.col("size") / F.col("mean")
+    x = F.try_divide("size", "mean")
     rate = (F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("lam").isNull(), F.lit(float(cap)))
             .otherwise(F.least(_rate(F.col("lam"), x, cap), F.lit(float(cap)))))
     rows = rows.withColumn("rate", rate).withColumn("base", F.floor("rate")).withColumn("part", F.col("rate") - F.col("base"))

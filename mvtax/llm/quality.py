@@ -144,7 +144,7 @@ def score(table: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """Quality scores of every row of ``docs``; null and empty texts are scored as the zero vector,
-    rows that repeat an id are scored each. Empty table: empty result."""
+    rows that repeat an id are scored each. A text is read whole, in memory about ten times its size. Empty table: empty result."""
     table = checkpoint(features(docs))
     return score(table, fit(table, labels, label), threshold)
 

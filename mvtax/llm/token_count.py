@@ -136,7 +136,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row; null and empty texts count 0 tokens.
 
     ``path``: a byte-level BPE vocabulary (tokenizers' json), readable on every executor. Repeated
-    rows are counted each, other columns are ignored, an empty table gives an empty result."""
+    rows are counted each, other columns are ignored, an empty table gives an empty result. A text is counted whole, in
+    memory about ten times its size."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -348,7 +348,8 @@ def _gradient(data: DataFrame, w: np.ndarray, n_weights: int) -> np.ndarray:
 
 def tag(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted, spans`` for every row: the offending spans are (start, end) in
-    code points. Texts without a letter (null, empty) score 0; repeated rows are scored each."""
+    code points. Texts without a letter (null, empty) score 0; repeated rows are scored each. A text is tagged whole: its
+    tokens and their marginals take about forty times its size."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

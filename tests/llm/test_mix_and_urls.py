@@ -98,9 +98,9 @@ def brute_judge(url):
     return host, path, *(max(fits)[1:] if fits else (None, "allow"))
 
 
-@pytest.mark.parametrize("limit", [url_filter.FILTER_BYTES, 0])
+@pytest.mark.parametrize("limit", [url_filter.FILTER_BYTES, 4])
 def test_urls_match_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(url_filter, "FILTER_BYTES", limit)  # 0: the joined form for lists past the bound
+    monkeypatch.setattr(url_filter, "FILTER_BYTES", limit)  # 4: several shards
     pages = spark.createDataFrame([(*u, "x", "y") for u in URLS], "page_id long, url string, host string, verdict string")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     got = sorted(map(tuple, url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict").collect()), key=str)
@@ -109,6 +109,36 @@ def test_urls_match_brute_force(spark, monkeypatch, limit):
     assert {r["verdict"] for r in url_filter.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_shards_give_the_longest_rule(spark, monkeypatch):
+    hosts = ["com", "a.com", "b.a.com", "net", "x.net"]
+    rules = [(h, p, v) for i, h in enumerate(hosts) for p, v in (("/", "allow"), ("/en/", "block"), (f"/e{i}", "allow"), ("/abcdef/", "block"))]
+    rules += [(f"h{i}.org", "/", "block") for i in range(600)]
+    pages = [(i, f"http://{h}{p}") for i, (h, p) in enumerate((h, p) for h in [*hosts, "c.b.a.com", "h7.org", "x.h8.org", "org"] for p in ("", "/", "/en/1", "/e1", "/abcdef/x"))]
+    tables = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string")
+    found = []
+    for limit in (url_filter.FILTER_BYTES, 200):
+        monkeypatch.setattr(url_filter, "FILTER_BYTES", limit)
+        found.append(sorted(map(tuple, url_filter.judge(*tables).collect())))
+
+    def longest(url):
+        host, path = url_filter.split_url(url)
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[2:] if fits else (None, "allow")
+
+    assert found[0] == found[1] == [(i, *url_filter.split_url(u), *longest(u)) for i, u in pages]
+
+
+def test_a_very_long_url_has_few_keys():
+    import tracemalloc
+    host = ".".join(["a"] * 100_000) + ".example.com"
+    tracemalloc.start()
+    keys = url_filter.url_keys(host, "/en/" + "x" * 1_000_000, [1, 4], [1, 2, 3])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(keys) == sorted(h + p for h in ("a.example.com", "example.com", "com") for p in ("/", "/en/"))
+    assert peak < 100 << 20
+
+
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS", 3)  # many false positives, so several levels
     keys = [f"host{i}.example/" for i in range(3000)]
@@ -121,7 +151,7 @@ def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
 
 def test_registered_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
 def test_pipeline_stages(spark):
@@ -141,3 +171,10 @@ def test_pipeline_stages(spark):
     for r in docs.collect():
         bins[r["sequence_id"]] += r["length"]
     assert max(bins.values()) <= 4096
+
+
+def test_a_source_of_empty_texts_mixes(spark):
+    rows = [(1, "a b c", "x"), (2, None, "y"), (3, "", "y"), (4, " ", None)]
+    for part in (rows, rows[1:]):
+        got = mixing.mix(spark.createDataFrame(part, "doc_id long, text string, source string")).collect()
+        assert {r["doc_id"]: (r["size"], r["copies"]) for r in got if r["doc_id"] > 1} == {2: (0, 1), 3: (0, 1), 4: (0, 1)} and len(got) == len(part)
