@@ -1,7 +1,9 @@
 """Corpus pipeline: quality filter, exact dedup, near dedup, source mixing, sequence packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; its result is written as Parquet and
-read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+read again as the next stage's ``docs``. All but the last return the columns of ``documents``. A null text is judged,
+compared, counted and packed as the empty one; a null id is a document like any other; rows that repeat are one after
+the second stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -50,7 +52,8 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: The classifier, the tilts and the packing are not expressible in SQL; tests/llm compares with brute force.
+#: The classifier, the tilts and the packing are not expressible in SQL; tests/llm/test_pipeline.py compares ``run()`` with a
+#: plain pipeline: scores from the definition, copies and near groups by brute force, pieces by the library.
 ORACLE_SQL = None
 
 
