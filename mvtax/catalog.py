@@ -448,8 +448,9 @@ def q_taxonomy(spark, sf):
 
 
 def flagship(spark, sf):
-    """The taxonomy of all records, end to end: views of their texts, three levels, names, the export table."""
-    return taxonomy(spark, sf)
+    """The fused multi-view graph of all rows: six views, the adaptive k-set, one affinity. (The full
+    ``taxonomy`` runs hundreds of jobs and is a query of its own.)"""
+    return q_view_fusion(spark, sf)
 
 
 # ---------------------------------------------------------------- text layer (records fixture)
