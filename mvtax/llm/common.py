@@ -10,7 +10,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mvtax.session import ensure_checkpoint_dir, ship_package
+from mvtax.session import bound_batches, ensure_checkpoint_dir, ship_package
 
 #: A word is a maximal run of anything but the six ASCII white-space characters.
 #: ``bytes.split()`` cuts at exactly these characters, so Python code splits UTF-8 bytes.
@@ -51,18 +51,10 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Rows and bytes of an Arrow batch, which the JVM and the Python worker hold; one longer row is a batch of its own.
-ARROW_ROWS = 2000
-ARROW_BYTES = 8 << 20
-
-
 def prepare(spark: SparkSession) -> None:
     """Before Python workers run: the package must be importable there, and batches of texts must be small."""
     ship_package(spark)
-    for what, most in (("Records", ARROW_ROWS), ("Bytes", ARROW_BYTES)):
-        name = f"spark.sql.execution.arrow.max{what}PerBatch"
-        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
-            spark.conf.set(name, most)
+    bound_batches(spark)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,26 @@ def test_knn_of_equal_vectors_gives_the_lowest_ids(spark):
         near.setdefault(r["src"], []).append((r["rank"], r["dst"]))
     for i in range(120):
         assert [d for _, d in sorted(near[i])] == [j for j in range(7) if j != i][:5]
+
+
+def test_knn_streams_references_past_query_blocks(spark, monkeypatch):
+    """Many query blocks, bounds of single precision, vectors of any length, null groups, few queries: as by brute force; no
+    candidates move after the products, and a Python worker gets small batches whatever a pack holds."""
+    from mvtax.operators import knn as K
+    monkeypatch.setattr(K, "QUERY_ROWS", 48)
+    monkeypatch.setattr(K, "TILE", 1 << 9)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 50 == 7 else "ab"[i % 3 == 0], int(i), (rng.integers(-2, 3, 5) * 10.0 ** (i % 4)).tolist(), i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, id long, vec array<double>, q boolean")
+    for normalize in (True, False):
+        got = knn(df, k=9, group_cols=["g"], block_rows=16, normalize=normalize)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        want = knn_bruteforce(df, k=9, group_cols=["g"], normalize=normalize)
+        key = lambda r: (r.g, r.src, r["rank"])
+        got, want = sorted(got.collect(), key=key), sorted(want.collect(), key=key)
+        assert [key(r) for r in got] == [key(r) for r in want]
+        assert np.allclose([r.dist for r in got], [r.dist for r in want], rtol=1e-12, atol=1e-12)
+        few = knn(df, k=9, group_cols=["g"], block_rows=16, normalize=normalize, query_col="q").collect()
+        assert {(r.src, r.dst, r["rank"]) for r in few} == {(r.src, r.dst, r["rank"]) for r in got if r.src % 4 == 0}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20
