@@ -10,7 +10,7 @@ longest first.
 
 Scale: tokenising stays with the text's partition; only ``(row, piece, length, crc)`` moves. Items are
 dealt in turn to shards of about ``SHARD_ITEMS``, each packed on its own, which costs at most one
-part-filled sequence a shard (one in a thousand). Words repeat, so every Python worker keeps tables of
+part-filled sequence a shard (one in a thousand). Words repeat, so every task keeps tables of
 their ids, bounded in bytes. There may be 2 ** 29 tasks, and 2 ** 33 rows or pieces in each; beyond that the operator
 raises. Ids of documents are never touched: shards are packed as Arrow tables, where a null beside large numbers is exact.
 A text is tokenised whole, in memory about twenty times its size.
@@ -39,15 +39,16 @@ WINDOW = 4096
 END_ID = 1
 SHARD_ITEMS = 4096
 
-#: Bytes of the two word tables of a Python worker, and what an entry takes beside its two strings.
-WORD_BYTES = 14 << 20
-STEM_BYTES = 24 << 20
+#: Bytes of the two word tables of a task, and what an entry takes beside its two strings.
+WORD_BYTES = 10 << 20
+STEM_BYTES = 18 << 20
 ENTRY_BYTES = 170
-PRUNES, COUNTED = 3, 6  # of a full table, and slices whose uses are counted before
+JOINED = 64  # parts of words that go to the library as one text
+PRUNES, COUNTED = 1, 4  # of a full table, and slices whose uses are counted before
 
-#: Of every line: Latin letters and the ASCII punctuation (but the apostrophe) after them, or anything else; and the lower
-#: case of those letters, byte by byte.
-PARTS = re.compile(rb"^(?:((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf\x9f])+)([!-&(-/:-@\[-`{-~]*)|(.+))$", re.M)
+#: Latin letters and the ASCII punctuation (but the apostrophe) after them, SIGNS; and the lower case of those letters, byte by byte.
+PARTS = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf\x9f])+)([!-&(-/:-@\[-`{-~]*)")
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LOWER = bytes(c + 32 if 65 <= c <= 90 or 0x80 <= c <= 0x9E and c != 0x97 else c for c in range(256))
 
 #: A row's or a piece's number is its task's, then ``NUMBERS`` bits of its place there (as Spark's own row numbers are made).
@@ -111,10 +112,7 @@ class WordTokenizer:
     punctuation are those of the two - many words share few of these."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.library, self.plain, self.ends = _library(path)
         self.words, self.stems = Table(WORD_BYTES), Table(STEM_BYTES)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -128,8 +126,9 @@ class WordTokenizer:
             docs.append((words, ids))
         self.words.used(w for words, _ in docs for w in words)
         self._look_up(new)
-        for w, e in new.items():
-            self.words.keep(w, e)
+        if self.words.room > ENTRY_BYTES:
+            for w, e in new.items():
+                self.words.keep(w, e)
         return [b"".join(ids) if None not in ids else b"".join([i if i is not None else new[w] for w, i in zip(words, ids)])
                 for words, ids in docs]
 
@@ -137,11 +136,19 @@ class WordTokenizer:
         """Fill in the ids of ``new`` words: from their parts where those are known, else by the library."""
         known = self.stems.get
         unknown: dict[bytes, bytes] = {}
+        others: dict[bytes, bytes] = {}
         stems: list[bytes] = []
         later: list[tuple[bytes, bytes, bytes]] = []
-        for word, (stem, end, other) in zip(new, PARTS.findall(b"\n".join(new).translate(LOWER))):
-            if other:
-                stem = word
+        for word, low in zip(new, b"\n".join(new).translate(LOWER).split(b"\n")):
+            other, stem, end = False, low, b""
+            if not low.isalpha():
+                stem = low.rstrip(SIGNS)
+                if stem.isalpha():
+                    end = low[len(stem):]
+                elif match := PARTS.fullmatch(low):
+                    stem, end = match.groups()
+                else:
+                    other, stem = True, word
             stems.append(stem)
             a, b = known(stem), known(end) if end else b""
             if a is not None and b is not None:
@@ -149,23 +156,61 @@ class WordTokenizer:
                 continue
             later.append((word, stem, end))
             if a is None:
-                unknown[stem] = b""
+                (others if other else unknown)[stem] = b""
             if b is None:
                 unknown[end] = b""
-        names = list(unknown)
-        for w, e in zip(names, self.library.encode_batch([w.decode("utf-8", "replace") for w in names], add_special_tokens=False)):
-            unknown[w] = array("I", e.ids).tobytes()
+        self._parts(unknown)
+        self._each(others, list(others))
+        unknown.update(others)
         for word, stem, end in later:
             a, b = unknown.get(stem), unknown.get(end)
             new[word] = (known(stem) if a is None else a) + ((known(end) if b is None else b) if end else b"")
         self.stems.used(stems)
-        for w, e in unknown.items():
-            self.stems.keep(w, e)
+        if self.stems.room > ENTRY_BYTES:
+            for w, e in unknown.items():
+                self.stems.keep(w, e)
+
+    def _each(self, found: dict[bytes, bytes], names: list[bytes]) -> None:
+        for w, e in zip(names, self.library.encode_batch([w.decode("utf-8", "replace") for w in names], add_special_tokens=False)):
+            found[w] = array("I", e.ids).tobytes()
+
+    def _parts(self, found: dict[bytes, bytes]) -> None:
+        """Fill in the ids of letters or punctuation alone. Each is one word of the pre-tokeniser, so many are encoded as one
+        text, cut after every token that ends a word; where the cuts are not as many as the parts, one by one."""
+        names = list(found)
+        for at in range(0, len(names), JOINED):
+            some = names[at:at + JOINED]
+            ids = np.array(self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(some) or cuts[-1] != 4 * len(ids):
+                self._each(found, some)
+                continue
+            raw = ids.tobytes()
+            for w, a, b in zip(some, [0, *cuts], cuts):
+                found[w] = raw[a:b]
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def _library(path: str):
+    """The tokenizer, one for parts of words and, by token id, whether the token ends a word. They stay with a Python worker; the
+    word tables go with the task. Parts are lower-case, composed and parted by blanks, so theirs needs neither the normaliser nor
+    the expressions of the pre-tokeniser; it is taken only if it gives every letter and sign the ids of the tokenizer."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    library, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    plain.normalizer = None
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    letters, signs = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", SIGNS.decode()
+    probe = " ".join([*letters, *signs, letters, signs, letters[::-1], signs[::-1]])
+    if plain.encode(probe, add_special_tokens=False).ids != library.encode(probe, add_special_tokens=False).ids:
+        plain = library
+    suffix = getattr(library.model, "end_of_word_suffix", None)
+    vocab = library.get_vocab()
+    ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+    if suffix:
+        ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+    return library, plain, ends
 
 
 def numbered(task: int, place: int) -> int:
@@ -184,8 +229,8 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, row, number = TaskContext.get().partitionId(), 0, 0
-        tokenizer = _tokenizer(path)
-        for batch in slices(batches, "text", 1 << 20):
+        tokenizer = WordTokenizer(path)
+        for batch in slices(batches, "text", 1 << 19):
             out: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(byte_texts(batch))):
                 ids += end

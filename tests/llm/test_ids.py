@@ -65,3 +65,35 @@ def test_word_tables_are_bounded_and_exact(monkeypatch):
             want = [i for w in words for i in tokenizer.library.encode(w.decode(), add_special_tokens=False).ids]
             assert np.frombuffer(got, "<u4").tolist() == want == tokenizer.library.encode(text, add_special_tokens=False).ids
     assert len(tokenizer.words) <= 2000 // packing.ENTRY_BYTES and len(tokenizer.stems) <= 2000 // packing.ENTRY_BYTES
+
+
+def test_word_parts_go_to_the_library_together():
+    """Letters and punctuation are encoded many at a time, with the ids that each has alone; the tables go with the task."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, library):
+            self.library, self.calls = library, 0
+
+        def encode(self, text, **how):
+            self.calls += 1
+            return self.library.encode(text, **how)
+
+        def encode_batch(self, texts, **how):
+            self.calls += len(texts)
+            return self.library.encode_batch(texts, **how)
+
+    plain = Tokenizer.from_file(WORD)
+    words = [a + b + c for a in ("Aba", "été", "STRASSE", "ß", "qqqqqqqqz", "the") for b in ("xy", "Äo", "nst", "") for c in ("", ",", "...", "<|", "!?)", "_")]
+    odd = ["don't", "a<|endoftext|>", "<|startoftext|>b", "4034x", "日本語", "Ж.", "éa", "\u0000", "�", "x" * 5000, "İx", "''s"]
+    text = " ".join(words + odd)
+    tokenizer = packing.WordTokenizer(WORD)
+    tokenizer.library = Counting(tokenizer.library)
+    want = np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokenizer.encode([text.encode(), b"", text.encode()]) == [want, b"", want]
+    assert tokenizer.library.calls <= len(odd) + 2
+    assert packing.WordTokenizer(WORD).words is not tokenizer.words and not packing.WordTokenizer(WORD).words
+    no_ends = packing.WordTokenizer(WORD)
+    no_ends.ends = np.zeros_like(no_ends.ends)  # a vocabulary without an end of word: one by one, the same ids
+    assert no_ends.encode([text.encode()]) == [want]
