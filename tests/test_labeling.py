@@ -35,3 +35,19 @@ def test_label_levels_budget_and_cache(spark):
     b = sorted(tuple(r) for r in lab2.select(*cols).collect())
     assert a == b  # every cluster hit the cache; the new proposer was never used
     assert lab.count() == rec.count()
+
+
+def test_label_levels_reads_records_once(spark):
+    from taxonomy_helpers import SF001
+    from mvtax.catalog import _kc, records_hierarchy
+    from mvtax.plans.labeling import label_levels
+    rec, hier = _kc(spark, SF001), records_hierarchy(spark, SF001)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(it):
+        for pdf in it:
+            seen.add(len(pdf))
+            yield pdf
+
+    lab, _ = label_levels(rec.mapInPandas(count, rec.schema), hier)
+    assert lab.count() == rec.count() == seen.value
