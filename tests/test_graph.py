@@ -143,3 +143,40 @@ def test_knn_streams_references_past_query_blocks(spark, monkeypatch):
         few = knn(df, k=9, group_cols=["g"], block_rows=16, normalize=normalize, query_col="q").collect()
         assert {(r.src, r.dst, r["rank"]) for r in few} == {(r.src, r.dst, r["rank"]) for r in got if r.src % 4 == 0}
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 8 << 20
+
+
+def test_lsh_knn_is_the_best_of_the_buckets_formed_once(spark):
+    """Each row's nearest of all rows that share a bucket of any table; what is returned no longer holds the buckets' products."""
+    from mvtax.operators.knn import _planes, knn_lsh
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 6))
+    df = spark.createDataFrame([("ab"[i % 3 == 0], i, v.tolist()) for i, v in enumerate(x)], "g string, id long, vec array<double>")
+    out = knn_lsh(df, k=4, group_cols=["g"], tables=3, bits=3, block_rows=32)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 1  # rows left short, if any
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    code = (u @ _planes(spark, 6, 3, 3, 42) >= 0).reshape(300, 3, 3) @ (1 << np.arange(3))
+    want = {}
+    for i in range(300):
+        group = [j for j in range(300) if j != i and (j % 3 == 0) == (i % 3 == 0)]
+        cand = [j for j in group if (code[i] == code[j]).any()]
+        order = sorted((round(1 - float(u[i] @ u[j]), 12), j) for j in (cand if len(cand) >= 4 else group))
+        want[i] = [j for _, j in order[:4]]
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (r.src, r["rank"])):
+        got.setdefault(r.src, []).append(r.dst)
+    assert got == want
+
+
+def test_knn_groups_share_the_tasks(spark, monkeypatch):
+    """Many groups have as many query blocks as the tasks take together: each block is a copy of its group that moves."""
+    from mvtax.operators import knn as K
+    packs = []
+    monkeypatch.setattr(K, "cut_lineage", lambda df: packs.append(cut(df)) or packs[-1])
+    cut = __import__("mvtax.session", fromlist=["x"]).cut_lineage
+    df = spark.createDataFrame([(i % 16, i, [float(i % 7), float(i % 11), 1.0]) for i in range(3200)], "g int, id long, vec array<double>")
+    got = knn(df, k=3, group_cols=["g"], block_rows=8)
+    blocks = sum(r.q for r in packs[0].groupBy("g").agg({"_nq": "max"}).toDF("g", "q").collect())
+    assert blocks <= K.TASKS_PER_CORE ** 2 * spark.sparkContext.defaultParallelism
+    key = lambda r: (r.g, r.src, r["rank"])
+    want = knn_bruteforce(df, k=3, group_cols=["g"])
+    assert [(*key(r), r.dst) for r in sorted(got.collect(), key=key)] == [(*key(r), r.dst) for r in sorted(want.collect(), key=key)]
