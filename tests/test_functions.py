@@ -82,3 +82,36 @@ def test_strict_sector(spark):
                                ("Odd Name", "nothing known", "Specialist Sector"), ("", "plc and scada", "Industrial Automation")):
         got = spark.createDataFrame([(label, texts)], "l string, t string").select(strict_sector("l", "t").alias("o")).first()["o"]
         assert got == want
+
+
+def test_gram_heads_are_counted_inside_the_row(spark, tmp_path):
+    """No gram moves where keys do not repeat; rows that repeat a key, or have none, are one; against a plain count."""
+    from collections import Counter
+    from mvtax.config import GENERIC_BAN
+    from mvtax.operators.rules import gram_heads, row_grams
+    ban = sorted(GENERIC_BAN)[0]
+    texts = ["b c b c b c", "k b c k b c x", f"{ban} red pump {ban} red pump {ban}", "solo", "", None, "q r s q r t", f"{ban} {ban}"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, s string")
+    heads = gram_heads(df, ["id"], F.col("s"))
+    assert "Exchange" not in heads._jdf.queryExecution().executedPlan().toString()
+
+    def head(several):
+        counts, first = Counter(), {}
+        for t in several:
+            t = (t or "").split()
+            for n in (2, 3):
+                for p in range(len(t) - n + 1):
+                    gram = (n, " ".join(t[p:p + n]))
+                    if ban not in t[p:p + n]:
+                        counts[gram] += 1
+                        first[gram] = min(p, first.get(gram, p))
+        return min(counts, key=lambda g: (-counts[g], -g[0], first[g]))[1].title() if counts else None
+
+    assert {r.id: r.gram_head for r in heads.collect()} == {i: head([t]) for i, t in rows if head([t])}
+    more = rows + [(0, "z z z z z z z z"), (None, "m n m n"), (None, "n m")]
+    got = {r.id: r.gram_head for r in gram_heads(spark.createDataFrame(more, "id long, s string"), ["id"], F.col("s")).collect()}
+    want = {i: head([t for j, t in more if j == i]) for i in {j for j, _ in more}}
+    assert got == {i: h for i, h in want.items() if h}
+    g = spark.createDataFrame([(["a", "b", ban, "c", "d"],), ([],), (None,)], "t array<string>").select(row_grams("t").alias("g")).select("g.*").collect()
+    assert [tuple(r) for r in g] == [(4, 3, 2, "A B"), (0, 0, 0, None), (0, 0, 0, None)]
