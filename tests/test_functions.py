@@ -115,3 +115,18 @@ def test_gram_heads_are_counted_inside_the_row(spark, tmp_path):
     assert got == {i: h for i, h in want.items() if h}
     g = spark.createDataFrame([(["a", "b", ban, "c", "d"],), ([],), (None,)], "t array<string>").select(row_grams("t").alias("g")).select("g.*").collect()
     assert [tuple(r) for r in g] == [(4, 3, 2, "A B"), (0, 0, 0, None), (0, 0, 0, None)]
+
+
+def test_norm_and_vector_are_computed_once_a_row(spark):
+    """The norm used to be computed again for every element, and with it the expression of the vector."""
+    from mvtax.functions.vector import l2_normalize
+    rows = [([3.0, 4.0],), ([0.0, -0.0, 0.0],), ([],), (None,), ([1e-3 * i for i in range(300)],)]
+    df = spark.createDataFrame(rows, "v array<double>")
+    plan = df.select(l2_normalize(F.transform("v", lambda x: x * 2.0)).alias("o"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("aggregate(") == 1 and text.count("2.0") == 1
+    got = [r.o for r in plan.collect()]
+    nrm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda a, x: a + x * x))
+    plain = F.when(nrm > 0, F.transform("w", lambda x: x / nrm)).otherwise(F.transform("w", lambda x: x * 0.0))
+    want = [r.o for r in df.select(F.transform("v", lambda x: x * 2.0).alias("w")).select(plain.alias("o")).collect()]
+    assert got == want and got[0] == [0.6, 0.8] and got[3] is None
